@@ -1,6 +1,6 @@
 """All registered queries; importing the package fills the registry."""
 
-from riskmart.plans.queries import cleaning
+from riskmart.plans.queries import cleaning, kpi, profiling, thresholds
 from riskmart.plans.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "cleaning"]
+__all__ = ["ORACLES", "QUERIES", "cleaning", "kpi", "profiling", "thresholds"]
