@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskmart.config import DATASET_TEST, DATASET_TRAIN
 from riskmart.functions.hashing import key_hash
+from riskmart.functions.text import device_brand, first_label
 from riskmart.functions.timing import seconds_since
 from riskmart.operators.clean import derive_time
 from riskmart.operators.joins import left_join_presence
@@ -131,3 +132,22 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dataset", F.when(number < 15, DATASET_TRAIN).otherwise(DATASET_TEST)
     )
     return tagged
+
+
+def event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EVS: cleaned events with derived categories and a sparse side table (labels by event id)."""
+    events = events_frame(spark, sf_dir).select(
+        "id", "is_positive", "seconds", "amount", "day", "hour", "weekday", "dataset", "channel",
+        first_label(F.col("mail_domain")).alias("provider"),
+        device_brand(F.col("device_text")).alias("brand"),
+        F.col("user_id").cast("string").alias("user"),
+    )
+    side = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("id"),
+        F.col("quality").alias("side_quality"),
+        F.when(F.col("toxic") == 1, "toxic").otherwise("clean").alias("side_kind"),
+    )
+    return left_join_presence(events, side, "id", "has_side")
+
+
+EVENT_NOT_FEATURES = ["id", "is_positive", "seconds", "day", "dataset"]

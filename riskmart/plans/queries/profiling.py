@@ -145,16 +145,7 @@ def time_span(spark, sf):
     return profile.time_span(b.events_frame(spark, sf), "seconds")
 
 
-_AREAS = f"""{s.VAL},
-counts AS (SELECT {s.units('score')} AS points, count(*) FILTER (WHERE is_positive = 1) AS pos, count(*) FILTER (WHERE is_positive = 0) AS neg
-  FROM val GROUP BY 1),
-swept AS (SELECT *, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w AS DOUBLE) AS fp,
-  CAST(sum(pos) OVER () AS DOUBLE) AS all_pos, CAST(sum(neg) OVER () AS DOUBLE) AS all_neg
-  FROM counts WINDOW w AS (ORDER BY points DESC)),
-pr AS (SELECT *, tp / (tp + fp) AS precision FROM swept),
-steps AS (SELECT pos / all_pos * (precision + coalesce(lag(precision) OVER (ORDER BY points DESC), precision)) / 2 AS step FROM pr),
-roc AS (SELECT round(sum(neg * (2 * tp - pos)) / (2 * max(all_pos) * max(all_neg)), 4) AS roc_auc FROM swept),
-prc AS (SELECT round(sum(step), 4) AS pr_auc FROM steps)"""
+_AREAS = f"{s.VAL}, {s.areas('val')}"
 
 
 @query("roc_auc", f"WITH {_AREAS} SELECT roc_auc FROM roc")

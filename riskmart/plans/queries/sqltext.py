@@ -111,3 +111,17 @@ def daily(source: str = "cube") -> str:
     return f"""SELECT day, CAST(sum(transactions) AS BIGINT) AS transactions, CAST(sum(positives) AS BIGINT) AS positives,
   CAST(sum({units("amount_total")}) AS BIGINT) AS au, CAST(sum({units("amount_positive")}) AS BIGINT) AS pu
   FROM {source} GROUP BY day"""
+
+
+def areas(source: str, score: str = "score", prefix: str = "") -> str:
+    """CTEs ``<prefix>roc(roc_auc)`` and ``<prefix>prc(pr_auc)`` over distinct scores of a source."""
+    return f"""{prefix}counts AS (SELECT {units(score)} AS points, count(*) FILTER (WHERE is_positive = 1) AS pos,
+  count(*) FILTER (WHERE is_positive = 0) AS neg FROM {source} GROUP BY 1),
+{prefix}swept AS (SELECT *, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w AS DOUBLE) AS fp,
+  CAST(sum(pos) OVER () AS DOUBLE) AS all_pos, CAST(sum(neg) OVER () AS DOUBLE) AS all_neg
+  FROM {prefix}counts WINDOW w AS (ORDER BY points DESC)),
+{prefix}pr AS (SELECT *, tp / (tp + fp) AS precision FROM {prefix}swept),
+{prefix}steps AS (SELECT pos / all_pos * (precision + coalesce(lag(precision) OVER (ORDER BY points DESC), precision)) / 2 AS step
+  FROM {prefix}pr),
+{prefix}roc AS (SELECT round(sum(neg * (2 * tp - pos)) / (2 * max(all_pos) * max(all_neg)), 4) AS roc_auc FROM {prefix}swept),
+{prefix}prc AS (SELECT round(sum(step), 4) AS pr_auc FROM {prefix}steps)"""

@@ -135,17 +135,6 @@ def model_metrics(scored: DataFrame, score: str, model: str) -> DataFrame:
     return reduce(DataFrame.unionByName, long).withColumn("model", F.lit(model))
 
 
-def _areas(prefix: str, score: str) -> str:
-    return (
-        _AREAS[_AREAS.index("counts AS"):]
-        .replace(s.units("score"), s.units(score))
-        .replace("FROM val", "FROM both_scores")
-        .replace("counts", f"{prefix}_counts").replace("swept", f"{prefix}_swept")
-        .replace("FROM pr)", f"FROM {prefix}_pr)").replace("pr AS (", f"{prefix}_pr AS (")
-        .replace("steps", f"{prefix}_steps").replace("roc AS (", f"{prefix}_roc AS (").replace("prc AS (", f"{prefix}_prc AS (")
-    )
-
-
 def _compared(prefix: str, score: str, model: str) -> str:
     tp = f"count(*) FILTER (WHERE {score} >= CAST(10 AS DOUBLE) / 20 AND is_positive = 1)"
     fp = f"count(*) FILTER (WHERE {score} >= CAST(10 AS DOUBLE) / 20 AND is_positive = 0)"
@@ -159,7 +148,7 @@ def _compared(prefix: str, score: str, model: str) -> str:
     "compare_models",
     f"""WITH {s.VAL},
 both_scores AS (SELECT *, CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 AS DOUBLE) / 1e4 AS flat FROM val),
-{_areas('lean', 'score')}, {_areas('even', 'flat')}
+{s.areas('both_scores', 'score', 'lean_')}, {s.areas('both_scores', 'flat', 'even_')}
 {_compared('lean', 'score', 'leaning')} UNION ALL {_compared('even', 'flat', 'flat')}""",
 )
 def compare_models(spark, sf):

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskmart.functions.measures import count_if
 from riskmart.functions.timing import elapsed_seconds
+from riskmart.operators.kpis import alerts_hour_matrix
 from riskmart.streaming.messages import decode_messages, split_rejects
 
 BATCH_KEYS = ("stream_id", "batch_id")
@@ -131,3 +132,31 @@ def start(
         .trigger(**trigger)
         .start()
     )
+
+
+def stream_panel(alerts: DataFrame, label: str) -> DataFrame:
+    """Totals and days received, then the alerts per hour of the latest day, all from the alert table."""
+    flagged = F.col("alert")
+    per_day = alerts.groupBy("day").agg(
+        F.count(F.lit(1)).alias("processed"),
+        count_if(flagged).alias("alerts"),
+        count_if(flagged & (F.col(label) == 1)).alias("true_alerts"),
+    )
+    total = per_day.agg(
+        *[F.sum(c).alias(c) for c in ("processed", "alerts", "true_alerts")], F.count("day").alias("days")
+    ).withColumn("part", F.lit("total"))
+    current = alerts.filter(F.col("day") == alerts.agg(F.max("day")).scalar())
+    hours = alerts_hour_matrix(current, label).select(
+        F.lit("hour").alias("part"),
+        "hour",
+        (F.col("false_alarms") + F.col("true_alerts")).alias("alerts"),
+        "true_alerts",
+    )
+    return total.unionByName(hours, allowMissingColumns=True).select(
+        "part", "hour", "processed", "alerts", "true_alerts", "days"
+    )
+
+
+def mean_latency(alerts: DataFrame) -> DataFrame:
+    """Mean seconds from sending to scoring."""
+    return alerts.agg(F.round(F.avg(latency_seconds()), 2).alias("mean_latency_s"))
