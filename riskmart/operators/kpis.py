@@ -11,7 +11,7 @@ from riskmart.config import NO_DATA
 from riskmart.functions.measures import additive_sums, bundle_columns, count_if, half_up, money, sum_if, units
 from riskmart.functions.text import or_no_data
 
-BUNDLE = ("transactions", "positives", "rate_pct", "amount_total", "amount_positive")
+SUMS = ("transactions", "labelled", "positives", "amount_units", "positive_units")
 
 
 def metric_bundle(df: DataFrame, by: Sequence[str | Column], label: str, amount: str) -> DataFrame:
@@ -43,14 +43,22 @@ def segment_risk(
     return sums.filter(F.col("transactions") >= at_least).select("segment", "value", *bundle_columns())
 
 
-def daily_cube(df: DataFrame, dims: Sequence[str], label: str, amount: str, day: str = "day") -> DataFrame:
-    """Sums by day and every combination of the dimensions. No rates, so any slice adds up."""
+def cube_sums(df: DataFrame, dims: Sequence[str], label: str, amount: str, day: str = "day") -> DataFrame:
+    """Exact sums by day and every combination of the dimensions."""
     present = [d for d in dims if d in df.columns]
     keys = [F.col(day).alias("day")] + [or_no_data(F.col(d)).alias(d) for d in present]
-    sums = df.groupBy(*keys).agg(*additive_sums(label, units(amount)))
+    return df.groupBy(*keys).agg(*additive_sums(label, units(amount)))
+
+
+def bundle_from_sums(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The bundle at a coarser level, from sums already taken."""
+    return sums.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS]).select(*by, *bundle_columns())
+
+
+def cube_from_sums(sums: DataFrame) -> DataFrame:
+    keys = [c for c in sums.columns if c not in SUMS]
     return sums.select(
-        "day",
-        *present,
+        *keys,
         "transactions",
         "positives",
         money(F.col("amount_units")).alias("amount_total"),
@@ -58,17 +66,26 @@ def daily_cube(df: DataFrame, dims: Sequence[str], label: str, amount: str, day:
     )
 
 
+def daily_cube(df: DataFrame, dims: Sequence[str], label: str, amount: str, day: str = "day") -> DataFrame:
+    """Sums by day and every combination of the dimensions. No rates, so any slice adds up."""
+    return cube_from_sums(cube_sums(df, dims, label, amount, day))
+
+
+def global_from_sums(sums: DataFrame) -> DataFrame:
+    """The bundle over everything plus the number of days; the sums must be grouped by day or finer."""
+    per_day = sums.groupBy("day").agg(*[F.sum(c).alias(c) for c in SUMS])
+    total = per_day.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS], F.count(F.col("day")).alias("days")
+    )
+    return total.select(*bundle_columns(), "days")
+
+
 def global_kpis(df: DataFrame, label: str, amount: str, day: str = "day") -> DataFrame:
     """The bundle over everything plus the number of days, in one pass.
 
     Days are grouped first: the distinct count then runs over a few rows instead of over the facts.
     """
-    per_day = df.groupBy(day).agg(*additive_sums(label, units(amount)))
-    total = per_day.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("transactions", "labelled", "positives", "amount_units", "positive_units")],
-        F.count(F.col(day)).alias("days"),
-    )
-    return total.select(*bundle_columns(), "days")
+    return global_from_sums(cube_sums(df, [], label, amount, day))
 
 
 def riskiest_value(segments: DataFrame) -> DataFrame:

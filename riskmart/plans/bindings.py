@@ -151,3 +151,45 @@ def event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EVENT_NOT_FEATURES = ["id", "is_positive", "seconds", "day", "dataset"]
+
+
+def raw_files(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """Events laid out as the raw CSV files the batch stages expect.
+
+    The label leans on amount, channel and device, so that a model has something to find; every
+    fourth event has an identity row, and the test files spell their identity columns with a dash.
+    """
+    events = events_frame(spark, sf_dir)
+    draw = key_hash(F.col("id")) % 1000
+    lean = (
+        F.when(F.col("amount") > 80, 350).otherwise(10)
+        + F.when(F.col("channel") == "3", 300).otherwise(0)
+        + F.when(F.col("device_text").startswith("Moto"), 300).otherwise(0)
+    )
+    number = F.col("id") % 7
+    facts = events.select(
+        F.col("id").alias("TransactionID"),
+        (draw < lean).cast("int").alias("isFraud"),
+        F.col("seconds").alias("TransactionDT"),
+        F.col("amount").alias("TransactionAmt"),
+        F.col("channel").alias("ProductCD"),
+        F.when(number == 0, "charge card").when(number < 4, "debit").otherwise("credit").alias("card6"),
+        F.when(number > 0, number * 100).alias("card2"),
+        F.when(F.col("id") % 20 == 0, number).alias("D7"),
+        F.col("mail_domain").alias("P_emaildomain"),
+        "dataset",
+    )
+    side = events.filter(F.col("id") % 4 == 0).select(
+        F.col("id").alias("TransactionID"),
+        F.col("weekday").alias("id_01"),
+        F.when(F.col("hour") < 12, "mobile").otherwise("desktop").alias("DeviceType"),
+        F.col("device_text").alias("DeviceInfo"),
+        "dataset",
+    )
+    for name in (DATASET_TRAIN, DATASET_TEST):
+        mine = facts.filter(F.col("dataset") == name).drop("dataset")
+        extra = side.filter(F.col("dataset") == name).drop("dataset")
+        if name == DATASET_TEST:
+            mine, extra = mine.drop("isFraud"), extra.withColumnRenamed("id_01", "id-01")
+        for df, kind in ((mine, "transaction"), (extra, "identity")):
+            df.write.option("header", True).csv(f"{target}/{name}_{kind}.csv")

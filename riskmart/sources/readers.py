@@ -10,19 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from riskmart.config import AUDIT_COLUMNS
+
 CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header. Without a schema the types are inferred, at the price of a second scan.
 
-    With a schema, lines that do not fit it are kept: their text lands in ``_corrupt_record`` if
-    the schema has that column.
+    With a schema the header must name its columns. A line that does not fit is kept as text if the
+    schema has the column ``_corrupt_record``; otherwise the read fails, so nothing turns null unseen.
     """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    names = T.StructType.fromDDL(schema).fieldNames() if isinstance(schema, str) else schema.fieldNames()
+    reader = reader.schema(schema).option("enforceSchema", False)
+    if CORRUPT in names:
+        return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return reader.option("mode", "FAILFAST").csv(path)
 
 
 def ingest_audit(df: DataFrame) -> DataFrame:
@@ -74,8 +80,12 @@ def ingest_once(
 
     A batch is planned in the manifest before it is loaded and marked done after. Its rows go to
     the partition ``_batch=<id>``, which a rerun after a crash overwrites, so nothing is loaded
-    twice or lost. A file without rows is remembered as well.
+    twice or lost. A file without rows is remembered as well. Without a schema the first load
+    infers the types and later ones keep them.
     """
+    if schema is None and table_exists(spark, table, fmt):
+        stored = spark.read.format(fmt).load(table).schema
+        schema = T.StructType([f for f in stored.fields if f.name not in (*AUDIT_COLUMNS, "_batch")])
     known = _manifest(spark, manifest)
     planned = known.filter(F.col("state") == "planned")
     done = known.filter(F.col("state") == "done").select("batch_id").distinct()
