@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskmart.config import SECONDS_PER_DAY, SECONDS_PER_HOUR
-from riskmart.functions.measures import div
 
 
 def seconds_since(ts: Column, epoch_day: str) -> Column:
@@ -20,19 +19,12 @@ def seconds_since(ts: Column, epoch_day: str) -> Column:
     )
 
 
-def _floor_div(a: Column, b: int) -> Column:
-    step = F.lit(b).cast("bigint")
-    return div(a - F.pmod(a, step), step)
-
-
 def relative_day(seconds: Column) -> Column:
-    return _floor_div(seconds.cast("bigint"), SECONDS_PER_DAY).cast("int")
+    return F.floor(seconds / F.lit(SECONDS_PER_DAY)).cast("int")
 
 
 def relative_hour(seconds: Column) -> Column:
-    # hour within the day, counted from the same epoch
-    in_day = F.pmod(seconds.cast("bigint"), F.lit(SECONDS_PER_DAY).cast("bigint"))
-    return div(in_day, F.lit(SECONDS_PER_HOUR).cast("bigint")).cast("int")
+    return (F.floor(seconds / F.lit(SECONDS_PER_HOUR)) % 24).cast("int")
 
 
 def relative_weekday(day: Column) -> Column:

@@ -27,6 +27,9 @@ def threshold_sums(
     """
     grid = sorted(thresholds or threshold_grid())
     reached = reduce(Column.__add__, [(F.col(score) >= F.lit(float(t))).cast("int") for t in grid])
+    # never null: the optimizer would otherwise test the whole sum for null in the scan, expanding
+    # an expensive score once per threshold
+    reached = F.coalesce(reached, F.lit(0))
     positive = F.col(label) == 1
     buckets = (
         scored.filter(F.col(label).isNotNull())

@@ -34,7 +34,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int = 4) ->
 
 def percentiles_by_class(df: DataFrame, value: str, label: str, probs: Sequence[float] = (0.5, 0.99)) -> DataFrame:
     """Count, mean, extremes and exact percentiles, overall (``all``) and per class."""
-    ranges = q.ordered_ranges(q.value_counts(df, value, label))
+    ranges = q.ordered_ranges(q.value_counts(df, value, label), with_all=True)
     summary = ranges.groupBy("grp").agg(
         F.sum("n").alias("n"),
         # value x count in exact units, so the mean does not depend on the order of the sum
@@ -57,7 +57,7 @@ def percentiles_by_class(df: DataFrame, value: str, label: str, probs: Sequence[
 
 def box_stats(df: DataFrame, value: str, label: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the last value within ``reach`` times the box height, outlier count."""
-    counts = q.value_counts(df.filter(F.col(label).isNotNull()), value, label).filter(F.col("grp") != q.ALL)
+    counts = q.value_counts(df.filter(F.col(label).isNotNull()), value, label)
     ranges = q.ordered_ranges(counts)
     quartiles = (
         q.quantiles_from_ranges(ranges, (0.25, 0.5, 0.75))

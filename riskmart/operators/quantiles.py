@@ -19,32 +19,28 @@ ALL = "all"
 
 
 def value_counts(df: DataFrame, value: Column | str, by: str | None = None) -> DataFrame:
-    """``grp, value, n``: one row per group and distinct value; group ``all`` covers every row."""
+    """``grp, value, n``: one row per group and distinct value."""
     value = F.col(value) if isinstance(value, str) else value
     group = F.lit(ALL) if by is None else F.col(by).cast("string")
-    counts = (
+    return (
         df.select(group.alias("grp"), value.cast("double").alias("value"))
         .filter(F.col("value").isNotNull())
         .groupBy("grp", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    if by is None:
-        return counts
-    # the whole is derived from the collapsed rows, not from the facts
-    both = counts.select(F.explode(F.array(F.lit(ALL), F.col("grp"))).alias("grp"), "value", "n")
-    return both.groupBy("grp", "value").agg(F.sum("n").alias("n"))
 
 
-def ordered_ranges(counts: DataFrame) -> DataFrame:
-    """The counts in value ranges numbered by ``part``, written once so the numbering is final."""
-    ranged = counts.repartitionByRange(F.col("value"), F.col("grp")).withColumn("part", F.spark_partition_id())
-    return cut_lineage(ranged, "value-ranges")
-
+def ordered_ranges(counts: DataFrame, with_all: bool = False) -> DataFrame:
+    """The counts in value ranges numbered by ``part``, written once so the numbering is final.
 
-def group_summary(ranges: DataFrame) -> DataFrame:
-    return ranges.groupBy("grp").agg(
-        F.sum("n").alias("n_rows"), F.min("value").alias("min_value"), F.max("value").alias("max_value")
-    )
+    ``with_all`` adds the group ``all`` on reading: its rows repeat a value once per group, which
+    changes neither ranks nor sums.
+    """
+    ranged = counts.repartitionByRange(F.col("value"), F.col("grp")).withColumn("part", F.spark_partition_id())
+    stored = cut_lineage(ranged, "value-ranges")
+    if not with_all:
+        return stored
+    return stored.select(F.explode(F.array(F.lit(ALL), F.col("grp"))).alias("grp"), "value", "n", "part")
 
 
 def quantiles_from_ranges(ranges: DataFrame, probs: Sequence[float]) -> DataFrame:
@@ -82,4 +78,4 @@ def quantiles_from_ranges(ranges: DataFrame, probs: Sequence[float]) -> DataFram
 
 
 def exact_quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: str | None = None) -> DataFrame:
-    return quantiles_from_ranges(ordered_ranges(value_counts(df, value, by)), probs)
+    return quantiles_from_ranges(ordered_ranges(value_counts(df, value, by), with_all=by is not None), probs)

@@ -58,13 +58,17 @@ MANIFEST_SCHEMA = "batch_id string, path string, state string"
 
 
 def _manifest(spark: SparkSession, path: str) -> DataFrame:
-    if table_exists(spark, path):
+    try:
         return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    return spark.createDataFrame([], MANIFEST_SCHEMA)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
 
 
-def _record(files: DataFrame, batch_id: str, state: str, manifest: str) -> None:
-    files.select(F.lit(batch_id).alias("batch_id"), "path", F.lit(state).alias("state")).write.mode("append").parquet(manifest)
+def _record(spark: SparkSession, files: Sequence[str], batch_id: str, state: str, manifest: str) -> None:
+    rows = spark.createDataFrame([(batch_id, f, state) for f in files], MANIFEST_SCHEMA)
+    rows.coalesce(1).write.mode("append").parquet(manifest)
 
 
 def ingest_once(
@@ -86,19 +90,25 @@ def ingest_once(
     if schema is None and table_exists(spark, table, fmt):
         stored = spark.read.format(fmt).load(table).schema
         schema = T.StructType([f for f in stored.fields if f.name not in (*AUDIT_COLUMNS, "_batch")])
-    known = _manifest(spark, manifest)
-    planned = known.filter(F.col("state") == "planned")
-    done = known.filter(F.col("state") == "done").select("batch_id").distinct()
-    fresh = list_files(spark, source, pattern).join(planned.select("path").distinct(), "path", "left_anti")
-
+    known = _manifest(spark, manifest).groupBy("path").agg(
+        F.max("batch_id").alias("batch_id"), F.max(F.col("state") == "done").alias("done")
+    )
+    # the reader takes file names, so the names of the files still to load are fetched
+    pending = (
+        list_files(spark, source, pattern)
+        .join(known, "path", "left")
+        .filter(~F.coalesce("done", F.lit(False)))
+        .select("path", "batch_id")
+        .collect()
+    )
     batches: dict[str, list[str]] = {}
-    for row in planned.join(done, "batch_id", "left_anti").select("batch_id", "path").collect():
-        batches.setdefault(row.batch_id, []).append(row.path)  # interrupted loads, finished first
-    new_files = [r.path for r in fresh.orderBy("path").collect()]  # the reader takes file names
-    if new_files:
+    for row in pending:
+        batches.setdefault(row.batch_id, []).append(row.path)
+    fresh = batches.pop(None, [])  # the others belong to loads that were interrupted
+    if fresh:
         batch_id = uuid.uuid4().hex
-        _record(spark.createDataFrame([(p,) for p in new_files], "path string"), batch_id, "planned", manifest)
-        batches[batch_id] = new_files
+        _record(spark, fresh, batch_id, "planned", manifest)
+        batches[batch_id] = fresh
 
     for batch_id, files in batches.items():
         rows = ingest_audit(read_csv(spark, files, schema)).withColumn("_batch", F.lit(batch_id))
@@ -109,7 +119,7 @@ def ingest_once(
             .partitionBy("_batch")
             .save(table)
         )
-        _record(spark.createDataFrame([(p,) for p in files], "path string"), batch_id, "done", manifest)
+        _record(spark, files, batch_id, "done", manifest)
     return sum(len(f) for f in batches.values())
 
 
