@@ -117,5 +117,9 @@ class Layout:
     def meta(self, name: str) -> str:
         return self.table("_meta", name)
 
+    def staging(self, name: str) -> str:
+        """Intermediate tables; each run replaces those of the run before."""
+        return self.table("_staging", name)
+
     def model(self, name: str) -> str:
         return self.table("models", name)

@@ -88,17 +88,20 @@ def box_stats(df: DataFrame, value: str, label: str, reach: float = 1.5) -> Data
 
 
 def amount_histogram(df: DataFrame, amount: str, label: str, edges: int = 50) -> DataFrame:
-    """Density of log(1 + amount) per class over common equal bins; the last bin is closed."""
+    """Density of log(1 + amount) per class over common equal bins; the last bin is closed.
+
+    If all amounts are equal, so are all edges: only the closed bin holds them, without a density.
+    """
     bins = edges - 1
     logged = df.select(F.col(label).alias("label"), F.log1p(F.col(amount)).alias("x"))
-    low = logged.agg(F.min("x")).scalar()
-    width = logged.agg((F.max("x") - F.min("x")) / F.lit(float(bins))).scalar()
-    slot = F.least(
-        F.floor((F.col("x") - low) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1).cast("bigint")
-    )
+    span = logged.agg(
+        F.struct(F.min("x").alias("low"), ((F.max("x") - F.min("x")) / F.lit(float(bins))).alias("width"))
+    ).scalar()
+    low, width = span["low"], F.nullif(span["width"], F.lit(0.0))
+    slot = F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1).cast("bigint"))
     counts = (
         logged.filter(F.col("label").isNotNull() & F.col("x").isNotNull())
-        .groupBy("label", F.coalesce(slot, F.lit(0)).cast("int").alias("bin"))
+        .groupBy("label", slot.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     per_class = F.sum("n").over(Window.partitionBy("label"))  # at most `bins` rows per class

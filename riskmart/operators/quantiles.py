@@ -63,7 +63,8 @@ def quantiles_from_ranges(ranges: DataFrame, probs: Sequence[float]) -> DataFram
     ).filter((F.col("target") >= F.col("first_rank")) & (F.col("target") < F.col("first_rank") + F.col("part_n")))
 
     needed = ranks.select("grp", "part").distinct()
-    in_range = Window.partitionBy("grp", "part").orderBy("value")
+    # row by row: group `all` holds equal values once per class, and peers must not share an offset
+    in_range = Window.partitionBy("grp", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.sum("n").over(in_range)
     scanned = ranges.join(needed, ["grp", "part"], "left_semi").select(
         "grp", "part", "value", (upto - F.col("n")).alias("from_offset"), upto.alias("to_offset")

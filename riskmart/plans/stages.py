@@ -21,7 +21,7 @@ from riskmart.config import (
 )
 from riskmart.functions import text
 from riskmart.operators import clean, economics, evaluation, features, joins, kpis, models, profile
-from riskmart.session import cut_lineage, scratch_path
+from riskmart.session import cut_lineage
 from riskmart.sources import readers, writers
 
 log = logging.getLogger("riskmart")
@@ -36,7 +36,7 @@ def bronze(spark: SparkSession, layout: Layout, cfg: RiskConfig, raw: str, schem
     loaded = {}
     for name in SOURCES:
         try:
-            files = readers.ingest_once(
+            load = readers.ingest_once(
                 spark, f"{raw.rstrip('/')}/{name}.csv", layout.bronze(name), layout.meta(f"manifest_{name}"),
                 (schemas or {}).get(name), fmt=layout.fmt,
             )
@@ -44,10 +44,12 @@ def bronze(spark: SparkSession, layout: Layout, cfg: RiskConfig, raw: str, schem
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             log.warning("source %s does not exist, skipped", name)
-            files = 0
-        loaded[f"{name}_files"] = files
-        if files:
-            check = readers.ingest_load_check(readers.read_table(spark, layout.bronze(name), layout.fmt))
+            load = readers.Loaded(0, ())
+        loaded[f"{name}_files"] = load.files
+        if load.files:
+            # only the partitions just written are counted
+            table = readers.read_table(spark, layout.bronze(name), layout.fmt)
+            check = readers.ingest_load_check(clean.filter_partition(table, "_batch", *load.batches))
             loaded[f"{name}_rows"] = check.agg(F.sum("n_rows")).first()[0] or 0
     return loaded
 
@@ -84,12 +86,12 @@ def silver(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     ]
     # Which columns stay depends on the joined rows. They are stored once, so that the profile and
     # the final write read columns instead of repeating the shuffles.
-    joined_path = scratch_path(spark, "silver-joined")
+    joined_path = layout.staging("silver_joined")
     writers.write_partitioned(joins.union_missing(*parts), joined_path, "dataset")
     joined = readers.read_table(spark, joined_path)
     training = clean.filter_partition(joined, "dataset", DATASET_TRAIN)
     nulls = clean.null_profile(training)
-    sparse = cut_lineage(clean.sparse_columns(nulls, cfg.max_null_fraction, cfg.protected), "sparse-columns")
+    sparse = cut_lineage(clean.sparse_columns(nulls, cfg.max_null_fraction, cfg.protected), "sparse-columns", layout.staging("sparse_columns"))
     dropped = [r.column_name for r in sparse.orderBy("column_name").collect()]  # one row per column at most
     writers.write_snapshot(sparse, layout.meta("silver_dropped_columns"), layout.fmt)
 
@@ -113,7 +115,7 @@ def gold_kpis(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """Daily table, cube, segments and totals: two column-pruned scans, nothing cached."""
     train = _training_rows(spark, layout)
     # the daily table and the totals are sums of the cube's sums
-    sums = cut_lineage(kpis.cube_sums(train, cfg.cube_dims, cfg.label, cfg.amount), "cube-sums")
+    sums = cut_lineage(kpis.cube_sums(train, cfg.cube_dims, cfg.label, cfg.amount), "cube-sums", layout.staging("cube_sums"))
     writers.write_snapshot(kpis.cube_from_sums(sums), layout.gold("cube_daily"), layout.fmt)
     writers.write_snapshot(kpis.bundle_from_sums(sums, ["day"]), layout.gold("kpis_daily"), layout.fmt)
     segments = kpis.segment_risk(train, cfg.segments, cfg.label, cfg.amount, cfg.min_support)
@@ -191,7 +193,7 @@ def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     try:
         if cfg.with_baseline:
             baseline = models.train_baseline(weighted, inputs, lists.categorical, cfg.label, "weight", cfg)
-            scored = cut_lineage(models.with_score(baseline, validation).select(*keep, "score"), "baseline-scores")
+            scored = cut_lineage(models.with_score(baseline, validation).select(*keep, "score"), "baseline-scores", layout.staging("baseline_scores"))
             summary |= {f"baseline_{k}": v for k, v in _quality(scored, curve_of(scored), cfg).items()}
         boosted = models.train_gbt(weighted, inputs, lists.categorical, cfg.label, "weight", cfg)
     finally:
@@ -201,9 +203,9 @@ def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
 
     # validation and holdout are scored once; the threshold is chosen on the stored scores
     both = joins.union_scored(table, [SPLIT_VALIDATION, SPLIT_HOLDOUT])
-    scores = cut_lineage(models.with_score(boosted, both).select(*keep, "score"), "scores")
+    scores = cut_lineage(models.with_score(boosted, both).select(*keep, "score"), "scores", layout.staging("scores"))
     scored = clean.filter_partition(scores, "split", SPLIT_VALIDATION)
-    curve = cut_lineage(curve_of(scored), "threshold-curve")
+    curve = cut_lineage(curve_of(scored), "threshold-curve", layout.staging("threshold_curve"))
     writers.write_snapshot(curve, layout.gold("threshold_curve"), layout.fmt)
     best = economics.optimal_threshold(curve, cfg.validation_days)
     writers.write_snapshot(best, layout.gold("optimal_threshold"), layout.fmt)
@@ -240,9 +242,9 @@ def export(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
 def report(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """Profile of the training rows and the findings drawn from it."""
     train = _training_rows(spark, layout)
-    nulls = cut_lineage(clean.null_profile(train), "null-profile")
+    nulls = cut_lineage(clean.null_profile(train), "null-profile", layout.staging("null_profile"))
     writers.write_snapshot(nulls, layout.gold("null_profile"), layout.fmt)
-    amounts = cut_lineage(profile.percentiles_by_class(train, cfg.amount, cfg.label), "amounts")
+    amounts = cut_lineage(profile.percentiles_by_class(train, cfg.amount, cfg.label), "amounts", layout.staging("amounts"))
     writers.write_snapshot(amounts, layout.gold("amount_profile"), layout.fmt)
     dropped = readers.read_table(spark, layout.meta("silver_dropped_columns"), layout.fmt).count()
     segments = readers.read_table(spark, layout.gold("segment_risk"), layout.fmt)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "riskmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,8 +56,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/riskmart/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, name: str):
-    """Write ``df`` to the shared folder once and read it back: later stages survive lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+def cut_lineage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back, so that later jobs neither repeat it nor lose it with an executor.
+
+    Without a path it goes to the shared folder, under the retention that folder has for checkpoints.
+    """
+    path = path or scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

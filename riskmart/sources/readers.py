@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,13 @@ def _record(spark: SparkSession, files: Sequence[str], batch_id: str, state: str
     rows.coalesce(1).write.mode("append").parquet(manifest)
 
 
+class Loaded(NamedTuple):
+    """Files loaded by one call and the batch partitions they went to."""
+
+    files: int
+    batches: tuple[str, ...]
+
+
 def ingest_once(
     spark: SparkSession,
     source: str,
@@ -79,8 +87,8 @@ def ingest_once(
     schema: T.StructType | str | None = None,
     pattern: str = "*",
     fmt: str = "parquet",
-) -> int:
-    """Append the files that were not loaded yet; returns how many files this run loaded.
+) -> Loaded:
+    """Append the files that were not loaded yet; returns what this run loaded.
 
     A batch is planned in the manifest before it is loaded and marked done after. Its rows go to
     the partition ``_batch=<id>``, which a rerun after a crash overwrites, so nothing is loaded
@@ -120,7 +128,7 @@ def ingest_once(
             .save(table)
         )
         _record(spark, files, batch_id, "done", manifest)
-    return sum(len(f) for f in batches.values())
+    return Loaded(sum(len(f) for f in batches.values()), tuple(batches))
 
 
 def ingest_load_check(loaded: DataFrame) -> DataFrame:
