@@ -67,8 +67,7 @@ def events_frame(spark: SparkSession, sf_dir: str, with_customer: bool = False)
 
 def scored_events(spark: SparkSession, sf_dir: str, threshold: float = 0.5, with_customer: bool = False) -> DataFrame:
     """EV with a reproducible four-decimal score that leans towards the positives."""
-    base = (F.lit(7000) * (key_hash(F.col("id")) % 10_000))
-    points = (base - base % 10_000) / F.lit(10_000) + F.lit(3000) * F.col("is_positive")
+    points = F.floor(F.lit(7000) * (key_hash(F.col("id")) % 10_000) / F.lit(10_000.0)) + F.lit(3000) * F.col("is_positive")
     scored = events_frame(spark, sf_dir, with_customer).withColumn("score", points.cast("double") / F.lit(10_000.0))
     return scored.withColumn("alert", F.col("score") >= F.lit(float(threshold)))
 
