@@ -36,11 +36,16 @@ def semi_join_sample(
     return sampled, kept
 
 
-def replay_day(features: DataFrame, times: DataFrame, key: str, day: int, seconds: str) -> DataFrame:
-    """Feature rows of one day with their time columns, ready to be sent in event order."""
+def rows_of_day(features: DataFrame, times: DataFrame, key: str, day: int) -> DataFrame:
+    """Feature rows of one day with their time columns; the day filter reaches the scan of the times."""
     return features.join(times.filter(F.col("day") == day), key)
 
 
+def replay_day(features: DataFrame, times: DataFrame, key: str, day: int, seconds: str) -> DataFrame:
+    """Feature rows of one day in the order in which they happened."""
+    return rows_of_day(features, times, key, day).orderBy(seconds, key)
+
+
 def enrich_scores(scores: DataFrame, facts: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Attach business columns to scored rows; only the needed fact columns are read."""
     wanted = [c for c in columns if c in facts.columns and c not in scores.columns]

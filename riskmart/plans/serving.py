@@ -47,7 +47,7 @@ def day_messages(spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int)
     table = readers.read_table(spark, layout.gold("features"), layout.fmt)
     rows = clean.filter_partition(table, "split", SPLIT_VALIDATION).drop("split")
     times = readers.read_table(spark, layout.silver("transactions"), layout.fmt).select(cfg.key, "day", cfg.seconds)
-    return joins.replay_day(rows, times, cfg.key, day, cfg.seconds)
+    return joins.rows_of_day(rows, times, cfg.key, day)
 
 
 def replay_by_hour(

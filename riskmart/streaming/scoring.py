@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -53,12 +53,6 @@ def exactly_once_append(batch: DataFrame, path: str, stream_id: str, batch_id: i
     )
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written by ``exactly_once_append``; with the schema given, it may still be empty."""
-    keys = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-    return spark.read.schema(T.StructType([*schema.fields, *keys])).parquet(path)
-
-
 def stream_score(
     batch: DataFrame, score: Callable[[DataFrame], DataFrame], threshold: float, keep: tuple[str, ...]
 ) -> DataFrame:
@@ -79,13 +73,25 @@ def latency_seconds() -> Column:
     return elapsed_seconds(F.col("scored_ts"), F.col("sent_ts"))
 
 
-def batch_stats(scored: DataFrame, label: str) -> DataFrame:
-    """Rows, alerts, true alerts and mean latency of scored rows."""
-    return scored.agg(
+def _stat_columns(label: str) -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         count_if(F.col("alert")).alias("alerts"),
         count_if(F.col("alert") & (F.col(label) == 1)).alias("true_alerts"),
-        F.round(F.avg(latency_seconds()), 2).alias("mean_latency_s"),
+        F.avg(latency_seconds()).alias("mean_latency_s"),
+    ]
+
+
+def batch_stats(scored: DataFrame, label: str) -> DataFrame:
+    """Rows, alerts, true alerts and mean latency of scored rows."""
+    return scored.agg(*_stat_columns(label)).withColumn("mean_latency_s", F.round("mean_latency_s", 2))
+
+
+def _observed_row(spark: SparkSession, seen: dict) -> DataFrame:
+    latency = seen.get("mean_latency_s")
+    return spark.range(1).select(
+        *[F.lit(seen.get(c, 0)).cast("bigint").alias(c) for c in ("n_rows", "alerts", "true_alerts")],
+        F.lit(None if latency is None else round(latency, 2)).cast("double").alias("mean_latency_s"),
     )
 
 
@@ -103,20 +109,19 @@ def foreach_batch_sink(
     def write(messages: DataFrame, batch_id: int) -> None:
         if messages.isEmpty():
             return
-        # the writes share one decoded batch
+        # both writes share one decoded batch; the statistics are observed while the alerts are
+        # written, so they cost no second scoring and no listing of older batches
         decoded = decode_messages(messages, schema).persist()
+        observed = Observation()
         try:
             rows, rejects = split_rejects(decoded, key)
-            scored = stream_score(rows, score, threshold, keep)
+            scored = stream_score(rows, score, threshold, keep).observe(observed, *_stat_columns(label))
             exactly_once_append(scored, sink.alerts, sink.stream_id, batch_id)
             exactly_once_append(rejects, sink.rejects, sink.stream_id, batch_id)
         finally:
             decoded.unpersist()
-        # statistics come from the partition just written: no second scoring
-        mine = read_batches(messages.sparkSession, sink.alerts, scored.schema).filter(
-            (F.col("stream_id") == sink.stream_id) & (F.col("batch_id") == batch_id)
-        )
-        exactly_once_append(batch_stats(mine, label).coalesce(1), sink.stats, sink.stream_id, batch_id)
+        stats = _observed_row(messages.sparkSession, observed.get)
+        exactly_once_append(stats, sink.stats, sink.stream_id, batch_id)
 
     return write
 
