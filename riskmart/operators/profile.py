@@ -67,23 +67,19 @@ def box_stats(df: DataFrame, value: str, label: str, reach: float = 1.5) -> Data
         .toDF("grp", "q1", "median", "q3")
     )
     height = F.col("q3") - F.col("q1")
-    fences = quartiles.withColumns(
-        {"low_fence": F.col("q1") - F.lit(reach) * height, "high_fence": F.col("q3") + F.lit(reach) * height}
-    )
-    inside = (F.col("value") >= F.col("low_fence")) & (F.col("value") <= F.col("high_fence"))
-    # one row per class on the right, so the runtime size check makes it a broadcast
-    return (
-        ranges.join(fences, "grp")
-        .groupBy(F.col("grp").alias("class"), "q1", "median", "q3")
-        .agg(
-            F.min(F.when(inside, F.col("value"))).alias("low_whisker"),
-            F.max(F.when(inside, F.col("value"))).alias("high_whisker"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
-        )
-        .select(
-            "class", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")],
-            "low_whisker", "high_whisker", "outliers",
-        )
+    fence = F.struct((F.col("q1") - F.lit(reach) * height).alias("low"), (F.col("q3") + F.lit(reach) * height).alias("high"))
+    # one entry per class: looked up as a value, so the counts are neither joined nor shuffled by class
+    fences = quartiles.agg(F.map_from_entries(F.collect_list(F.struct("grp", fence)))).scalar()
+    mine = F.element_at(fences, F.col("grp"))
+    inside = (F.col("value") >= mine["low"]) & (F.col("value") <= mine["high"])
+    whiskers = ranges.groupBy("grp").agg(
+        F.min(F.when(inside, F.col("value"))).alias("low_whisker"),
+        F.max(F.when(inside, F.col("value"))).alias("high_whisker"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+    )
+    return quartiles.join(whiskers, "grp").select(
+        F.col("grp").alias("class"), *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")],
+        "low_whisker", "high_whisker", "outliers",
     )
 
 

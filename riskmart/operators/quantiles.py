@@ -62,11 +62,14 @@ def quantiles_from_ranges(ranges: DataFrame, probs: Sequence[float]) -> DataFram
         F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("target"),
     ).filter((F.col("target") >= F.col("first_rank")) & (F.col("target") < F.col("first_rank") + F.col("part_n")))
 
-    needed = ranks.select("grp", "part").distinct()
+    # A handful of (group, range) pairs: as one value they filter the scan, so the ranges that are
+    # not wanted are never shuffled.
+    pair = F.concat_ws("/", F.col("part").cast("string"), F.col("grp"))
+    needed = ranks.agg(F.collect_set(pair)).scalar()
     # row by row: group `all` holds equal values once per class, and peers must not share an offset
     in_range = Window.partitionBy("grp", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.sum("n").over(in_range)
-    scanned = ranges.join(needed, ["grp", "part"], "left_semi").select(
+    scanned = ranges.filter(F.array_contains(needed, pair)).select(
         "grp", "part", "value", (upto - F.col("n")).alias("from_offset"), upto.alias("to_offset")
     )
     offset = F.col("target") - F.col("first_rank")

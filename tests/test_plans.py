@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from riskmart.operators import clean, economics, features, joins, kpis
+from riskmart.operators import clean, economics, features, joins, kpis, profile
 from riskmart.plans import bindings as b
 from riskmart.sources import readers, writers
 
@@ -126,3 +126,10 @@ def test_a_hot_join_key_is_split(spark, tmp_path):
             spark.conf.unset(k)
     assert len(rows) == 300_000
     assert "skew=true" in text
+
+
+def test_only_the_wanted_value_ranges_are_shuffled(spark, sf):
+    lines = b.line_facts(spark, sf)
+    text = plan(profile.box_stats(lines, "amount", "is_positive"))
+    joins_ = [n for n in text.splitlines() if "Join" in n and "Subquery" not in n]
+    assert "LeftSemi" not in text and "array_contains" in text and joins_
