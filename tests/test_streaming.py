@@ -63,6 +63,7 @@ def test_stream_equals_batch_and_rejects_are_set_aside(spark, rows, tmp_path):
     cards = kpis.alert_cards(batch, LABEL, AMOUNT).first()
     assert (stats.n_rows, stats.alerts, stats.true_alerts) == (cards.processed, cards.alerts, cards.true_alerts)
     assert stats.mean_latency_s > 0
+    assert scoring.mean_latency(got).first().mean_latency_s == pytest.approx(stats.mean_latency_s, abs=0.011)
 
 
 def test_restart_and_repeated_batches_add_nothing(spark, rows, tmp_path):
