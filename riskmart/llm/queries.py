@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import quality_rules
+from riskmart.llm import quality_rules, tokens
 from riskmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -15,3 +16,9 @@ __all__ = ["ORACLES", "QUERIES"]
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", F.round("score", 6).alias("score"))
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = tokens.TokenConfig(public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.token_counts(table(spark, sf_dir, "documents"), config)
