@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import quality_rules, tokens
+from riskmart.llm import classifier, quality_rules, tokens
 from riskmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,3 +22,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = tokens.TokenConfig(public_tokenizers.path("byte_bpe_50k.json"))
     return tokens.token_counts(table(spark, sf_dir, "documents"), config)
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
