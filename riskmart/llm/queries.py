@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import classifier, quality_rules, tokens
+from riskmart.llm import classifier, mixing, quality_rules, tokens
 from riskmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -27,3 +27,44 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality_classifier")
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP9_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS size
+  FROM documents GROUP BY doc_id, source),
+ranked AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sized GROUP BY source),
+weighed AS (
+  SELECT source, source_size, CASE rank % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight, 2 * source_size AS cap FROM ranked),
+levels AS (
+  SELECT *, (sum(source_size) OVER () * 150 / 100.0::DOUBLE
+             - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+goal AS (
+  SELECT source, source_size,
+         least(cap::DOUBLE, coalesce(max(level) FILTER (WHERE level * weight <= cap) OVER () * weight, cap::DOUBLE)) AS target
+  FROM levels),
+queued AS (
+  SELECT s.*, p.pass, g.target,
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY p.pass, md5(concat_ws('|', s.source, p.pass, s.doc_id)), s.doc_id, s.size
+                           ROWS UNBOUNDED PRECEDING) AS offered
+  FROM sized s CROSS JOIN (VALUES (0), (1)) p(pass) JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),
+finished AS (
+  SELECT *, CASE WHEN target > 0 THEN offered / target ELSE 0 END AS finish FROM queued),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS FIRST, pass, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS until
+  FROM finished),
+taken AS (
+  SELECT doc_id, source, sum(size)::BIGINT AS taken FROM placed
+  WHERE until - size / 2 <= (SELECT sum(source_size) * 150 / 100.0::DOUBLE FROM goal) GROUP BY doc_id, source)
+SELECT s.doc_id, s.size, g.source_size, g.target, coalesce(t.taken, 0)::BIGINT AS taken
+FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source
+LEFT JOIN taken t ON s.doc_id IS NOT DISTINCT FROM t.doc_id AND s.source IS NOT DISTINCT FROM t.source
+"""
+
+
+@query("op9_mixing", OP9_SQL)
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

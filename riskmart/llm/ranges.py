@@ -1,0 +1,38 @@
+"""Running totals over a global order, without a task that holds a whole group.
+
+Rows are range-partitioned, numbered by range and written once. Ranges and their totals are few; a running
+total is the total of the ranges before, plus a running sum inside the range.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from riskmart.session import cut_lineage
+
+
+def numbered_ranges(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` in ranges of ``order``, numbered by ``part``. Written to the shared folder: the numbers are final."""
+    return cut_lineage(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), name)
+
+
+def running_total(ranges: DataFrame, value: str, order: Sequence[str], out: str, by: str | None = None) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` up to and with the row, in ``order``, per ``by`` (or over all rows).
+
+    ``order`` must settle every tie but those between equal rows, and begin with ``by`` if that is given. Nulls in
+    ``by`` are a group of their own.
+    """
+    group = [] if by is None else [by]
+    totals = ranges.groupBy(*group, "part").agg(F.sum(value).alias("_sum"))
+    # one row per range and group: a row per group and task at most
+    before = Window.partitionBy(*group).orderBy("part") if group else Window.orderBy("part")
+    offsets = totals.select(*group, "part", (F.sum("_sum").over(before) - F.col("_sum")).alias("_before"))
+    inside = Window.partitionBy("part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = ranges.withColumn("_inside", F.sum(value).over(inside)).alias("r")
+    match = F.col("r.part") == F.col("o.part")
+    if by is not None:
+        match = match & F.col(f"r.{by}").eqNullSafe(F.col(f"o.{by}"))
+    return summed.join(offsets.alias("o"), match).select("r.*", (F.col("_before") + F.col("_inside")).alias(out)).drop("_inside")
