@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import classifier, mixing, quality_rules, tokens
+from riskmart.llm import classifier, mixing, quality_rules, tokens, warc
 from riskmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -68,3 +68,19 @@ LEFT JOIN taken t ON s.doc_id IS NOT DISTINCT FROM t.doc_id AND s.source IS NOT
 @query("op9_mixing", OP9_SQL)
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(CASE WHEN payload_bytes >= 100 THEN page_id END) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@query("op8_warc_bundles", OP8_SQL)
+def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
