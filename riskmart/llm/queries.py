@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import classifier, mixing, quality_rules, secrets, tokens, warc
+from riskmart.llm import classifier, mixing, quality_rules, secrets, simhash, tokens, warc
 from riskmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -89,3 +89,9 @@ def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_secret_scan")
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
