@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import classifier, decontaminate, mixing, quality_rules, secrets, simhash, tokens, warc
+from riskmart.llm import classifier, decontaminate, line_dedup, mixing, quality_rules, secrets, simhash, tokens, warc
 from riskmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -100,3 +100,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_decontamination")
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_line_dedup")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_decisions(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), F.concat_ws(",", F.col("dropped").cast("array<string>")).alias("dropped"))
