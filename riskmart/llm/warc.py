@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.session import cut_lineage, scratch_path
@@ -77,7 +77,7 @@ def seek_table(frames: list[tuple[int, int]]) -> bytes:
 
 
 def read_seek_table(data: bytes) -> list[tuple[int, int]]:
-    """(start, compressed size) of each frame, from the footer alone."""
+    """(start, compressed size) of each frame; ``data`` may be the end of a bundle that holds the footer."""
     n, flags, magic = struct.unpack("<IBI", data[-9:])
     if magic != SEEKABLE_MAGIC:
         raise ValueError("no seek table at the end of the bundle")
@@ -90,13 +90,6 @@ def read_seek_table(data: bytes) -> list[tuple[int, int]]:
     return out
 
 
-def read_frame(data: bytes, frame: int) -> bytes:
-    import zstandard
-
-    start, size = read_seek_table(data)[frame]
-    return zstandard.ZstdDecompressor().decompress(data[start : start + size])
-
-
 def parse_record(data: bytes, offset: int = 0) -> tuple[dict[str, str], bytes, int]:
     """Headers, body and end of the record at ``offset``."""
     head_end = data.index(b"\r\n\r\n", offset)
@@ -190,51 +183,64 @@ def write_archive(records: DataFrame, folder: str, config: WarcConfig = WarcConf
     return cut_lineage(wanted.mapInArrow(run, INDEX_SCHEMA), "warc-index", f"{folder}/index")
 
 
-def read_archive(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
+class _Reader:
+    """Reads frames of one bundle by range: first the footer, then only what is asked for."""
+
+    def __init__(self, folder: str, name: str):
+        import zstandard
+
+        self.fs, root = pafs.FileSystem.from_uri(folder)
+        self.name, self.opener, self.frame, self.data = name, zstandard.ZstdDecompressor(), -1, b""
+        self.file = self.fs.open_input_file(f"{root}/{name}")
+        size = self.file.size()
+        count = struct.unpack("<IBI", self.file.read_at(9, size - 9))[0]
+        foot = min(size, 9 + 12 * count)
+        self.table = read_seek_table(self.file.read_at(foot, size - foot))
+
+    def frame_bytes(self, frame: int) -> bytes:
+        if frame != self.frame:
+            start, size = self.table[frame]
+            self.frame, self.data = frame, self.opener.decompress(self.file.read_at(size, start))
+        return self.data
+
+
+def read_archive(folder: str, index: DataFrame) -> DataFrame:
     """``page_id, record_type, refers_to, payload_bytes, payload_digest`` of every indexed record.
 
-    Each record is read at the frame and offset the index states. The digest of a response is checked against the
-    stored payload; a revisit states the digest and length it had.
+    Each record is read at the frame and offset the index states; only the index is dealt to the tasks, a task seeks in the
+    bundles itself. The digest of a response is checked against the stored payload; a revisit states the digest and length it had.
     """
-    places = index.groupBy("bundle").agg(F.collect_list(F.struct("frame", "offset")).alias("places"))  # bounded by the size of a bundle
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content").join(places, "bundle")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
         names = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest"]
         types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string())
+        reader = None
         for batch in batches:
-            for content, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
-                content = content.as_py()
-                table = read_seek_table(content)
-                opener, rows, at, data = zstandard.ZstdDecompressor(), [], -1, b""
-                for place in sorted(wanted, key=lambda p: (p["frame"], p["offset"])):
-                    if place["frame"] != at:
-                        at = place["frame"]
-                        data = opener.decompress(content[table[at][0] : table[at][0] + table[at][1]])
-                    head, body, _ = parse_record(data, place["offset"])
-                    digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
-                    length, refers = int(head["X-Payload-Length"]), head.get("WARC-Refers-To")
-                    if refers is None:
-                        if hashlib.sha256(body).hexdigest() != digest or len(body) != length:
-                            raise ValueError(f"damaged record {head['WARC-Record-ID']}")
-                    own = head["WARC-Record-ID"][len("<urn:page:") : -1]
-                    refers = None if refers is None else int(refers[len("<urn:page:") : -1])
-                    rows.append((int(own) if own else None, head["WARC-Type"], refers, length, digest))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-
+            rows = []
+            for name, frame, offset in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+                if reader is None or reader.name != name:
+                    reader = _Reader(folder, name)
+                head, body, _ = parse_record(reader.frame_bytes(frame), offset)
+                digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
+                length, refers = int(head["X-Payload-Length"]), head.get("WARC-Refers-To")
+                if refers is None and (hashlib.sha256(body).hexdigest() != digest or len(body) != length):
+                    raise ValueError(f"damaged record {head['WARC-Record-ID']}")
+                own = head["WARC-Record-ID"][len("<urn:page:") : -1]
+                refers = None if refers is None else int(refers[len("<urn:page:") : -1])
+                rows.append((int(own) if own else None, head["WARC-Type"], refers, length, digest))
+            columns = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    places = index.select("bundle", "frame", "offset").repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
     schema = "page_id bigint, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string"
-    return files.select("content", "places").mapInArrow(run, schema)
+    return places.mapInArrow(run, schema)
 
 
 def archive_round_trip(pages: DataFrame, folder: str | None = None, config: WarcConfig = WarcConfig()) -> DataFrame:
     """Write all ``pages`` as WARC records, then read the archives back."""
-    spark = pages.sparkSession
-    folder = folder or shared_uri(scratch_path(spark, "warc"))
+    folder = folder or shared_uri(scratch_path(pages.sparkSession, "warc"))
     index = write_archive(plan_records(pages, config), folder, config)
-    return read_archive(spark, folder, index)
+    return read_archive(folder, index)
 
 
 def shared_uri(path: str) -> str:
