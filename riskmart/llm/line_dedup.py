@@ -38,6 +38,8 @@ class LineConfig:
     bands: int = 7
     similarity: float = 0.8
     broadcast_ids: int = 1_000_000
+    #: lines outside the main component of a bucket that one task compares with the bucket
+    block: int = 128
 
 
 def mask(k: int) -> int:
@@ -84,33 +86,70 @@ def signatures(every_line: DataFrame, config: LineConfig) -> DataFrame:
     return least.select("h1", "h2", "keeper", "n", F.array(*keys).alias("bands"))
 
 
+def _shingles(line: str, config: LineConfig) -> Column:
+    """The different shingle hashes of a line; the line is widened once, as a variable, not once per shingle."""
+    starts = F.sequence(F.lit(0), _last_start(F.col(line), config))
+    sets = F.transform(
+        F.array(F.encode(line, "UTF-32")), lambda wide: F.array_distinct(F.transform(starts, lambda i: _shingle_hash(wide, i, config)))
+    )
+    return F.element_at(sets, 1)
+
+
+def _similar(a: Column, b: Column, config: LineConfig) -> Column:
+    """Jaccard similarity of two sets of at least ``similarity``; sets too unequal in size are not intersected."""
+    sizes = F.size(a) + F.size(b)
+    # c / (sizes - c) >= t, with c at most the smaller size
+    need = F.lit(config.similarity / (1.0 + config.similarity)) * sizes - F.lit(1e-9)
+    return (F.least(F.size(a), F.size(b)) >= need) & (F.size(F.array_intersect(a, b)) >= need)
+
+
+def _texts(ids: DataFrame, every_line: DataFrame, config: LineConfig) -> DataFrame:
+    """``h1, line`` for the ids ``h1``: the lines are not shuffled unless they are wanted."""
+    few = ids.limit(config.broadcast_ids + 1).count() <= config.broadcast_ids
+    wanted = every_line.select("h1", "line").join(F.broadcast(ids) if few else ids, "h1", "left_semi")
+    return cut_lineage(wanted.groupBy("h1").agg(F.first("line").alias("line")), "line-texts")
+
+
 def _verified(pairs: DataFrame, every_line: DataFrame, config: LineConfig) -> DataFrame:
     """The ``a, b`` of ``pairs`` (ids h1) whose lines have at least the asked Jaccard similarity."""
     pairs = cut_lineage(pairs.filter("a <> b").distinct(), "line-candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    few = ids.limit(config.broadcast_ids + 1).count() <= config.broadcast_ids
-    wanted = every_line.select("h1", "line").join(F.broadcast(ids) if few else ids, "h1", "left_semi")
-    texts = cut_lineage(wanted.groupBy("h1").agg(F.first("line").alias("line")), "line-texts")
+    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), every_line, config)
     both = pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("h1").alias("b"), F.col("line").alias("line_b")), "b")
+    two = F.array(F.struct(_shingles("line_a", config).alias("a"), _shingles("line_b", config).alias("b")))
+    return both.filter(F.exists(two, lambda x: _similar(x["a"], x["b"], config))).select("a", "b")
+
 
-    def shingles(line: str) -> Column:
-        # bound as a variable, so that the line is widened once and not once per shingle
-        starts = F.sequence(F.lit(0), _last_start(F.col(line), config))
-        sets = F.transform(
-            F.array(F.encode(line, "UTF-32")), lambda wide: F.array_distinct(F.transform(starts, lambda i: _shingle_hash(wide, i, config)))
-        )
-        return F.element_at(sets, 1)
-
-    two = F.array(F.struct(shingles("line_a").alias("a"), shingles("line_b").alias("b")))
-    similar = F.exists(
-        two,
-        lambda x: F.exists(
-            F.array(F.size(F.array_intersect(x["a"], x["b"]))),
-            lambda common: common >= F.lit(config.similarity) * (F.size(x["a"]) + F.size(x["b"]) - common),
-        ),
+def _links_across(in_buckets: DataFrame, rooted: DataFrame, every_line: DataFrame, config: LineConfig) -> DataFrame:
+    """Links between lines that share a bucket and lie in different components, where the bucket's least line is in another component
+    than one of them.
+
+    The join compares each such line with its bucket and returns links only; a pair is compared in the first bucket both share. Large
+    buckets are dealt to several tasks.
+    """
+    placed = in_buckets.join(rooted.select("id", F.col("root").alias("own")), "id", "left")
+    placed = placed.join(rooted.select(F.col("id").alias("least"), F.col("root").alias("main")), "least", "left")
+    placed = placed.select("bucket", "id", "bands", F.coalesce("own", "id").alias("own"), F.coalesce("main", "least").alias("main"))
+    outside = placed.filter("own <> main").groupBy("bucket").agg(F.count(F.lit(1)).alias("n_outside"))
+    mixed = cut_lineage(placed.join(outside, "bucket"), "line-mixed")
+    texts = _texts(mixed.select(F.col("id").alias("h1")).distinct(), every_line, config)
+    sets = texts.select(F.col("h1").alias("id"), _shingles("line", config).alias("set"))
+    full = mixed.join(sets, "id").withColumn("blocks", F.ceil(F.col("n_outside") / config.block).cast("int"))
+    deal = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rest = full.filter("own <> main").select(
+        "bucket", deal.alias("block"), F.col("id").alias("a"), F.col("own").alias("own_a"), F.col("bands").alias("bands_a"), F.col("set").alias("set_a"),
+    )
+    every = full.select(
+        "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("id").alias("b"), F.col("own").alias("own_b"),
+        "main", F.col("bands").alias("bands_b"), F.col("set").alias("set_b"),
     )
-    return both.filter(similar).select("a", "b")
+    shared = F.zip_with("bands_a", "bands_b", lambda x, y: x == y)
+    first_shared = F.element_at("bands_a", F.array_position(shared, True).cast("int"))
+    # of two lines outside, one direction is enough
+    ordered = (F.col("own_b") == F.col("main")) | (F.col("a") < F.col("b"))
+    new = (F.col("own_a") != F.col("own_b")) & ordered & (first_shared == F.col("r.bucket"))
+    at = (F.col("r.bucket") == F.col("e.bucket")) & (F.col("r.block") == F.col("e.block"))
+    return rest.alias("r").join(every.alias("e"), at & new & _similar(F.col("set_a"), F.col("set_b"), config)).select("a", "b")
 
 
 def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
@@ -120,22 +159,12 @@ def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     members = signed.select(F.explode("bands").alias("bucket"), F.col("h1").alias("id"))
     # combined in each task before the shuffle; most buckets hold one line and end here
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1")
-    in_buckets = cut_lineage(members.join(buckets, "bucket").select("bucket", "id", "least"), "line-buckets")
+    in_buckets = cut_lineage(members.join(buckets, "bucket").select("bucket", "id", "least", "n"), "line-buckets")
     star = cut_lineage(_verified(in_buckets.select(F.col("id").alias("a"), F.col("least").alias("b")), every_line, config), "line-links")
-    first = components(star, "line-first")
-    # the component of each member and of its bucket's least line
-    placed = in_buckets.join(first.select("id", F.col("root").alias("own")), "id", "left")
-    placed = placed.join(first.select(F.col("id").alias("least"), F.col("root").alias("main")), "least", "left")
-    placed = placed.select("bucket", "id", F.coalesce("own", "id").alias("own"), F.coalesce("main", "least").alias("main"))
-    outside = placed.filter("own <> main").select("bucket", F.col("id").alias("a"), F.col("own").alias("own_a"))
     # a bucket of two has been compared whole
-    larger = placed.join(outside.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_outside")), "bucket")
-    larger = cut_lineage(larger.select("bucket", F.col("id").alias("b"), F.col("own").alias("own_b"), "main"), "line-mixed")
-    rest = larger.filter("own_b <> main").select("bucket", F.col("b").alias("a"), F.col("own_b").alias("own_a"))
-    crossed = rest.join(larger, "bucket").filter("own_a <> own_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    tried = in_buckets.select(F.least("id", "least").alias("a"), F.greatest("id", "least").alias("b")).distinct()
-    more = _verified(crossed.distinct().join(tried, ["a", "b"], "left_anti"), every_line, config)
-    rooted = components(star.union(more), "line-classes")
+    larger = in_buckets.filter("n > 2").join(signed.select(F.col("h1").alias("id"), "bands"), "id")
+    across = cut_lineage(_links_across(larger, components(star, "line-first"), every_line, config), "line-across")
+    rooted = components(star.union(across), "line-classes")
     joined = signed.join(rooted, signed["h1"] == rooted["id"], "left").filter("n > 1 or root is not null")
     joined = joined.select("h1", "h2", "keeper", F.coalesce("root", "h1").alias("root"))
     keepers = joined.groupBy("root").agg(F.min("keeper").alias("least_keeper"))
