@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import classifier, decontaminate, line_dedup, mixing, quality_rules, secrets, simhash, tokens, warc
+from riskmart.llm import classifier, decontaminate, line_dedup, mixing, quality_rules, secrets, simhash, substring_dedup, tokens, warc
 from riskmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -106,3 +106,9 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.line_decisions(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), F.concat_ws(",", F.col("dropped").cast("array<string>")).alias("dropped"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", "other_id", "other_start", "other_end", F.round("identity", 6).alias("identity"))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.components import components
+from riskmart.llm.groups import group_bounds, whole_groups
 from riskmart.llm.text import id_and_bytes
 from riskmart.session import cut_lineage
 
@@ -142,10 +143,7 @@ def fingerprint_links(distinct: DataFrame, config: SimHashConfig = SimHashConfig
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(rows: np.ndarray) -> list[tuple[int, int]]:
             """Links of the whole cells in ``rows`` (columns grid, cell, i, j, own, fp)."""
-            new = np.ones(len(rows), dtype=bool)
-            new[1:] = (rows[1:, :4] != rows[:-1, :4]).any(axis=1)
-            starts = np.flatnonzero(new)
-            lengths = np.diff(np.append(starts, len(rows)))
+            starts, lengths = group_bounds(rows, 4)
             fp = np.ascontiguousarray(rows[:, 5]).view(np.uint64)
             out: list[tuple[int, int]] = []
             pairs = starts[lengths == 2]
@@ -161,15 +159,8 @@ def fingerprint_links(distinct: DataFrame, config: SimHashConfig = SimHashConfig
                     out += _forest(group[own_block == i], group[own_block == j], config.distance)
             return out
 
-        rest = np.zeros((0, 6), dtype=np.int64)
-        for batch in batches:
-            rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)])
-            last = len(rows)
-            while last and (rows[last - 1, :4] == rows[-1, :4]).all():
-                last -= 1
-            yield as_batch(links(rows[:last]) if last else [])
-            rest = rows[last:]  # at most two blocks
-        yield as_batch(links(rest) if len(rest) else [])
+        for rows in whole_groups(batches, 4):  # a group is at most two blocks
+            yield as_batch(links(rows))
 
     def as_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
         both = np.array(pairs, dtype=np.uint64).reshape(-1, 2).view(np.int64)
