@@ -55,8 +55,8 @@ def lines(docs: DataFrame) -> DataFrame:
     return split.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit("second"), "line"))
 
 
-def _has_word() -> Column:
-    return F.length(F.translate("line", " \t\u000b\f\r\n", "")) > 0
+def _has_word(text: str = "line") -> Column:
+    return F.length(F.translate(text, " \t\u000b\f\r\n", "")) > 0
 
 
 def _shingle_hash(wide: Column, at: Column, config: LineConfig) -> Column:
@@ -185,10 +185,16 @@ def line_decisions(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFr
 
 
 def dedup_lines(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
-    """``docs`` with all columns, ``text`` without the dropped lines."""
-    gone = line_decisions(docs, config).filter(F.size("dropped") > 0).select(F.col("doc_id").alias("id"), "dropped")
-    at = F.col("d.doc_id").cast("bigint") == F.col("g.id")
-    kept = F.filter(F.split("d.text", "\n", -1), lambda line, i: ~F.array_contains(F.col("g.dropped"), i))
-    text = F.when(F.col("g.dropped").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
-    joined = docs.alias("d").join(gone.alias("g"), at, "left")
-    return joined.select(*[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])
+    """``docs`` with all columns and without the dropped lines: in ``text``, and in ``n_chars`` if there is such a column.
+
+    A document that loses its last line with a word goes.
+    """
+    gone = line_decisions(docs, config).filter(F.size("dropped") > 0).select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_dropped"))
+    joined = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").cast("bigint") == F.col("g._id"), "left")
+    kept = F.filter(F.split("d.text", "\n", -1), lambda line, i: ~F.array_contains(F.col("g._dropped"), i))
+    text = F.when(F.col("g._dropped").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
+    left = joined.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], F.col("g._dropped").alias("_dropped"))
+    left = left.filter(F.col("_dropped").isNull() | _has_word("text")).drop("_dropped")
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left

@@ -97,3 +97,12 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     joined = sized.alias("s").join(words.alias("t"), same, "left")
     full = joined.join(F.broadcast(goal).alias("g"), F.col("s.source").eqNullSafe(F.col("g.source")))
     return full.select("s.doc_id", "s.source", "s.size", "g.source_size", "g.target", F.coalesce("t.taken", F.lit(0).cast("bigint")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
+    """The mix itself: the columns of ``docs`` once per copy taken, with its ``mix_pass`` and its place ``mix_finish`` in the order of training."""
+    copies = mixture(docs, config)[2].select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("pass").alias("mix_pass"), F.col("finish").alias("mix_finish")
+    )
+    same = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("_id")) & F.col("d.source").cast("string").eqNullSafe(F.col("_source"))
+    return docs.alias("d").join(copies, same).select("d.*", "mix_pass", "mix_finish")

@@ -21,7 +21,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.components import components
@@ -181,5 +181,20 @@ def near_duplicates(docs: DataFrame, config: SimHashConfig = SimHashConfig()) ->
     return found.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFrame:
+    """The rows of ``docs`` with the least id of their component, one row per id, with all their columns.
+
+    Rows that repeat an id are one document: the one of least text hash stands for it. Rows with a null id stay.
+    """
+    stays = near_duplicates(docs, config).filter("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
+    rank = "rank"
+    while rank in docs.columns:
+        rank = f"_{rank}"
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    single = docs.filter(F.col("doc_id").isNotNull()).withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank)
+    kept = single.alias("d").join(stays, F.col("d.doc_id") == F.col("_stays"), "left_semi")
+    return kept.union(docs.filter(F.col("doc_id").isNull()))
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
