@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.components import components
+from riskmart.llm.text import fresh
 from riskmart.session import cut_lineage
 
 
@@ -189,12 +190,13 @@ def dedup_lines(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFrame
 
     A document that loses its last line with a word goes.
     """
-    gone = line_decisions(docs, config).filter(F.size("dropped") > 0).select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_dropped"))
-    joined = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").cast("bigint") == F.col("g._id"), "left")
-    kept = F.filter(F.split("d.text", "\n", -1), lambda line, i: ~F.array_contains(F.col("g._dropped"), i))
-    text = F.when(F.col("g._dropped").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
-    left = joined.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], F.col("g._dropped").alias("_dropped"))
-    left = left.filter(F.col("_dropped").isNull() | _has_word("text")).drop("_dropped")
+    gone = line_decisions(docs, config).filter(F.size("dropped") > 0).select("doc_id", "dropped")
+    joined = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").cast("bigint") == F.col("g.doc_id"), "left")
+    kept = F.filter(F.split("d.text", "\n", -1), lambda line, i: ~F.array_contains(F.col("g.dropped"), i))
+    text = F.when(F.col("g.dropped").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
+    mark = fresh(docs, "touched")
+    left = joined.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], F.col("g.dropped").isNotNull().alias(mark))
+    left = left.filter(~F.col(mark) | _has_word("text")).drop(mark)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return left

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.ranges import numbered_ranges, running_total
-from riskmart.llm.text import WORD_PATTERN
+from riskmart.llm.text import WORD_PATTERN, fresh
 from riskmart.session import cut_lineage
 
 
@@ -100,9 +100,9 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """The mix itself: the columns of ``docs`` once per copy taken, with its ``mix_pass`` and its place ``mix_finish`` in the order of training."""
-    copies = mixture(docs, config)[2].select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("pass").alias("mix_pass"), F.col("finish").alias("mix_finish")
-    )
-    same = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("_id")) & F.col("d.source").cast("string").eqNullSafe(F.col("_source"))
-    return docs.alias("d").join(copies, same).select("d.*", "mix_pass", "mix_finish")
+    """The mix itself: the columns of ``docs`` once per copy taken, with its ``mix_pass`` and its place ``mix_finish`` in the order of
+    training (with leading underscores if ``docs`` has such columns)."""
+    copies = mixture(docs, config)[2]
+    same = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").cast("string").eqNullSafe(F.col("t.source"))
+    joined = docs.alias("d").join(copies.alias("t"), same)
+    return joined.select("d.*", F.col("t.pass").alias(fresh(docs, "mix_pass")), F.col("t.finish").alias(fresh(docs, "mix_finish")))

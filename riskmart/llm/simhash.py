@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from riskmart.llm.components import components
 from riskmart.llm.groups import group_bounds, whole_groups
-from riskmart.llm.text import id_and_bytes
+from riskmart.llm.text import fresh, id_and_bytes
 from riskmart.session import cut_lineage
 
 EVEN = 0x5555555555555555
@@ -186,13 +186,11 @@ def keep_one(docs: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFr
 
     Rows that repeat an id are one document: the one of least text hash stands for it. Rows with a null id stay.
     """
-    stays = near_duplicates(docs, config).filter("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
-    rank = "rank"
-    while rank in docs.columns:
-        rank = f"_{rank}"
+    stays = near_duplicates(docs, config).filter("doc_id = component_id").select("doc_id").distinct()
+    rank = fresh(docs, "rank")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
     single = docs.filter(F.col("doc_id").isNotNull()).withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank)
-    kept = single.alias("d").join(stays, F.col("d.doc_id") == F.col("_stays"), "left_semi")
+    kept = single.alias("d").join(stays.alias("s"), F.col("d.doc_id").cast("bigint") == F.col("s.doc_id"), "left_semi")
     return kept.union(docs.filter(F.col("doc_id").isNull()))
 
 

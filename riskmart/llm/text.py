@@ -30,3 +30,11 @@ def utf8(text: Column | str = "text") -> Column:
 def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, data``: the only two columns an operator on whole texts reads."""
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("data"))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, with as many leading underscores as it takes not to clash with a column of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
