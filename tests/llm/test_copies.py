@@ -152,8 +152,7 @@ def near_lines(spark):
 
 @pytest.mark.parametrize("settings", [{}, {"block": 2}, {"broadcast_ids": 0}])
 def test_line_dedup(spark, near_lines, settings):
-    # more bands than in production: the fixture has many pairs just at the threshold
-    config = line_dedup.LineConfig(bands=24, **settings)
+    config = line_dedup.LineConfig(**settings)
     docs = spark.createDataFrame(near_lines, "doc_id long, text string")
     found = {r["doc_id"]: r["dropped"] for r in line_dedup.line_decisions(docs, config).collect()}
     assert found == lines_by_hand(near_lines, config)
