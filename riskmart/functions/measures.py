@@ -1,8 +1,10 @@
 """Exact measures: amounts as integer units, rates as integer half-up ratios.
 
 Sums of doubles depend on the order in which tasks finish. Amounts are therefore summed as
-ten-thousandths in a ``bigint`` (a fast codegen sum; ANSI mode raises on overflow beyond 9.2e14)
-and every ratio is computed on integers, so a rerun or another partitioning gives the same digits.
+ten-thousandths, and every ratio is computed on integers, so a rerun or another partitioning gives the
+same digits. The sum keeps the high and the low bits of the units in two ``bigint`` sums, which stay in fast
+codegen, and joins them as a decimal only when the group is complete: it holds for 1e12 rows of any amount
+below 9e14.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNITS = 10_000
+EXACT = "decimal(38,0)"
+LOW_BITS = 20
 
 
 def _col(c: Column | str) -> Column:
@@ -19,7 +23,7 @@ def _col(c: Column | str) -> Column:
 
 def div(a: Column, b: Column) -> Column:
     """Integer division; null when the divisor is 0."""
-    return F.call_function("div", a, F.nullif(b, F.lit(0).cast("bigint")))
+    return F.call_function("div", a, F.nullif(b, F.lit(0)))
 
 
 def units(amount: Column | str) -> Column:
@@ -27,17 +31,30 @@ def units(amount: Column | str) -> Column:
     return F.floor(_col(amount).cast("double") * F.lit(float(UNITS)) + F.lit(0.5))
 
 
+def wide_units(amount: Column | str) -> Column:
+    """Units of a reported amount that may itself be a large sum."""
+    return F.round(_col(amount).cast("decimal(38,4)") * F.lit(UNITS)).cast(EXACT)
+
+
+def exact_sum(amount_units: Column) -> Column:
+    """Sum of ``bigint`` units that cannot overflow, as a decimal; 0 over no rows."""
+    high, low = F.shiftright(amount_units, LOW_BITS), amount_units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    parts = [F.coalesce(F.sum(part), zero).cast(EXACT) for part in (high, low)]
+    return (parts[0] * F.lit(1 << LOW_BITS) + parts[1]).cast(EXACT)
+
+
 def money(amount_units: Column) -> Column:
     """Integer units to a double with two decimals, half up."""
-    step = F.lit(UNITS // 100).cast("bigint")
-    shifted = amount_units + F.lit(UNITS // 200).cast("bigint")
+    step = F.lit(UNITS // 100).cast(EXACT)
+    shifted = amount_units.cast(EXACT) + F.lit(UNITS // 200)
     return (shifted - F.pmod(shifted, step)).cast("double") / F.lit(float(UNITS))
 
 
 def half_up(num: Column, den: Column, digits: int) -> Column:
     """``num / den`` of non-negative integers, rounded half up to ``digits`` decimals."""
-    num, den = num.cast("bigint"), den.cast("bigint")
-    scaled = div(num * F.lit(2 * 10**digits).cast("bigint") + den, den * F.lit(2).cast("bigint"))
+    num, den = num.cast(EXACT), den.cast(EXACT)
+    scaled = div(num * F.lit(2 * 10**digits) + den, den * F.lit(2))
     return scaled.cast("double") / F.lit(float(10**digits))
 
 
@@ -47,7 +64,7 @@ def ratio_or_zero(num: Column, den: Column, digits: int) -> Column:
 
 
 def rate_pct(positives: Column, n: Column, digits: int = 3) -> Column:
-    return half_up(positives.cast("bigint") * F.lit(100).cast("bigint"), n, digits)
+    return half_up(positives.cast(EXACT) * F.lit(100), n, digits)
 
 
 def count_if(cond: Column) -> Column:
@@ -55,7 +72,7 @@ def count_if(cond: Column) -> Column:
 
 
 def sum_if(cond: Column, value: Column) -> Column:
-    return F.coalesce(F.sum(F.when(cond, value)), F.lit(0).cast("bigint"))
+    return exact_sum(F.when(cond, value))
 
 
 def additive_sums(label: str, amount_units: Column) -> list[Column]:
@@ -65,7 +82,7 @@ def additive_sums(label: str, amount_units: Column) -> list[Column]:
         F.count(F.lit(1)).alias("transactions"),
         F.count(F.col(label)).alias("labelled"),
         count_if(positive).alias("positives"),
-        F.coalesce(F.sum(amount_units), F.lit(0).cast("bigint")).alias("amount_units"),
+        exact_sum(amount_units).alias("amount_units"),
         sum_if(positive, amount_units).alias("positive_units"),
     ]
 

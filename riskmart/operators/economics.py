@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.config import threshold_grid
-from riskmart.functions.measures import UNITS, count_if, half_up, money, ratio_or_zero, sum_if, units
+from riskmart.functions.measures import UNITS, count_if, half_up, money, ratio_or_zero, sum_if, units, wide_units
 
 
 def _cost_units(cost: float) -> Column:
@@ -143,11 +143,11 @@ def nearest_threshold(curve: DataFrame, wanted: float) -> DataFrame:
 
 def optimal_threshold(curve: DataFrame, period_days: int) -> DataFrame:
     """The cheapest threshold and what it saves against having no model."""
-    saved = units("cost_without_model") - units("total_cost")
+    saved = wide_units("cost_without_model") - wide_units("total_cost")
     return argmin_threshold(curve).select(
         "threshold", "total_cost", "cost_without_model",
         money(saved).alias("savings"),
-        F.round(F.lit(100.0) * saved.cast("double") / F.nullif(units("cost_without_model"), F.lit(0)).cast("double"), 2).alias("savings_pct"),
+        F.round(F.lit(100.0) * saved.cast("double") / F.nullif(wide_units("cost_without_model"), F.lit(0)).cast("double"), 2).alias("savings_pct"),
         "recall", "precision", "alerts_per_day",
         F.lit(period_days).alias("period_days"),
     )

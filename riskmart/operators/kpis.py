@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.config import NO_DATA
-from riskmart.functions.measures import additive_sums, bundle_columns, count_if, half_up, money, sum_if, units
+from riskmart.functions.measures import additive_sums, bundle_columns, count_if, half_up, money, sum_if, units, wide_units
 from riskmart.functions.text import or_no_data
 
 SUMS = ("transactions", "labelled", "positives", "amount_units", "positive_units")
@@ -146,8 +146,8 @@ def _cube_sums() -> list[Column]:
     return [
         F.coalesce(F.sum("transactions"), F.lit(0)).alias("transactions"),
         F.coalesce(F.sum("positives"), F.lit(0)).alias("positives"),
-        F.coalesce(F.sum(units("amount_total")), F.lit(0)).alias("amount_units"),
-        F.coalesce(F.sum(units("amount_positive")), F.lit(0)).alias("positive_units"),
+        F.coalesce(F.sum(wide_units("amount_total")), F.lit(0)).alias("amount_units"),
+        F.coalesce(F.sum(wide_units("amount_positive")), F.lit(0)).alias("positive_units"),
     ]
 
 
@@ -292,5 +292,5 @@ def rolling_mean_of_rates(daily: DataFrame, rows: int = 7) -> DataFrame:
 def rolling_amount_share(daily: DataFrame, rows: int = 7) -> DataFrame:
     """Trailing share of the positive amount in the whole amount."""
     w = _trailing(rows)
-    positive, total = F.sum(units("amount_positive")).over(w), F.sum(units("amount_total")).over(w)
+    positive, total = F.sum(wide_units("amount_positive")).over(w), F.sum(wide_units("amount_total")).over(w)
     return daily.select("day", F.round(_pct(positive, total), 6).alias("rolling_amount_share_pct"))

@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.functions.measures import UNITS, count_if, half_up, units
+from riskmart.functions.measures import EXACT, UNITS, count_if, half_up, units
 from riskmart.operators import quantiles as q
 
 
@@ -38,7 +38,7 @@ def percentiles_by_class(df: DataFrame, value: str, label: str, probs: Sequence[
     summary = ranges.groupBy("grp").agg(
         F.sum("n").alias("n"),
         # value x count in exact units, so the mean does not depend on the order of the sum
-        (F.sum(units("value") * F.col("n")).cast("double") / F.sum("n").cast("double") / F.lit(float(UNITS))).alias("mean"),
+        (F.sum(units("value").cast(EXACT) * F.col("n")).cast("double") / F.sum("n").cast("double") / F.lit(float(UNITS))).alias("mean"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskmart.functions.measures import money, units
+from riskmart.functions.measures import exact_sum, money, units
 from riskmart.operators import kpis
 from riskmart.plans import bindings as b
 from riskmart.plans.queries import sqltext as s
@@ -55,7 +55,7 @@ def ingest_once(spark, sf):
             readers.ingest_once(spark, source, table, manifest, ORDERS_SCHEMA, pattern="*.csv")
     loaded = readers.read_table(spark, table)
     return loaded.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n_rows"), money(F.sum(units("o_totalprice"))).alias("total")
+        F.count(F.lit(1)).alias("n_rows"), money(exact_sum(units("o_totalprice"))).alias("total")
     )
 
 
