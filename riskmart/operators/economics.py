@@ -26,7 +26,9 @@ def threshold_sums(
     running sum over the buckets from the top.
     """
     grid = sorted(thresholds or threshold_grid())
-    reached = reduce(Column.__add__, [(F.col(score) >= F.lit(float(t))).cast("int") for t in grid])
+    # NaN would be greater than any threshold: it reaches none, like a score that is missing
+    value = F.nanvl(F.col(score).cast("double"), F.lit(float("-inf")))
+    reached = reduce(Column.__add__, [(value >= F.lit(float(t))).cast("int") for t in grid])
     # never null: the optimizer would otherwise test the whole sum for null in the scan, expanding
     # an expensive score once per threshold
     reached = F.coalesce(reached, F.lit(0))
@@ -112,7 +114,11 @@ def confusion_at(curve: DataFrame, threshold: float) -> DataFrame:
 
 
 def metrics_at(curve: DataFrame, threshold: float = 0.5) -> DataFrame:
-    return nearest_threshold(curve, threshold).select("threshold", "precision", "recall", "f1")
+    """Quality at exactly this threshold; a curve that does not hold it fails."""
+    here = units("threshold") == F.lit(int(round(threshold * UNITS)))
+    found = curve.filter(here).agg(F.first(F.struct("threshold", "precision", "recall", "f1")).alias("at"))
+    missing = F.raise_error(F.lit(f"the curve has no threshold {threshold}")).cast(found.schema["at"].dataType)
+    return found.select(F.coalesce("at", missing).alias("at")).select("at.*")
 
 
 def cost_without_model(scored: DataFrame, label: str, amount: str, chargeback: float = 25.0) -> DataFrame:

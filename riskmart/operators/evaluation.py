@@ -2,57 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.functions.measures import count_if, units
+from riskmart.functions.measures import count_if
+from riskmart.operators.ranges import numbered_ranges, running_totals
 
 
 def score_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """Positives and negatives per distinct score.
-
-    Scores carry four decimals, so this table has at most 10 001 rows however many rows were scored.
-    """
-    return (
-        scored.filter(F.col(label).isNotNull())
-        .groupBy(units(score).alias("points"))
-        .agg(count_if(F.col(label) == 1).alias("pos"), count_if(F.col(label) == 0).alias("neg"))
-    )
+    """Positives and negatives per distinct score. Rows without a label, or with a score that is null or NaN, take no part."""
+    value = F.col(score).cast("double")
+    known = scored.filter(F.col(label).isNotNull() & value.isNotNull() & ~F.isnan(value))
+    return known.groupBy(value.alias("points")).agg(count_if(F.col(label) == 1).alias("pos"), count_if(F.col(label) == 0).alias("neg"))
 
 
 def _swept(counts: DataFrame) -> DataFrame:
-    # bounded table (see score_counts), so a single ordered window is enough
-    down = Window.orderBy(F.col("points").desc())
-    everything = Window.partitionBy()
-    return counts.select(
-        "points",
-        "pos",
-        "neg",
-        F.sum("pos").over(down).cast("double").alias("tp"),
-        F.sum("neg").over(down).cast("double").alias("fp"),
-        F.sum("pos").over(everything).cast("double").alias("all_pos"),
-        F.sum("neg").over(everything).cast("double").alias("all_neg"),
+    """The counts with all that lies at or above each score, as doubles, and the totals on every row.
+
+    There may be as many scores as rows: running sums go over value ranges, not through one task.
+    """
+    down = [F.col("points").desc()]
+    ranges = numbered_ranges(counts, down, "score-ranges")
+    swept = running_totals(ranges, {"tp": "pos", "fp": "neg"}, down)
+    totals = ranges.agg(F.struct(F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"))).scalar()
+    return swept.select(
+        "points", "pos", "neg", F.col("tp").cast("double").alias("tp"), F.col("fp").cast("double").alias("fp"),
+        totals["pos"].alias("all_pos"), totals["neg"].alias("all_neg"),
     )
 
 
-def roc_auc(scored: DataFrame, score: str, label: str, digits: int = 4) -> DataFrame:
-    """Area under the ROC curve: trapezoids between distinct scores, no down-sampling."""
-    s = _swept(score_counts(scored, score, label))
+def _roc_area() -> Column:
     # each negative sees the positives above it plus half of those it ties with
     area = F.sum(F.col("neg") * (F.col("tp") * 2 - F.col("pos")))
-    pairs = F.max("all_pos") * F.max("all_neg") * 2
-    return s.agg(F.round(area / F.nullif(pairs, F.lit(0.0)), digits).alias("roc_auc"))
+    return area / F.nullif(F.max("all_pos") * F.max("all_neg") * 2, F.lit(0.0))
 
 
-def pr_auc(scored: DataFrame, score: str, label: str, digits: int = 4) -> DataFrame:
-    """Area under precision over recall by trapezoids; starts at recall 0 with the first precision."""
-    s = _swept(score_counts(scored, score, label))
+def _pr_area() -> Column:
+    """Trapezoids from one distinct score to the next; before the first, precision is that of the first."""
+    above = F.col("tp") - F.col("pos")
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    points = s.select("points", "pos", "all_pos", precision.alias("precision"))
-    before = F.lag("precision").over(Window.orderBy(F.col("points").desc()))
-    steps = points.withColumn("before", F.coalesce(before, F.col("precision")))
-    step = F.col("pos") / F.nullif(F.col("all_pos"), F.lit(0.0)) * (F.col("precision") + F.col("before")) / 2
-    return steps.agg(F.round(F.sum(step), digits).alias("pr_auc"))
+    before = F.coalesce(above / F.nullif(above + F.col("fp") - F.col("neg"), F.lit(0.0)), precision)
+    return F.sum(F.col("pos") / F.nullif(F.col("all_pos"), F.lit(0.0)) * (precision + before) / 2)
+
+
+def roc_auc(scored: DataFrame, score: str, label: str, digits: int = 4) -> DataFrame:
+    """Area under the ROC curve over all distinct scores as they are."""
+    return _swept(score_counts(scored, score, label)).agg(F.round(_roc_area(), digits).alias("roc_auc"))
+
+
+def pr_auc(scored: DataFrame, score: str, label: str, digits: int = 4) -> DataFrame:
+    """Area under precision over recall, over all distinct scores as they are."""
+    return _swept(score_counts(scored, score, label)).agg(F.round(_pr_area(), digits).alias("pr_auc"))
+
+
+def areas(scored: DataFrame, score: str, label: str, digits: int = 4) -> DataFrame:
+    """Both areas from one pass over the scores."""
+    swept = _swept(score_counts(scored, score, label))
+    return swept.agg(F.round(_roc_area(), digits).alias("roc_auc"), F.round(_pr_area(), digits).alias("pr_auc"))
 
 
 def prevalence_lift(scored: DataFrame, score: str, label: str) -> DataFrame:
@@ -79,5 +85,3 @@ def compare_models(metrics: DataFrame) -> DataFrame:
     """Long ``model, metric, value`` rows side by side: one row per model."""
     names = ["roc_auc", "pr_auc", "recall", "precision", "f1"]
     return metrics.groupBy("model").pivot("metric", names).agg(F.first("value"))
-
-

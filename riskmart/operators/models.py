@@ -83,8 +83,10 @@ def with_score(model: Transformer, df: DataFrame, target: str = "score", digits:
 
 
 def flag_alerts(scored: DataFrame, threshold: float | Column, score: str = "score", target: str = "alert") -> DataFrame:
+    """True from the threshold on; a score that is NaN never alerts."""
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return scored.withColumn(target, F.col(score) >= limit)
+    value = F.col(score).cast("double")
+    return scored.withColumn(target, (value >= limit) & ~F.isnan(value))
 
 
 def score_table(model: Transformer, features: DataFrame, keep: Sequence[str], threshold: float) -> DataFrame:

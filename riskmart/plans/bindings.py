@@ -6,6 +6,8 @@ the operators know nothing about where it came from.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ HOLDOUT_FROM_DAY = 25
 VALIDATION_DAYS = 7
 VALIDATION_FROM_DAY = HOLDOUT_FROM_DAY - VALIDATION_DAYS
 LI_SEGMENTS = ["mktsegment", "orderpriority", "orderstatus", "linestatus", "p_type", "p_brand", "p_name"]
-LI_DIMS = ["mktsegment", "orderpriority", "p_type"]
+LI_DIMS = ["mktsegment", "orderpriority"]
 
 # Device texts and mail domains that events are mapped to by their `props.k`.
 DEVICE_TEXTS = [
@@ -72,32 +74,29 @@ def scored_events(spark: SparkSession, sf_dir: str, threshold: float = 0.5, with
     return scored.withColumn("alert", F.col("score") >= F.lit(float(threshold)))
 
 
-def lineitem_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LI: lineitem with the dimensions of its order, customer and part."""
-    line = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-    )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_name")
-    # orders meet their customers first: each order is looked up once, not once per line
-    headed = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    joined = line.join(headed, line.l_orderkey == headed.o_orderkey).join(part, line.l_partkey == part.p_partkey)
-    return joined.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.date_diff(F.col("l_shipdate").cast("date"), F.lit(SHIP_EPOCH).cast("date")).alias("day"),
-        (F.col("l_returnflag") == "R").cast("int").alias("is_positive"),
-        F.col("l_extendedprice").alias("amount"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_discount").alias("discount"),
-        F.col("l_tax").alias("tax"),
-        F.col("c_mktsegment").alias("mktsegment"),
-        F.col("o_orderpriority").alias("orderpriority"),
-        F.col("o_orderstatus").alias("orderstatus"),
-        F.col("l_linestatus").alias("linestatus"),
-        "p_type", "p_brand", "p_name",
-    )
+ORDER_DIMS = {"mktsegment": "c_mktsegment", "orderpriority": "o_orderpriority", "orderstatus": "o_orderstatus"}
+PART_DIMS = ("p_type", "p_brand", "p_name")
+
+
+def lineitem_frame(spark: SparkSession, sf_dir: str, dims: Sequence[str] | None = None) -> DataFrame:
+    """LI: lineitem with dimensions of its order, customer and part; only the tables of the wanted ``dims`` are joined."""
+    dims = [*ORDER_DIMS, "linestatus", *PART_DIMS] if dims is None else dims
+    frame = line_facts(spark, sf_dir)
+    own = [c for c in frame.columns if c != "linestatus" or "linestatus" in dims]
+    headed = [d for d in dims if d in ORDER_DIMS]
+    if headed:
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+        if "mktsegment" in headed:
+            # orders meet their customers first: each order is looked up once, not once per line
+            customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+            orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
+        wanted = orders.select("o_orderkey", *[F.col(ORDER_DIMS[d]).alias(d) for d in headed])
+        frame = frame.join(wanted, frame.l_orderkey == wanted.o_orderkey)
+    of_part = [d for d in dims if d in PART_DIMS]
+    if of_part:
+        part = table(spark, sf_dir, "part").select("p_partkey", *of_part)
+        frame = frame.join(part, frame.l_partkey == part.p_partkey)
+    return frame.select(*own, *headed, *of_part)
 
 
 def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

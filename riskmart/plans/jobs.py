@@ -41,7 +41,6 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     score.add_argument("--stream-id", default="alerts")
     replay = jobs.add_parser("replay", help="send one stored day, hour by hour")
     replay.add_argument("--day", type=int, required=True)
-    replay.add_argument("--pause", type=float, default=0.0, help="seconds between two hours")
     for p in (score, replay):
         p.add_argument("--servers", required=True)
         p.add_argument("--topic", default="transactions")
@@ -75,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
         elif args.job == "score":
             serving.score_topic(spark, Layout(args.root, args.format), cfg, args.servers, args.topic, args.stream_id).awaitTermination()
         else:
-            serving.replay_topic(spark, Layout(args.root, args.format), cfg, args.servers, args.topic, args.pause)
+            serving.replay_topic(spark, Layout(args.root, args.format), cfg, args.servers, args.topic)
     finally:
         spark.stop()
 

@@ -187,7 +187,7 @@ GROUP BY p_brand, p_type, orderpriority HAVING count(*) >= 100""",
 )
 def min_support(spark, sf):
     grouped = kpis.metric_bundle(
-        b.lineitem_frame(spark, sf), ["p_brand", "p_type", "orderpriority"], "is_positive", "amount"
+        b.lineitem_frame(spark, sf, ["p_brand", "p_type", "orderpriority"]), ["p_brand", "p_type", "orderpriority"], "is_positive", "amount"
     )
     return clean.min_support(grouped, "transactions", 100)
 
@@ -214,7 +214,7 @@ def left_join_presence(spark, sf):
     "semi_join_sample",
     """SELECT doc_id, quality, toxic FROM labels
 WHERE doc_id IN (SELECT doc_id FROM documents
-  WHERE CAST('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000000 < 300000)""",
+  WHERE CAST('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) < 345876451382054080)""",
 )
 def semi_join_sample(spark, sf):
     docs = b.table(spark, sf, "documents").select("doc_id", "lang")

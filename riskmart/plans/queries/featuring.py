@@ -127,7 +127,7 @@ def feature_table(spark, sf):
     "stratified_sample",
     f"""WITH {s.LF}, k AS (SELECT *, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS key FROM lf)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, is_positive FROM k
-WHERE is_positive = 1 OR CAST('0x' || substr(md5('42:' || key), 1, 8) AS BIGINT) % 1000000 < 200000""",
+WHERE is_positive = 1 OR CAST('0x' || substr(md5('42:' || key), 1, 15) AS BIGINT) < 230584300921369408""",
 )
 def stratified_sample(spark, sf):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -153,7 +153,7 @@ def class_weights(spark, sf):
 SELECT p_brand, n, CAST(row_number() OVER (ORDER BY n DESC, p_brand) - 1 AS DOUBLE) AS brand_index FROM c""",
 )
 def index_categories(spark, sf):
-    lines = b.lineitem_frame(spark, sf).select("p_brand")
+    lines = b.lineitem_frame(spark, sf, ["p_brand"]).select("p_brand")
     (indexer,) = models.index_categories(["p_brand"])
     indexed = indexer.fit(lines).transform(lines)
     return indexed.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.max("p_brand__index").alias("brand_index"))
@@ -202,8 +202,7 @@ def _fitted(spark, sf, train):
 def _quality(spark, sf, train):
     model, stored = _fitted(spark, sf, train)
     scored = models.with_score(model, clean.filter_partition(stored, "split", "validacion"))
-    area = evaluation.roc_auc(scored, "score", LABEL)
-    return area.withColumn("pr_auc", evaluation.pr_auc(scored, "score", LABEL).scalar())
+    return evaluation.areas(scored, "score", LABEL)
 
 
 @query("train_baseline")

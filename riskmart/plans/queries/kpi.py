@@ -36,7 +36,7 @@ def segment_risk(spark, sf):
 
 @query("metric_bundle", f"WITH {s.LI} SELECT p_brand, {s.bundle()} FROM li GROUP BY p_brand")
 def metric_bundle(spark, sf):
-    return kpis.metric_bundle(b.lineitem_frame(spark, sf), ["p_brand"], LABEL, AMOUNT)
+    return kpis.metric_bundle(b.lineitem_frame(spark, sf, ["p_brand"]), ["p_brand"], LABEL, AMOUNT)
 
 
 @query("kpis_daily", f"WITH {s.EV} SELECT day, {s.bundle()} FROM ev GROUP BY day")
@@ -46,7 +46,7 @@ def kpis_daily(spark, sf):
 
 @query("daily_cube", f"WITH {s.LI} {s.cube('li', b.LI_DIMS)}")
 def daily_cube(spark, sf):
-    return kpis.daily_cube(b.lineitem_frame(spark, sf), b.LI_DIMS, LABEL, AMOUNT)
+    return kpis.daily_cube(b.lineitem_frame(spark, sf, b.LI_DIMS), b.LI_DIMS, LABEL, AMOUNT)
 
 
 @query("global_kpis", f"WITH {s.LF} SELECT {s.bundle()}, count(DISTINCT day) AS days FROM lf")

@@ -42,7 +42,7 @@ def score_stream(spark, sf):
     def send(rows):
         writers.write_messages(rows.withColumn("timestamp", F.current_timestamp()), feed, fmt="parquet")
 
-    serving.replay_by_hour(spark, layout, CONFIG, day, send)
+    serving.replay_day(spark, layout, CONFIG, day, send)
     running, sink = serving.score_stream(spark, layout, CONFIG, messages.file_source(spark, feed), "day", None)
     running.awaitTermination()
     batch = readers.read_table(spark, layout.gold("predictions")).select(

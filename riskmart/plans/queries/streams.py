@@ -42,10 +42,14 @@ def _arrived(rows):
 
 
 def _spoiled(rows):
-    """Cut every message whose id is a multiple of 50 in half, as a broken sender would."""
-    broken = F.col("key").cast("bigint") % 50 == 0
+    """Spoil every message whose id is a multiple of 50: cut in half, a number that is none, text behind the object, a field left out."""
+    n = F.col("key").cast("bigint")
     half = F.substring("value", F.lit(1), F.floor(F.length("value") / 2).cast("int"))
-    return rows.withColumn("value", F.when(broken, half).otherwise(F.col("value")))
+    wrong_type = F.regexp_replace("value", '"amount":[^,]*', '"amount":"abc"')
+    trailing = F.concat("value", F.lit(" and more"))
+    left_out = F.regexp_replace("value", '"id":[^,]*,', "")
+    kinds = F.element_at(F.array(half, wrong_type, trailing, left_out), ((n / 50).cast("int") % 4 + 1))
+    return rows.withColumn("value", F.when(n % 50 == 0, kinds).otherwise(F.col("value")))
 
 
 def _fixed_score(batch):
@@ -119,10 +123,10 @@ def stream_score(spark, sf):
 
 
 @query(
-    "kafka_source",
+    "message_source",
     f"WITH {s.EV} SELECT CAST(id AS VARCHAR) AS key, true AS has_value, true AS has_time FROM ev",
 )
-def kafka_source(spark, sf):
+def message_source(spark, sf):
     """A message stream with the columns of a topic, from files, appended to a table."""
     root = scratch_path(spark, "source")
     _arrived(encoded(spark, sf)).write.parquet(f"{root}/feed")
@@ -180,10 +184,10 @@ def hourly_backfill(spark, sf):
     root = scratch_path(spark, "backfill")
     day = payload(spark, sf).filter(F.col("day") == 20)
     rows = _arrived(messages.encode_messages(day, "id", sent()).withColumn("hour", F.get_json_object("value", "$.hour").cast("int")))
-    messages.hourly_backfill(rows, f"{root}/staged", f"{root}/feed")
+    messages.hourly_backfill(rows, f"{root}/feed")
     sink = scoring.Sink(root, "backfill")
     write = scoring.foreach_batch_sink(wire_schema(spark, sf), "id", LABEL, _fixed_score, THRESHOLD, KEEP, sink)
-    scoring.start(messages.file_source(spark, f"{root}/feed", files_per_trigger=64), write, sink).awaitTermination()
+    scoring.start(messages.file_source(spark, f"{root}/feed"), write, sink).awaitTermination()
     return spark.read.parquet(sink.alerts).select(*_OUT)
 
 

@@ -128,7 +128,7 @@ def model_metrics(scored: DataFrame, score: str, model: str) -> DataFrame:
     """Long metric rows of one model."""
     at_half = economics.metrics_at(economics.threshold_curve(scored, score, LABEL, AMOUNT, b.VALIDATION_DAYS))
     tables = [
-        evaluation.roc_auc(scored, score, LABEL), evaluation.pr_auc(scored, score, LABEL),
+        evaluation.areas(scored, score, LABEL),
         at_half.select("recall", "precision", "f1"),
     ]
     long = [t.unpivot([], t.columns, "metric", "value") for t in tables]

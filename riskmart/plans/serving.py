@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable
 
@@ -32,7 +31,8 @@ def score_stream(
     name = stream_id if cfg.keep_alerts else f"{stream_id}-{uuid.uuid4().hex}"
     sink = scoring.Sink(layout.gold("stream"), name)
     write = scoring.foreach_batch_sink(
-        wire, cfg.key, cfg.label, lambda batch: models.with_score(model, batch), best.threshold, keep, sink
+        wire, cfg.key, cfg.label, lambda batch: models.with_score(model, batch), best.threshold, keep, sink,
+        required=tuple(c for c in wire.fieldNames() if c not in (cfg.key, cfg.label, "sent_ts")),
     )
     return scoring.start(source, write, sink, every), sink
 
@@ -47,25 +47,19 @@ def day_messages(spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int)
     table = readers.read_table(spark, layout.gold("features"), layout.fmt)
     rows = clean.filter_partition(table, "split", SPLIT_VALIDATION).drop("split")
     times = readers.read_table(spark, layout.silver("transactions"), layout.fmt).select(cfg.key, "day", cfg.seconds)
-    return joins.rows_of_day(rows, times, cfg.key, day)
+    found = joins.rows_of_day(rows, times, cfg.key, day)
+    if found.isEmpty():
+        raise ValueError(f"day {day} has no rows in the validation window")
+    return found
 
 
-def replay_by_hour(
-    spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int, send: Callable[[DataFrame], None], pause: float = 0.0
-) -> None:
-    """Send one stored day in 24 arrivals, each in event order. The day is joined and laid out once."""
-    staged = layout.table("stream", f"replay-{uuid.uuid4().hex}")
-    day_messages(spark, layout, cfg, day).withColumn("_hour", F.col("hour")).write.partitionBy("_hour").parquet(staged)
-    stored = spark.read.parquet(staged)
-    for hour in range(24):
-        due = stored.filter(F.col("_hour") == hour).orderBy(cfg.seconds).drop("_hour", cfg.seconds)
-        send(messages.encode_messages(due, cfg.key))
-        time.sleep(pause)
-
-
-def replay_topic(spark, layout: Layout, cfg: RiskConfig, servers: str, topic: str, pause: float = 0.0) -> None:
-    send = lambda m: writers.write_messages(m, topic, **{"kafka.bootstrap.servers": servers})
-    replay_by_hour(spark, layout, cfg, cfg.replay_day, send, pause)
+def replay_day(spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int, send: Callable[[DataFrame], None]) -> None:
+    """Send one stored day at once, in event order."""
+    send(messages.encode_messages(day_messages(spark, layout, cfg, day).orderBy(cfg.seconds, cfg.key).drop(cfg.seconds), cfg.key))
+
+
+def replay_topic(spark, layout: Layout, cfg: RiskConfig, servers: str, topic: str) -> None:
+    replay_day(spark, layout, cfg, cfg.replay_day, lambda m: writers.write_messages(m, topic, **{"kafka.bootstrap.servers": servers}))
 
 
 def sample_sources(

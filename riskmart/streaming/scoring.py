@@ -62,7 +62,8 @@ def stream_score(
     return scored.select(
         *business,
         "score",
-        (F.col("score") >= F.lit(float(threshold))).alias("alert"),
+        # NaN is greater than any threshold: it does not alert
+        ((F.col("score") >= F.lit(float(threshold))) & ~F.isnan(F.col("score").cast("double"))).alias("alert"),
         "sent_ts",
         "received_ts",
         F.current_timestamp().alias("scored_ts"),
@@ -103,8 +104,12 @@ def foreach_batch_sink(
     threshold: float,
     keep: tuple[str, ...],
     sink: Sink,
+    required: tuple[str, ...] = (),
 ) -> Callable[[DataFrame, int], None]:
-    """The batch callback: alerts, rejects and statistics, all repeatable; empty batches are skipped."""
+    """The batch callback: alerts, rejects and statistics, all repeatable; empty batches are skipped.
+
+    Messages that lack a ``required`` field are rejects: what the model was never shown as missing must not be missing.
+    """
 
     def write(messages: DataFrame, batch_id: int) -> None:
         if messages.isEmpty():
@@ -114,7 +119,7 @@ def foreach_batch_sink(
         decoded = decode_messages(messages, schema).persist()
         observed = Observation()
         try:
-            rows, rejects = split_rejects(decoded, key)
+            rows, rejects = split_rejects(decoded, key, required)
             scored = stream_score(rows, score, threshold, keep).observe(observed, *_stat_columns(label))
             exactly_once_append(scored, sink.alerts, sink.stream_id, batch_id)
             exactly_once_append(rejects, sink.rejects, sink.stream_id, batch_id)

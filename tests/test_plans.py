@@ -13,7 +13,7 @@ from riskmart.sources import readers, writers
 # these run jobs while they are built; their plans read finished tables
 STORED = {
     "train_baseline", "train_gbt", "class_probability", "feature_importance", "score_table", "model_store", "run_stages",
-    "score_stream", "stream_score", "kafka_source", "foreach_batch_sink", "micro_batch_trigger", "batch_stats",
+    "score_stream", "stream_score", "message_source", "foreach_batch_sink", "micro_batch_trigger", "batch_stats",
     "hourly_backfill", "stream_panel", "stream_latest", "exactly_once_append", "ingest_once", "export_csv",
 }
 LAZY = sorted(set(entry.queries()) - STORED)

@@ -44,11 +44,14 @@ def test_schema_of_the_wire():
 
 def test_malformed_incomplete_and_extended_messages(spark):
     schema = T.StructType.fromDDL("id bigint, x double")
-    texts = ['{"id": 1, "x": 2.5, "more": true}', "not json", '{"x": 1.0}', '{"id": 4}', None]
+    bad_texts = ["not json", '{"x": 1.0}', '{"id": 5, "x": "abc"}', '{"id": 6, "x": 1.0} more', '{"id": 7},{"id": 8}', "[]", ""]
+    texts = ['{"id": 1, "x": 2.5, "more": true}', '{"id": 4}', *bad_texts, None]
     raw = spark.createDataFrame([(t,) for t in texts], "value string").withColumn("timestamp", F.current_timestamp())
     good, bad = messages.split_rejects(messages.decode_messages(raw, schema), "id")
     assert sorted((r.id, r.x) for r in good.fillna(-1.0).collect()) == [(1, 2.5), (4, -1.0)]
-    assert sorted(str(r.raw) for r in bad.collect()) == sorted(["not json", '{"x": 1.0}', "None"])
+    assert sorted(str(r.raw) for r in bad.collect()) == sorted([*bad_texts, "None"])
+    complete, _ = messages.split_rejects(messages.decode_messages(raw, schema), "id", ("x",))
+    assert [r.id for r in complete.collect()] == [1]
 
 
 def test_stream_equals_batch_and_rejects_are_set_aside(spark, rows, tmp_path):
@@ -115,13 +118,13 @@ def test_a_batch_of_rejects_only(spark, rows, tmp_path):
 def test_hourly_backfill_arrives_in_order(spark, rows, tmp_path):
     encoded = messages.encode_messages(rows, "id").withColumns({"timestamp": F.current_timestamp()})
     with_hour = encoded.withColumn("hour", F.get_json_object("value", "$.hour").cast("int"))
-    messages.hourly_backfill(with_hour, f"{tmp_path}/staged", f"{tmp_path}/feed")
+    messages.hourly_backfill(with_hour, f"{tmp_path}/feed")
     arrived = spark.read.parquet(f"{tmp_path}/feed").select(
-        F.get_json_object("value", "$.hour").cast("int").alias("hour"), F.col("_metadata.file_modification_time").alias("t")
+        F.get_json_object("value", "$.hour").cast("int").alias("hour"), F.col("_metadata.file_name").alias("file")
     )
-    spans = arrived.groupBy("hour").agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy("hour").collect()
-    assert arrived.count() == 200 and len(spans) == 24
-    assert all(x.b <= y.a for x, y in zip(spans, spans[1:]))
+    files = arrived.groupBy("file").agg(F.min("hour").alias("a"), F.max("hour").alias("b")).orderBy("a").collect()
+    assert arrived.count() == 200 and arrived.select("hour").distinct().count() == 24
+    assert all(x.b < y.a for x, y in zip(files, files[1:]))
 
 
 def test_kafka_needs_its_connector(spark):
