@@ -1,8 +1,9 @@
 """Fuzzy line dedup by MinHash, in DataFrame expressions alone.
 
-Equal lines are counted first, by a 128-bit hash. Every different line is cut into shingles of ``shingle`` characters; each minimum of
-their hash under a random XOR mask is one MinHash value (the hash is uniform, so any element of a union is equally likely to be nearest to
-a mask). ``bands`` of ``rows`` values are the keys of candidate buckets. A bucket links its lines to its least line, so candidates grow with
+Every line is cut into shingles of ``shingle`` characters (UTF-16 units); each minimum of their hash under a random XOR mask is one MinHash
+value (the hash is uniform, so any element of a union is equally likely to be nearest to a mask). Equal lines, by a 128-bit hash, fall
+together in the same aggregate. The nine values form a grid of three by three; its twelve lines, as in the affine plane of order three, are
+the bands of three values that key candidate buckets. A bucket links its lines to its least line, so candidates grow with
 the lines, not with their pairs. Candidates are verified by exact Jaccard similarity. Buckets that still hold more than one
 component then compare each line outside the component of the least line with the lines of other components: no candidate
 link is lost to the first step. Distributed union-find joins the links, and of each component one line stays: the first in
@@ -29,27 +30,31 @@ from riskmart.session import cut_lineage
 
 @dataclass(frozen=True)
 class LineConfig:
-    """At similarity 0.8 a pair shares a bucket with probability 1 - (1 - 0.8 ** rows) ** bands = 0.993, at 0.9 with 0.99996.
+    """A pair shares a bucket unless at most four of its nine values agree: at similarity 0.8 with probability 0.990, at 0.9 with 0.9996.
 
     ``broadcast_ids``: candidate ids are broadcast only up to this number (16 bytes each), else joined.
     """
 
-    shingle: int = 8
-    rows: int = 3
-    bands: int = 7
+    shingle: int = 10
     similarity: float = 0.8
     broadcast_ids: int = 1_000_000
     #: lines outside the main component of a bucket that one task compares with the bucket
     block: int = 128
 
 
+VALUES = 9
+#: y = slope * x + c for three slopes, and x = c, on the grid of points 3 * x + y
+BANDS = [tuple(3 * x + (slope * x + c) % 3 for x in range(3)) for slope in range(3) for c in range(3)]
+BANDS += [tuple(3 * c + y for y in range(3)) for c in range(3)]
+
+
 def mask(k: int) -> int:
     """The k-th random mask, from a rule."""
     return int(np.frombuffer(hashlib.blake2b(f"minhash {k}".encode(), digest_size=8).digest(), dtype=np.int64)[0])
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, pos, line, h1, h2``: every line with a word; h1 and h2 are two seeds of its hash."""
+    """``doc_id, pos, line, h1, h2``: every line; h1 and h2 are two seeds of its hash."""
     split = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line")
     )
@@ -57,41 +62,47 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def _has_word(text: str = "line") -> Column:
-    return F.length(F.translate(text, " \t\u000b\f\r\n", "")) > 0
+    return F.btrim(text, F.lit(" \t\u000b\f\r\n")) != ""
+
+
+def _wide(line: str) -> Column:
+    """Two bytes per character, so that a shingle is found at once."""
+    return F.encode(line, "UTF-16BE")
 
 
 def _shingle_hash(wide: Column, at: Column, config: LineConfig) -> Column:
-    """Hash of the shingle that begins at a character; ``wide`` holds four bytes per character, so it is found at once."""
-    return F.xxhash64(F.substring(wide, at * 4 + 1, F.lit(4 * config.shingle)))
+    return F.xxhash64(F.substring(wide, at * 2 + 1, F.lit(2 * config.shingle)))
 
 
 def _last_start(line: Column, config: LineConfig) -> Column:
-    """Where the last shingle begins; a line shorter than a shingle is its own and only one."""
-    return F.greatest(F.length(line) - config.shingle, F.lit(0))
+    """Where the last shingle of a wide line begins; a line shorter than a shingle is its own and only one."""
+    return F.greatest((F.octet_length(line) / 2).cast("int") - config.shingle, F.lit(0))
 
 
 def signatures(every_line: DataFrame, config: LineConfig) -> DataFrame:
-    """``h1, h2, keeper, n, bands``: one row per different line; ``keeper`` is the least id that holds it."""
-    different = every_line.filter(_has_word()).groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("keeper"), F.count(F.lit(1)).alias("n"), F.first("line").alias("line")
+    """``h1, h2, keeper, n, m0 ... m8``: one row per different line, ``n`` times found; ``keeper`` is the least id that holds it.
+
+    The minima of a line are whole within its task, and so are those of its copies there: what is shuffled is one row per line and task.
+    """
+    wide = every_line.filter(_has_word()).select("doc_id", "h1", "h2", _wide("line").alias("wide"))
+    last = _last_start(F.col("wide"), config)
+    each = wide.select("doc_id", "h1", "h2", "wide", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+    hashed = each.select("doc_id", "h1", "h2", "at", _shingle_hash(F.col("wide"), F.col("at"), config).alias("h"))
+    return hashed.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("keeper"), F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("n"),
+        *[F.min(F.col("h").bitwiseXOR(F.lit(mask(k)))).alias(f"m{k}") for k in range(VALUES)],
     )
-    # the rows are dealt by (h1, h2) already: neither the shingles nor their minima are shuffled
-    wide = different.select("h1", "h2", "keeper", "n", F.encode("line", "UTF-32").alias("wide"), _last_start(F.col("line"), config).alias("last"))
-    each = wide.select("h1", "h2", "keeper", "n", "wide", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"))
-    hashed = each.select("h1", "h2", "keeper", "n", _shingle_hash(F.col("wide"), F.col("at"), config).alias("h"))
-    values = range(config.rows * config.bands)
-    least = hashed.groupBy("h1", "h2", "keeper", "n").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(mask(k)))).alias(f"m{k}") for k in values])
-    keys = [
-        F.xxhash64(F.lit(b), *[F.col(f"m{b * config.rows + r}") for r in range(config.rows)]) for b in range(config.bands)
-    ]
-    return least.select("h1", "h2", "keeper", "n", F.array(*keys).alias("bands"))
+
+
+def _bands() -> Column:
+    return F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in band]) for b, band in enumerate(BANDS)])
 
 
 def _shingles(line: str, config: LineConfig) -> Column:
     """The different shingle hashes of a line; the line is widened once, as a variable, not once per shingle."""
-    starts = F.sequence(F.lit(0), _last_start(F.col(line), config))
     sets = F.transform(
-        F.array(F.encode(line, "UTF-32")), lambda wide: F.array_distinct(F.transform(starts, lambda i: _shingle_hash(wide, i, config)))
+        F.array(_wide(line)),
+        lambda wide: F.array_distinct(F.transform(F.sequence(F.lit(0), _last_start(wide, config)), lambda i: _shingle_hash(wide, i, config))),
     )
     return F.element_at(sets, 1)
 
@@ -111,17 +122,15 @@ def _texts(ids: DataFrame, every_line: DataFrame, config: LineConfig) -> DataFra
     return cut_lineage(wanted.groupBy("h1").agg(F.first("line").alias("line")), "line-texts")
 
 
-def _verified(pairs: DataFrame, every_line: DataFrame, config: LineConfig) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, config: LineConfig) -> DataFrame:
     """The ``a, b`` of ``pairs`` (ids h1) whose lines have at least the asked Jaccard similarity."""
-    pairs = cut_lineage(pairs.filter("a <> b").distinct(), "line-candidates")
-    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), every_line, config)
     both = pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("h1").alias("b"), F.col("line").alias("line_b")), "b")
     two = F.array(F.struct(_shingles("line_a", config).alias("a"), _shingles("line_b", config).alias("b")))
     return both.filter(F.exists(two, lambda x: _similar(x["a"], x["b"], config))).select("a", "b")
 
 
-def _links_across(in_buckets: DataFrame, rooted: DataFrame, every_line: DataFrame, config: LineConfig) -> DataFrame:
+def _links_across(in_buckets: DataFrame, rooted: DataFrame, texts: DataFrame, config: LineConfig) -> DataFrame:
     """Links between lines that share a bucket and lie in different components, where the bucket's least line is in another component
     than one of them.
 
@@ -133,8 +142,8 @@ def _links_across(in_buckets: DataFrame, rooted: DataFrame, every_line: DataFram
     placed = placed.select("bucket", "id", "bands", F.coalesce("own", "id").alias("own"), F.coalesce("main", "least").alias("main"))
     outside = placed.filter("own <> main").groupBy("bucket").agg(F.count(F.lit(1)).alias("n_outside"))
     mixed = cut_lineage(placed.join(outside, "bucket"), "line-mixed")
-    texts = _texts(mixed.select(F.col("id").alias("h1")).distinct(), every_line, config)
-    sets = texts.select(F.col("h1").alias("id"), _shingles("line", config).alias("set"))
+    wanted = texts.join(mixed.select(F.col("id").alias("h1")).distinct(), "h1", "left_semi")
+    sets = wanted.select(F.col("h1").alias("id"), _shingles("line", config).alias("set"))
     full = mixed.join(sets, "id").withColumn("blocks", F.ceil(F.col("n_outside") / config.block).cast("int"))
     deal = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     rest = full.filter("own <> main").select(
@@ -157,14 +166,16 @@ def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     """``h1, h2, root, keeper``: the lines that occur more than once or have a near copy, their class and the id it stays in."""
     every_line = lines(docs)
     signed = cut_lineage(signatures(every_line, config), "line-signatures")
-    members = signed.select(F.explode("bands").alias("bucket"), F.col("h1").alias("id"))
+    members = signed.select(F.explode(_bands()).alias("bucket"), F.col("h1").alias("id"))
     # combined in each task before the shuffle; most buckets hold one line and end here
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1")
     in_buckets = cut_lineage(members.join(buckets, "bucket").select("bucket", "id", "least", "n"), "line-buckets")
-    star = cut_lineage(_verified(in_buckets.select(F.col("id").alias("a"), F.col("least").alias("b")), every_line, config), "line-links")
+    pairs = cut_lineage(in_buckets.select(F.col("id").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct(), "line-candidates")
+    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), every_line, config)
+    star = cut_lineage(_verified(pairs, texts, config), "line-links")
     # a bucket of two has been compared whole
-    larger = in_buckets.filter("n > 2").join(signed.select(F.col("h1").alias("id"), "bands"), "id")
-    across = cut_lineage(_links_across(larger, components(star, "line-first"), every_line, config), "line-across")
+    larger = in_buckets.filter("n > 2").join(signed.select(F.col("h1").alias("id"), _bands().alias("bands")), "id")
+    across = cut_lineage(_links_across(larger, components(star, "line-first"), texts, config), "line-across")
     rooted = components(star.union(across), "line-classes")
     joined = signed.join(rooted, signed["h1"] == rooted["id"], "left").filter("n > 1 or root is not null")
     joined = joined.select("h1", "h2", "keeper", F.coalesce("root", "h1").alias("root"))

@@ -18,8 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.llm.ranges import numbered_ranges, running_total
 from riskmart.llm.text import WORD_PATTERN, fresh
+from riskmart.operators.ranges import numbered_ranges, running_totals
 from riskmart.session import cut_lineage
 
 
@@ -71,12 +71,12 @@ def offered(sized: DataFrame, goal: DataFrame, config: MixConfig = MixConfig())
     shuffle = F.md5(F.concat_ws("|", "source", "pass", "doc_id"))
     copies = sized.withColumn("pass", F.explode(F.array(*[F.lit(p) for p in range(config.max_passes)]))).withColumn("draw", shuffle)
     in_source = ["source", "pass", "draw", "doc_id", "size"]
-    queued = running_total(numbered_ranges(copies, in_source, "mix-queues"), "size", in_source, "offered", by="source")
+    queued = running_totals(numbered_ranges(copies, in_source, "mix-queues"), {"offered": "size"}, in_source, by="source")
     with_goal = queued.alias("q").join(F.broadcast(goal).alias("g"), F.col("q.source").eqNullSafe(F.col("g.source")))
     finish = F.when(F.col("g.target") > 0, F.col("offered") / F.col("g.target")).otherwise(F.lit(0.0))
     finished = with_goal.select("doc_id", "q.source", "size", "pass", finish.alias("finish"))
     in_time = ["finish", "source", "pass", "doc_id", "size"]
-    return running_total(numbered_ranges(finished, in_time, "mix-finish"), "size", in_time, "until").drop("part")
+    return running_totals(numbered_ranges(finished, in_time, "mix-finish"), {"until": "size"}, in_time).drop("part")
 
 
 def mixture(docs: DataFrame, config: MixConfig = MixConfig()) -> tuple[DataFrame, DataFrame, DataFrame]:

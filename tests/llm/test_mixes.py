@@ -9,8 +9,9 @@ import pyarrow.fs as pafs
 import pytest
 
 import corpus_pipeline
-from riskmart.llm import decontaminate, line_dedup, mixing, quality_rules, ranges, simhash, warc
+from riskmart.llm import decontaminate, line_dedup, mixing, quality_rules, simhash, warc
 from riskmart.llm.queries import ORACLES, QUERIES
+from riskmart.operators import ranges
 from riskmart.session import cut_lineage, scratch_path
 from tests.oracle import connect, differences
 
@@ -28,7 +29,7 @@ def test_running_total(spark):
     rows = [(k % 3 if k % 7 else None, (k * 37) % 50, k, k % 5) for k in range(300)]
     df = spark.createDataFrame(rows, "grp int, ord int, id int, value int")
     order = ["grp", "ord", "id"]
-    found = ranges.running_total(ranges.numbered_ranges(df.repartition(7), order, "t"), "value", order, "total", by="grp")
+    found = ranges.running_totals(ranges.numbered_ranges(df.repartition(7), order, "t"), {"total": "value"}, order, by="grp")
     got = {r["id"]: r["total"] for r in found.collect()}
     for g in (None, 0, 1, 2):
         total = 0
