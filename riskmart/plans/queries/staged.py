@@ -13,7 +13,7 @@ from riskmart.session import scratch_path
 from riskmart.sources import readers, writers
 from riskmart.streaming import messages
 
-CONFIG = RiskConfig(validation_days=b.VALIDATION_DAYS, trees=5, with_baseline=False)
+CONFIG = RiskConfig(validation_days=b.VALIDATION_DAYS)
 
 _RAW = f"""{s.EV}, raw AS (SELECT *, CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 <
   CASE WHEN amount > 80 THEN 350 ELSE 10 END + CASE WHEN channel = '3' THEN 300 ELSE 0 END
@@ -29,7 +29,10 @@ def run_stages(spark, sf):
     return readers.read_table(spark, layout.gold("kpis_daily"))
 
 
-@query("score_stream")
+@query(
+    "score_stream",
+    f"""WITH {_RAW} SELECT id AS "TransactionID", day, hour, true AS in_range, true AS as_in_batch FROM raw WHERE day = {b.HOLDOUT_FROM_DAY - 1}""",
+)
 def score_stream(spark, sf):
     """All stages, then one stored day replayed through the scoring stream: scores next to the batch scores."""
     root = scratch_path(spark, "scored-stream")
@@ -49,4 +52,8 @@ def score_stream(spark, sf):
         "TransactionID", F.col("score").alias("batch_score"), F.col("alert").alias("batch_alert")
     )
     streamed = spark.read.parquet(sink.alerts).select("TransactionID", "day", "hour", "score", "alert")
-    return streamed.join(batch, "TransactionID", "left")
+    s = F.col("score")
+    same = (s == F.col("batch_score")) & (F.col("alert") == F.col("batch_alert"))
+    return streamed.join(batch, "TransactionID", "left").select(
+        "TransactionID", "day", "hour", ((s >= 0.0) & (s <= 1.0) & (s == F.round(s, 4))).alias("in_range"), F.coalesce(same, F.lit(False)).alias("as_in_batch")
+    )

@@ -6,10 +6,6 @@ import __spark_entry__ as entry
 from riskmart.plans.queries import ORACLES, QUERIES
 from tests.oracle import connect, differences
 
-# exercised with stronger checks in test_stages.py and test_models.py
-HEAVY = {"score_stream", "train_baseline", "train_gbt", "class_probability", "feature_importance", "score_table"}
-
-
 @pytest.fixture(scope="module")
 def con(sf):
     return connect(sf)
@@ -20,8 +16,8 @@ def test_matches_sql(spark, sf, con, name):
     assert differences(entry.queries()[name](spark, sf), con, entry.oracle_sql()[name]) == []
 
 
-def test_only_models_go_without_sql():
-    assert set(QUERIES) - set(ORACLES) == HEAVY
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
