@@ -20,7 +20,7 @@ HEADLINE = [
     "side_coverage", "distinct_profile", "null_profile", "duplicate_count", "describe_numeric", "correlation_matrix",
     "percentiles_by_class", "box_stats", "amount_histogram", "score_histogram", "threshold_curve", "optimal_threshold",
     "cost_scenarios", "roc_auc", "pr_auc", "headline", "segment_lift", "rolling_rate", "feature_table", "class_weights",
-    "stratified_sample", "csv_scan", "ingest_once", "write_partitioned", "train_baseline", "train_gbt", "stream_score",
+    "stratified_sample", "csv_scan", "ingest_once", "write_partitioned", "train_baseline", "train_gbt", "stream_score", "run_stages", "score_stream",
 ]
 
 

@@ -11,17 +11,15 @@ from riskmart.functions.hashing import keep_fraction
 from riskmart.functions.measures import half_up
 
 
-def left_join_presence(
-    facts: DataFrame, side: DataFrame, key: str, flag: str = "has_side", dataset: str | None = None
-) -> DataFrame:
-    """Keep every fact; attach the side row where there is one and say whether there was.
+def left_join_presence(facts: DataFrame, side: DataFrame, key: str, flag: str = "has_side") -> DataFrame:
+    """Every fact with the side row of its key, and whether there was one.
 
-    Both inputs must hold one row per key (see ``dedup_by_key``), so rows never fan out.
+    Presence is read off the side's own key after the join. Both inputs must hold one row per key (see ``dedup_by_key``), so rows
+    never fan out.
     """
-    joined = facts.join(side.withColumn(flag, F.lit(True)), key, "left").withColumn(
-        flag, F.coalesce(F.col(flag), F.lit(False))
-    )
-    return joined if dataset is None else joined.withColumn("dataset", F.lit(dataset))
+    other = [c for c in side.columns if c != key]
+    matched = facts.alias("f").join(side.alias("s"), F.col(f"f.{key}") == F.col(f"s.{key}"), "left")
+    return matched.select("f.*", *[F.col(f"s.`{c}`") for c in other], F.col(f"s.{key}").isNotNull().alias(flag))
 
 
 def semi_join_sample(

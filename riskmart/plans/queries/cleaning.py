@@ -73,15 +73,7 @@ def host_label(spark, sf):
     return clean.email_provider(pages, "host", "label").select("page_id", "label")
 
 
-def _brand_case(column: str) -> str:
-    whens = []
-    for brand, prefixes, parts in text.BRAND_RULES:
-        tests = [f"starts_with({column}, '{p}')" for p in prefixes] + [f"contains({column}, '{p}')" for p in parts]
-        whens.append(f"WHEN {' OR '.join(tests)} THEN '{brand}'")
-    return f"CASE WHEN {column} = '' THEN NULL {' '.join(whens)} ELSE 'otro' END"
-
-
-@query("device_brand", f"WITH {s.EV}, d AS (SELECT id, lower(trim(device_text)) AS t FROM ev) SELECT id, {_brand_case('t')} AS brand FROM d")
+@query("device_brand", f"WITH {s.EV}, d AS (SELECT id, lower(trim(device_text)) AS dt FROM ev) SELECT id, {s.BRAND_OF_DT} AS brand FROM d")
 def device_brand(spark, sf):
     return clean.device_brand(b.events_frame(spark, sf), "device_text", "brand").select("id", "brand")
 

@@ -109,15 +109,7 @@ def event_features(spark, sf, signal: bool = False):
 
 @query(
     "feature_table",
-    f"""WITH {EVS}, f AS (SELECT *, CASE WHEN dt = '' THEN NULL WHEN starts_with(dt, 'sm-') OR starts_with(dt, 'gt-') OR contains(dt, 'samsung') THEN 'samsung'
-  WHEN contains(dt, 'ios device') OR contains(dt, 'macos') OR contains(dt, 'iphone') THEN 'apple'
-  WHEN starts_with(dt, 'moto') OR starts_with(dt, 'xt') OR contains(dt, 'motorola') THEN 'motorola'
-  WHEN starts_with(dt, 'lg') OR contains(dt, 'lg-') THEN 'lg'
-  WHEN starts_with(dt, 'ale-') OR starts_with(dt, 'ane-') OR contains(dt, 'huawei') THEN 'huawei'
-  WHEN starts_with(dt, 'mi ') OR contains(dt, 'redmi') OR contains(dt, 'xiaomi') THEN 'xiaomi'
-  WHEN contains(dt, 'pixel') OR contains(dt, 'nexus') THEN 'google'
-  WHEN contains(dt, 'windows') OR contains(dt, 'trident') THEN 'windows'
-  WHEN contains(dt, 'linux') THEN 'linux' ELSE 'otro' END AS brand FROM evs),
+    f"""WITH {EVS}, f AS (SELECT *, {s.BRAND_OF_DT} AS brand FROM evs),
 {_KEPT_USERS}
 SELECT id, is_positive, amount, {_SPLIT} AS split, hour, weekday, coalesce(side_quality, -999) AS side_quality, CAST(has_side AS INTEGER) AS has_side,
   CAST(provider IS NULL AS INTEGER) + CAST(brand IS NULL AS INTEGER) + CAST(side_quality IS NULL AS INTEGER) + CAST(side_kind IS NULL AS INTEGER) AS null_count,

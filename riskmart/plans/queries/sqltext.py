@@ -29,6 +29,17 @@ def _items(values: list[str]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
+# The brand of a device text ``dt``, written out by hand
+BRAND_OF_DT = """CASE WHEN dt = '' THEN NULL WHEN starts_with(dt, 'sm-') OR starts_with(dt, 'gt-') OR contains(dt, 'samsung') THEN 'samsung'
+  WHEN contains(dt, 'ios device') OR contains(dt, 'macos') OR contains(dt, 'iphone') THEN 'apple'
+  WHEN starts_with(dt, 'moto') OR starts_with(dt, 'xt') OR contains(dt, 'motorola') THEN 'motorola'
+  WHEN starts_with(dt, 'lg') OR contains(dt, 'lg-') THEN 'lg'
+  WHEN starts_with(dt, 'ale-') OR starts_with(dt, 'ane-') OR contains(dt, 'huawei') THEN 'huawei'
+  WHEN starts_with(dt, 'mi ') OR contains(dt, 'redmi') OR contains(dt, 'xiaomi') THEN 'xiaomi'
+  WHEN contains(dt, 'pixel') OR contains(dt, 'nexus') THEN 'google'
+  WHEN contains(dt, 'windows') OR contains(dt, 'trident') THEN 'windows'
+  WHEN contains(dt, 'linux') THEN 'linux' ELSE 'otro' END"""
+
 EV = f"""ev0 AS (
   SELECT event_id AS id, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS seconds,
          CAST(event_type = 'error' AS INTEGER) AS is_positive, value AS amount, event_type AS kind, user_id,

@@ -54,10 +54,15 @@ def bronze(spark: SparkSession, layout: Layout, cfg: RiskConfig, raw: str, schem
     return loaded
 
 
+DELIVERED = "_ingest_ts"
+
+
 def _bronze_rows(spark: SparkSession, layout: Layout, cfg: RiskConfig, name: str) -> DataFrame:
+    """One row per key: that of the newest delivery; of several in one delivery, the one with values where others have none."""
     rows = readers.read_table(spark, layout.bronze(name), layout.fmt)
-    named = clean.normalize_names(clean.drop_audit(rows, (*AUDIT_COLUMNS, "_batch")))
-    return clean.dedup_by_key(named, [cfg.key])
+    named = clean.normalize_names(clean.drop_audit(rows, [c for c in (*AUDIT_COLUMNS, "_batch") if c != DELIVERED]))
+    rest = [F.col(c).asc_nulls_last() for c in named.columns if c not in (cfg.key, DELIVERED)]
+    return clean.dedup_by_key(named, [cfg.key], [F.col(DELIVERED).desc(), *rest]).drop(DELIVERED)
 
 
 def clean_rows(df: DataFrame, cfg: RiskConfig) -> DataFrame:
@@ -79,8 +84,8 @@ def silver(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
         joins.left_join_presence(
             _bronze_rows(spark, layout, cfg, f"{ds}_transaction"),
             _bronze_rows(spark, layout, cfg, f"{ds}_identity"),
-            cfg.key, cfg.presence, ds,
-        )
+            cfg.key, cfg.presence,
+        ).withColumn("dataset", F.lit(ds))
         for ds in (DATASET_TRAIN, DATASET_TEST)
         if readers.table_exists(spark, layout.bronze(f"{ds}_transaction"), layout.fmt)
     ]
@@ -162,9 +167,7 @@ def stored_lists(spark: SparkSession, layout: Layout) -> features.FeatureLists:
 
 
 def _quality(scored: DataFrame, curve: DataFrame, cfg: RiskConfig) -> dict:
-    areas = evaluation.roc_auc(scored, "score", cfg.label).withColumn(
-        "pr_auc", evaluation.pr_auc(scored, "score", cfg.label).scalar()
-    )
+    areas = evaluation.areas(scored, "score", cfg.label)
     at_half = economics.metrics_at(curve, 0.5).drop("threshold")
     return areas.first().asDict() | at_half.first().asDict()
 
@@ -180,7 +183,7 @@ def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     balance = features.class_weight(training, cfg.label).first()  # one row
     weighted = training.withColumn(
         "weight", F.when(F.col(cfg.label) == 1, F.lit(balance.positive_weight)).otherwise(F.lit(1.0))
-    ).persist()  # both fits scan it many times; spills to disk
+    )  # a stored table with one more column: the fits keep their own encoded form
     validation = clean.filter_partition(table, "split", SPLIT_VALIDATION)
     summary = {"positive_weight": round(balance.positive_weight, 2), "training_positives": balance.positives, "training_negatives": balance.negatives}
 
@@ -190,14 +193,11 @@ def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
         )
 
     keep = [cfg.key, "split", cfg.label, cfg.amount]
-    try:
-        if cfg.with_baseline:
-            baseline = models.train_baseline(weighted, inputs, lists.categorical, cfg.label, "weight", cfg)
-            scored = cut_lineage(models.with_score(baseline, validation).select(*keep, "score"), "baseline-scores", layout.staging("baseline_scores"))
-            summary |= {f"baseline_{k}": v for k, v in _quality(scored, curve_of(scored), cfg).items()}
-        boosted = models.train_gbt(weighted, inputs, lists.categorical, cfg.label, "weight", cfg)
-    finally:
-        weighted.unpersist()
+    if cfg.with_baseline:
+        baseline = models.train_baseline(weighted, inputs, lists.categorical, cfg.label, "weight", cfg)
+        scored = cut_lineage(models.with_score(baseline, validation).select(*keep, "score"), "baseline-scores", layout.staging("baseline_scores"))
+        summary |= {f"baseline_{k}": v for k, v in _quality(scored, curve_of(scored), cfg).items()}
+    boosted = models.train_gbt(weighted, inputs, lists.categorical, cfg.label, "weight", cfg)
     models.save_model(boosted, layout.model("gbt"))
     writers.write_snapshot(models.feature_importance(boosted, table), layout.gold("feature_importance"), layout.fmt)
 
@@ -222,21 +222,28 @@ def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
 
 
 def export(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
-    """Gold tables as CSV in their documented order, predictions with the columns the business reads."""
-    gold = lambda name: readers.read_table(spark, layout.gold(name), layout.fmt)
-    target = lambda name: layout.table("export", name)
-    writers.export_csv(gold("kpis_daily"), target("kpis_daily"), ["day"], single_file=True)
-    writers.export_csv(
-        gold("segment_risk"), target("segment_risk"), ["segment", F.col("rate_pct").desc(), "value"], single_file=True
-    )
+    """The gold tables as CSV. One file only where the number of rows is bounded, by days or by thresholds."""
+
+    def gold(name: str) -> DataFrame:
+        return readers.read_table(spark, layout.gold(name), layout.fmt)
+
+    def predictions() -> DataFrame:
+        scored = clean.filter_partition(gold("predictions"), "split", SPLIT_VALIDATION).drop("split")
+        facts = readers.read_table(spark, layout.silver("transactions"), layout.fmt)
+        return joins.enrich_scores(scored, facts, cfg.key, ["day", "hour", *cfg.business])
+
     cube = gold("cube_daily")
-    writers.export_csv(cube, target("cube_daily"), [c for c in ("day", *cfg.cube_dims) if c in cube.columns])
-    writers.export_csv(gold("threshold_curve"), target("threshold_curve"), ["threshold"], single_file=True)
-    scored = clean.filter_partition(gold("predictions"), "split", SPLIT_VALIDATION).drop("split")
-    facts = readers.read_table(spark, layout.silver("transactions"), layout.fmt)
-    enriched = joins.enrich_scores(scored, facts, cfg.key, ["day", "hour", *cfg.business])
-    writers.export_csv(enriched, target("predictions_validation"), ["day", F.col("score").desc(), cfg.key])
-    return {"tables": 5}
+    exports = [
+        # name, rows, order, bounded
+        ("cube_daily", cube, [c for c in ("day", *cfg.cube_dims) if c in cube.columns], False),
+        ("kpis_daily", gold("kpis_daily"), ["day"], True),
+        ("predictions_validation", predictions(), ["day", F.col("score").desc(), cfg.key], False),
+        ("segment_risk", gold("segment_risk"), ["segment", F.col("rate_pct").desc(), "value"], False),
+        ("threshold_curve", gold("threshold_curve"), ["threshold"], True),
+    ]
+    for name, rows, order, bounded in exports:
+        writers.export_csv(rows, layout.table("export", name), order, single_file=bounded)
+    return {"tables": len(exports)}
 
 
 def report(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
@@ -288,12 +295,19 @@ def run_stages(
     run_id, results = uuid.uuid4().hex, {}
     for stage in (s for s in ORDER if s in stages):
         started = time.time()
-        outcome: dict = {"failed": 1.0}
-        try:
-            outcome = run[stage]()
-            results[stage] = outcome
-        finally:
+
+        def record(outcome: dict, stage=stage, started=started) -> None:
             outcome = outcome | {"seconds": round(time.time() - started, 1)}
             log.info("stage %s: %s", stage, outcome)
             writers.append_run_metrics(writers.run_metrics(spark, run_id, stage, outcome), layout.meta("run_metrics"))
+
+        try:
+            results[stage] = run[stage]()
+        except Exception:
+            try:
+                record({"failed": 1.0})
+            except Exception:  # the stage's own error is the one to see
+                log.exception("the metrics of the failed stage %s could not be written", stage)
+            raise
+        record(results[stage])
     return results

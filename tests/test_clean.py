@@ -116,10 +116,8 @@ def test_latency(spark):
 def test_left_join_keeps_all_facts_and_marks_presence(spark):
     facts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     side = spark.createDataFrame([(2, None), (9, "z")], "k int, s string")
-    rows = joins.left_join_presence(facts, side, "k", "has", "train").orderBy("k").collect()
-    assert [(r.k, r.s, r.has, r.dataset) for r in rows] == [
-        (1, None, False, "train"), (2, None, True, "train"), (3, None, False, "train"),
-    ]
+    rows = joins.left_join_presence(facts, side, "k", "has").orderBy("k").collect()
+    assert [(r.k, r.s, r.has) for r in rows] == [(1, None, False), (2, None, True), (3, None, False)]
 
 
 def test_union_fills_missing_columns_with_null(spark):

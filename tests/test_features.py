@@ -60,7 +60,7 @@ def test_sample_keeps_positives_and_is_the_same_on_any_partitioning(spark):
     assert ids == {r.id for r in again.collect()}
     assert {i for i in range(0, 20_000, 20)} <= ids
     assert abs((len(ids) - 1000) / 19_000 - 0.2) < 0.02
-    assert features.stratified_sample(df, "y", F.col("id"), 1.0) is df
+    assert features.stratified_sample(df, "y", F.col("id"), 1.0).count() == df.count()
 
 
 @pytest.fixture(scope="module")
