@@ -31,7 +31,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     ``row_number() = 1`` lets Spark keep one row per key and map task before the shuffle, so a key
     with very many copies never gathers in one task.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
+    named = {c for c in order if isinstance(c, str)}  # columns of the order cannot be compared with names
+    rest = [c for c in df.columns if c not in keys and c not in named]
     ordering = [F.col(c) if isinstance(c, str) else c for c in order] + [F.col(c) for c in rest]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering or keys)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
