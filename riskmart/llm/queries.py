@@ -86,7 +86,44 @@ def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op3_secret_scan")
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+found AS (
+  SELECT r, t, 0 AS kind, regexp_extract_all(t, p) AS hits, string_split_regex(t, p) AS gaps, regexp_extract_all(t, p, 2) AS secret
+  FROM d, (SELECT '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS p)
+  UNION ALL SELECT r, t, 1, regexp_extract_all(t, p), string_split_regex(t, p), NULL FROM d, (SELECT 'AKIA[A-Z0-9]{12,}' AS p)
+  UNION ALL SELECT r, t, 2, regexp_extract_all(t, p), string_split_regex(t, p), NULL FROM d, (SELECT '[0-9a-f]{32,}' AS p)
+  UNION ALL SELECT r, t, 3, regexp_extract_all(t, p), string_split_regex(t, p), NULL FROM d, (SELECT '[A-Za-z0-9+/_=-]{20,}' AS p)),
+each_hit AS (SELECT r, kind, hits, gaps, secret, unnest(range(1, len(hits) + 1)) AS i FROM found),
+placed AS (
+  SELECT r, kind, hits[i] AS hit, secret[i] AS secret,
+         list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS s
+  FROM each_hit),
+base AS (SELECT r, kind, s::BIGINT AS s, (s + length(hit))::BIGINT AS e FROM placed WHERE kind < 3 AND (kind > 0 OR length(secret) >= 8)),
+runs AS (
+  SELECT r, s, hit, CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN 3.05 WHEN regexp_full_match(hit, '[A-Za-z]+') THEN 4.05 ELSE 3.85 END AS bits
+  FROM placed WHERE kind = 3 AND NOT regexp_matches(hit, '(?i)(example|sample|dummy|placeholder|changeme|xxxxx)') AND NOT regexp_matches(hit, '^[0-9]+$')
+    AND NOT regexp_matches(hit, '(?i)(0123456789|abcdefghij)') AND NOT regexp_matches(hit, '(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$')
+    AND NOT regexp_matches(hit, '^/?([a-z0-9_-]+/){2,}[a-z0-9_-]*$')),
+windows AS (SELECT r, s AS run, hit, bits, unnest(range(0, length(hit) - 19)) AS pos FROM runs),
+dense AS (SELECT r, run, pos FROM windows WHERE list_entropy(string_split(substring(hit, (pos + 1)::BIGINT, 20), '')) >= bits),
+marked AS (SELECT *, coalesce(pos - lag(pos) OVER w > 20, true)::INTEGER AS fresh FROM dense WINDOW w AS (PARTITION BY r, run ORDER BY pos)),
+islands AS (SELECT *, sum(fresh) OVER (PARTITION BY r, run ORDER BY pos) AS island FROM marked),
+spans AS (SELECT r, 3 AS kind, (run + min(pos))::BIGINT AS s, (run + max(pos) + 20)::BIGINT AS e FROM islands GROUP BY r, run, island),
+added AS (SELECT * FROM spans WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.r = spans.r AND base.s <= spans.s AND spans.e <= base.e)),
+every_span AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s || ':' || e AS name FROM (SELECT * FROM base UNION ALL SELECT * FROM added)),
+joined AS (
+  SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+         count(*) FILTER (WHERE kind = 3) AS n_entropy, string_agg(name, ',' ORDER BY s, kind, e) FILTER (WHERE kind < 3) AS base,
+         string_agg(name, ',' ORDER BY s, kind, e) AS spans
+  FROM every_span GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_entropy, 0) AS n_entropy
+FROM d LEFT JOIN joined USING (r)
+"""
+
+
+@query("op3_secret_scan", OP3_SQL)
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
