@@ -72,7 +72,7 @@ def offered(sized: DataFrame, goal: DataFrame, config: MixConfig = MixConfig())
     copies = sized.withColumn("pass", F.explode(F.array(*[F.lit(p) for p in range(config.max_passes)]))).withColumn("draw", shuffle)
     in_source = ["source", "pass", "draw", "doc_id", "size"]
     queued = running_totals(numbered_ranges(copies, in_source, "mix-queues"), {"offered": "size"}, in_source, by="source")
-    with_goal = queued.alias("q").join(F.broadcast(goal).alias("g"), F.col("q.source").eqNullSafe(F.col("g.source")))
+    with_goal = queued.alias("q").join(goal.alias("g"), F.col("q.source").eqNullSafe(F.col("g.source")))
     finish = F.when(F.col("g.target") > 0, F.col("offered") / F.col("g.target")).otherwise(F.lit(0.0))
     finished = with_goal.select("doc_id", "q.source", "size", "pass", finish.alias("finish"))
     in_time = ["finish", "source", "pass", "doc_id", "size"]
@@ -84,9 +84,8 @@ def mixture(docs: DataFrame, config: MixConfig = MixConfig()) -> tuple[DataFrame
     sized = cut_lineage(sizes(docs).groupBy("doc_id", "source").agg(F.sum("size").alias("size")), "mix-sizes")
     goal = cut_lineage(targets(sized, config).coalesce(1), "mix-targets")
     size, cap = F.sum("source_size"), F.sum(F.col("source_size") * config.max_passes)
-    limit = goal.agg(F.least(size * config.budget_pct / F.lit(100.0), cap.cast("double")).alias("budget"))
-    taken = offered(sized, goal, config).join(F.broadcast(limit), F.col("until") - F.col("size") / 2 <= F.col("budget"))
-    return sized, goal, taken.drop("budget")
+    budget = goal.agg(F.least(size * config.budget_pct / F.lit(100.0), cap.cast("double")).alias("budget")).scalar()
+    return sized, goal, offered(sized, goal, config).filter(F.col("until") - F.col("size") / 2 <= budget)
 
 
 def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
@@ -95,7 +94,7 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     words = taken.groupBy("doc_id", "source").agg(F.sum("size").alias("taken"))
     same = F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("s.source").eqNullSafe(F.col("t.source"))
     joined = sized.alias("s").join(words.alias("t"), same, "left")
-    full = joined.join(F.broadcast(goal).alias("g"), F.col("s.source").eqNullSafe(F.col("g.source")))
+    full = joined.join(goal.alias("g"), F.col("s.source").eqNullSafe(F.col("g.source")))
     return full.select("s.doc_id", "s.source", "s.size", "g.source_size", "g.target", F.coalesce("t.taken", F.lit(0).cast("bigint")).alias("taken"))
 
 
