@@ -7,12 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskmart.session import cut_lineage
+
 
 def ordered_output(df: DataFrame, *order: str | Column) -> DataFrame:
     """Documented order of a table. Sort when reading or exporting, never before a table write."""
     return df.orderBy(*order)
 
 
+def with_position(ordered: DataFrame) -> DataFrame:
+    """Adds ``position`` (from 1) to a sorted frame, as its rows actually lie.
+
+    A global sort leaves ranges in order, rows in order inside each. The place in its range and the number of its range are written down
+    with each row; the rows of the ranges before are added afterwards. No task sees more than its own range.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    stored = cut_lineage(ordered.select("*", F.spark_partition_id().alias("_part"), place.alias("_place")), "ordered")
+    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")  # one row per range
+    placed = stored.join(sizes.select("_part", before.alias("_before")), "_part")
+    return placed.select(*ordered.columns, (F.col("_before") + F.col("_place") + 1).alias("position"))
+
+
 def top_segments(segments: DataFrame, k: int = 12, by: Column | str = "rate_pct", tie: str = "value") -> DataFrame:
     """The ``k`` highest rates of one dimension."""
     by = F.col(by) if isinstance(by, str) else by

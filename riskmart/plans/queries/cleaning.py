@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskmart.functions import text
-from riskmart.operators import clean, joins, kpis
+from riskmart.operators import clean, joins, kpis, ranking
 from riskmart.operators.features import temporal_split
 from riskmart.plans import bindings as b
 from riskmart.plans.queries import sqltext as s
@@ -215,11 +215,11 @@ def semi_join_sample(spark, sf):
     )
 
 
-@query("replay_day", f"WITH {s.EV} SELECT id, amount, channel, day, hour, seconds FROM ev WHERE day = 20")
+@query("replay_day", f"WITH {s.EV} SELECT id, amount, channel, day, hour, seconds, row_number() OVER (ORDER BY seconds, id) AS position FROM ev WHERE day = 20")
 def replay_day(spark, sf):
     events = b.events_frame(spark, sf)
     features = events.select("id", "amount", "channel")
-    return joins.replay_day(features, events.select("id", "day", "hour", "seconds"), "id", 20, "seconds")
+    return ranking.with_position(joins.replay_day(features, events.select("id", "day", "hour", "seconds"), "id", 20, "seconds"))
 
 
 @query("enrich_scores", f"WITH {s.SC} SELECT id, score, alert, day, hour, channel, segment FROM sc")

@@ -140,20 +140,21 @@ def segment_lift(spark, sf):
 @query(
     "hour_profile",
     f"""WITH {s.EVC}, seg AS ({s.segments('evc', ['hour'], 100)})
-SELECT CAST(value AS INTEGER) AS hour, transactions, positives, rate_pct FROM seg ORDER BY hour""",
+SELECT CAST(value AS INTEGER) AS hour, transactions, positives, rate_pct, row_number() OVER (ORDER BY CAST(value AS INTEGER)) AS position FROM seg""",
 )
 def hour_profile(spark, sf):
-    return kpis.hour_profile(ev_segments(spark, sf))
+    return ranking.with_position(kpis.hour_profile(ev_segments(spark, sf)))
 
 
 @query(
     "filter_options",
-    f"""WITH {s.DL} SELECT DISTINCT 'lang' AS dimension, lang AS value FROM dl
+    f"""WITH {s.DL}, o AS (SELECT DISTINCT 'lang' AS dimension, lang AS value FROM dl
 UNION ALL SELECT DISTINCT 'quality', coalesce(CAST(quality AS VARCHAR), '(sin dato)') FROM dl
-UNION ALL SELECT DISTINCT 'toxic', coalesce(CAST(toxic AS VARCHAR), '(sin dato)') FROM dl""",
+UNION ALL SELECT DISTINCT 'toxic', coalesce(CAST(toxic AS VARCHAR), '(sin dato)') FROM dl)
+SELECT *, row_number() OVER (ORDER BY dimension, value = '(sin dato)', value) AS position FROM o""",
 )
 def filter_options(spark, sf):
-    return kpis.filter_options(b.documents_frame(spark, sf), ["lang", "quality", "toxic"])
+    return ranking.with_position(kpis.filter_options(b.documents_frame(spark, sf), ["lang", "quality", "toxic"]))
 
 
 # ------------------------------------------------------------------------- alerts
@@ -234,9 +235,9 @@ def rolling_amount_share(spark, sf):
 # ------------------------------------------------------------------------- order and top-k
 
 
-@query("ordered_output", f"WITH {LI_SEG_SQL} SELECT * FROM seg ORDER BY segment, rate_pct DESC, value")
+@query("ordered_output", f"WITH {LI_SEG_SQL} SELECT *, row_number() OVER (ORDER BY segment, rate_pct DESC, value) AS position FROM seg")
 def ordered_output(spark, sf):
-    return ranking.ordered_output(li_segments(spark, sf), "segment", F.col("rate_pct").desc(), "value")
+    return ranking.with_position(ranking.ordered_output(li_segments(spark, sf), "segment", F.col("rate_pct").desc(), "value"))
 
 
 @query("top_segments", f"WITH {LI_SEG_SQL} SELECT * FROM seg WHERE segment = 'p_name' ORDER BY rate_pct DESC, value LIMIT 12")
@@ -283,8 +284,8 @@ def latest_alerts(spark, sf):
 
 @query(
     "alert_queue",
-    f"WITH {s.SC} SELECT id, hour, amount, score, channel, {_REAL} FROM sc WHERE alert AND day = {MONITOR_DAY} ORDER BY score DESC, id",
+    f"WITH {s.SC} SELECT id, hour, amount, score, channel, {_REAL}, row_number() OVER (ORDER BY score DESC, id) AS position FROM sc WHERE alert AND day = {MONITOR_DAY}",
 )
 def alert_queue(spark, sf):
     queue = ranking.alert_queue(b.scored_events(spark, sf), MONITOR_DAY, LABEL, "id")
-    return queue.select("id", "hour", "amount", "score", "channel", "was_positive")
+    return ranking.with_position(queue.select("id", "hour", "amount", "score", "channel", "was_positive"))
