@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -94,8 +95,13 @@ def signatures(every_line: DataFrame, config: LineConfig) -> DataFrame:
     )
 
 
-def _bands() -> Column:
-    return F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in band]) for b, band in enumerate(BANDS)])
+def _buckets(signed: DataFrame, bands: range) -> DataFrame:
+    """``bucket, id, least, n``: the lines in buckets of more than one line, with the least id and the size of the bucket."""
+    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in BANDS[b]]) for b in bands])
+    members = signed.select(F.explode(keys).alias("bucket"), F.col("h1").alias("id"))
+    # combined in each task before the shuffle; most buckets hold one line and end here
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1")
+    return cut_lineage(members.join(sizes, "bucket").select("bucket", "id", "least", "n"), "line-buckets")
 
 
 def _shingles(line: str, config: LineConfig) -> Column:
@@ -142,19 +148,19 @@ def _links_across(in_buckets: DataFrame, rooted: DataFrame, texts: DataFrame, co
     placed = placed.select("bucket", "id", "bands", F.coalesce("own", "id").alias("own"), F.coalesce("main", "least").alias("main"))
     outside = placed.filter("own <> main").groupBy("bucket").agg(F.count(F.lit(1)).alias("n_outside"))
     mixed = cut_lineage(placed.join(outside, "bucket"), "line-mixed")
-    wanted = texts.join(mixed.select(F.col("id").alias("h1")).distinct(), "h1", "left_semi")
-    sets = wanted.select(F.col("h1").alias("id"), _shingles("line", config).alias("set"))
-    full = mixed.join(sets, "id").withColumn("blocks", F.ceil(F.col("n_outside") / config.block).cast("int"))
+    full = mixed.join(texts.withColumnRenamed("h1", "id"), "id").withColumn("blocks", F.ceil(F.col("n_outside") / config.block).cast("int"))
     deal = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     rest = full.filter("own <> main").select(
-        "bucket", deal.alias("block"), F.col("id").alias("a"), F.col("own").alias("own_a"), F.col("bands").alias("bands_a"), F.col("set").alias("set_a"),
+        "bucket", deal.alias("block"), F.col("id").alias("a"), F.col("own").alias("own_a"), F.col("bands").alias("bands_a"), "line",
     )
     every = full.select(
         "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("id").alias("b"), F.col("own").alias("own_b"),
-        "main", F.col("bands").alias("bands_b"), F.col("set").alias("set_b"),
+        "main", F.col("bands").alias("bands_b"), "line",
     )
-    shared = F.zip_with("bands_a", "bands_b", lambda x, y: x == y)
-    first_shared = F.element_at("bands_a", F.array_position(shared, True).cast("int"))
+    # lines are dealt to the blocks and cut into shingles there: the sets are eight times as large
+    rest = rest.repartition("bucket", "block").withColumn("set_a", _shingles("line", config)).drop("line")
+    every = every.repartition("bucket", "block").withColumn("set_b", _shingles("line", config)).drop("line")
+    first_shared = F.array_min(F.array_intersect("bands_a", "bands_b"))
     # of two lines outside, one direction is enough
     ordered = (F.col("own_b") == F.col("main")) | (F.col("a") < F.col("b"))
     new = (F.col("own_a") != F.col("own_b")) & ordered & (first_shared == F.col("r.bucket"))
@@ -166,15 +172,14 @@ def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     """``h1, h2, root, keeper``: the lines that occur more than once or have a near copy, their class and the id it stays in."""
     every_line = lines(docs)
     signed = cut_lineage(signatures(every_line, config), "line-signatures")
-    members = signed.select(F.explode(_bands()).alias("bucket"), F.col("h1").alias("id"))
-    # combined in each task before the shuffle; most buckets hold one line and end here
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1")
-    in_buckets = cut_lineage(members.join(buckets, "bucket").select("bucket", "id", "least", "n"), "line-buckets")
+    # one family of parallel bands after the other: the rows of all twelve need not lie on disk at once
+    in_buckets = reduce(DataFrame.union, [_buckets(signed, range(b, b + 3)) for b in range(0, len(BANDS), 3)])
     pairs = cut_lineage(in_buckets.select(F.col("id").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct(), "line-candidates")
     texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), every_line, config)
     star = cut_lineage(_verified(pairs, texts, config), "line-links")
     # a bucket of two has been compared whole
-    larger = in_buckets.filter("n > 2").join(signed.select(F.col("h1").alias("id"), _bands().alias("bands")), "id")
+    own = in_buckets.groupBy("id").agg(F.collect_set("bucket").alias("bands"))  # at most one per band
+    larger = in_buckets.filter("n > 2").join(own, "id")
     across = cut_lineage(_links_across(larger, components(star, "line-first"), texts, config), "line-across")
     rooted = components(star.union(across), "line-classes")
     joined = signed.join(rooted, signed["h1"] == rooted["id"], "left").filter("n > 1 or root is not null")
