@@ -65,10 +65,17 @@ def replay_topic(spark, layout: Layout, cfg: RiskConfig, servers: str, topic: st
 def sample_sources(
     spark: SparkSession, raw: str, target: str, cfg: RiskConfig, fraction: float = 0.05, seed: int = 42
 ) -> None:
-    """Sample the transactions by key and keep just the side rows that belong to them."""
+    """Sample the transactions by key and keep just the side rows that belong to them.
+
+    All columns are read and written as the text they are: leading zeros and the form of times stay. Transactions come out
+    in order of time, side rows in no order.
+    """
+
+    def as_text(name: str) -> DataFrame:
+        return spark.read.option("header", True).csv(f"{raw}/{name}.csv")
+
     for facts, side in (SOURCES[:2], SOURCES[2:]):
-        sampled, kept = joins.semi_join_sample(
-            readers.read_csv(spark, f"{raw}/{facts}.csv"), readers.read_csv(spark, f"{raw}/{side}.csv"), cfg.key, fraction, seed
-        )
-        writers.export_csv(sampled, f"{target}/{facts}.csv", [cfg.seconds, cfg.key])
-        writers.export_csv(kept, f"{target}/{side}.csv", [cfg.key])
+        sampled, kept = joins.semi_join_sample(as_text(facts), as_text(side), cfg.key, fraction, seed)
+        in_time = [F.col(cfg.seconds).cast("double"), F.col(cfg.key).cast("double"), F.col(cfg.key)]
+        writers.export_csv(sampled, f"{target}/{facts}.csv", in_time)
+        kept.write.mode("overwrite").option("header", True).csv(f"{target}/{side}.csv")

@@ -93,6 +93,8 @@ def test_sources_can_be_sampled(spark, built, tmp_path):
     side = spark.read.option("header", True).csv(f"{tmp_path}/train_identity.csv")
     assert 0.15 < facts.count() / 8339 < 0.25
     assert side.join(facts, "TransactionID", "left_anti").count() == 0 and side.count() > 0
+    whole = spark.read.option("header", True).csv(f"{root}/raw/train_transaction.csv")
+    assert facts.exceptAll(whole).count() == 0  # every field as it was written
 
 
 def test_command_line():
