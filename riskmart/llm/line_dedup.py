@@ -2,8 +2,7 @@
 
 Every line is cut into shingles of ``shingle`` characters (UTF-16 units); each minimum of their hash under a random XOR mask is one MinHash
 value (the hash is uniform, so any element of a union is equally likely to be nearest to a mask). Equal lines, by a 128-bit hash, fall
-together in the same aggregate. The nine values form a grid of three by three; its twelve lines, as in the affine plane of order three, are
-the bands of three values that key candidate buckets. A bucket links its lines to its least line, so candidates grow with
+together in the same aggregate. ``bands`` of ``rows`` values are the keys of candidate buckets. A bucket links its lines to its least line, so candidates grow with
 the lines, not with their pairs. Candidates are verified by exact Jaccard similarity. Buckets that still hold more than one
 component then compare each line outside the component of the least line with the lines of other components: no candidate
 link is lost to the first step. Distributed union-find joins the links, and of each component one line stays: the first in
@@ -31,24 +30,20 @@ from riskmart.session import cut_lineage
 
 @dataclass(frozen=True)
 class LineConfig:
-    """A pair shares a bucket unless at most four of its nine values agree: at similarity 0.8 with probability 0.990, at 0.9 with 0.9996.
+    """At similarity 0.8 a pair shares a bucket with probability 1 - (1 - 0.8 ** rows) ** bands = 0.993, at 0.9 with 0.99996.
 
     ``broadcast_ids``: candidate ids are broadcast only up to this number (16 bytes each), else joined.
     """
 
-    shingle: int = 10
+    shingle: int = 8
+    rows: int = 3
+    bands: int = 7
     similarity: float = 0.8
     broadcast_ids: int = 1_000_000
     #: lines outside the main component of a bucket that one task compares with the bucket
     block: int = 128
 
 
-VALUES = 9
-#: y = slope * x + c for three slopes, and x = c, on the grid of points 3 * x + y
-BANDS = [tuple(3 * x + (slope * x + c) % 3 for x in range(3)) for slope in range(3) for c in range(3)]
-BANDS += [tuple(3 * c + y for y in range(3)) for c in range(3)]
-
-
 def mask(k: int) -> int:
     """The k-th random mask, from a rule."""
     return int(np.frombuffer(hashlib.blake2b(f"minhash {k}".encode(), digest_size=8).digest(), dtype=np.int64)[0])
@@ -81,7 +76,7 @@ def _last_start(line: Column, config: LineConfig) -> Column:
 
 
 def signatures(every_line: DataFrame, config: LineConfig) -> DataFrame:
-    """``h1, h2, keeper, n, m0 ... m8``: one row per different line, ``n`` times found; ``keeper`` is the least id that holds it.
+    """``h1, h2, keeper, n, m0, m1 ...``: one row per different line, ``n`` times found; ``keeper`` is the least id that holds it.
 
     The minima of a line are whole within its task, and so are those of its copies there: what is shuffled is one row per line and task.
     """
@@ -91,13 +86,13 @@ def signatures(every_line: DataFrame, config: LineConfig) -> DataFrame:
     hashed = each.select("doc_id", "h1", "h2", "at", _shingle_hash(F.col("wide"), F.col("at"), config).alias("h"))
     return hashed.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("keeper"), F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("n"),
-        *[F.min(F.col("h").bitwiseXOR(F.lit(mask(k)))).alias(f"m{k}") for k in range(VALUES)],
+        *[F.min(F.col("h").bitwiseXOR(F.lit(mask(k)))).alias(f"m{k}") for k in range(config.rows * config.bands)],
     )
 
 
-def _buckets(signed: DataFrame, bands: range) -> DataFrame:
+def _buckets(signed: DataFrame, bands: range, config: LineConfig) -> DataFrame:
     """``bucket, id, least, n``: the lines in buckets of more than one line, with the least id and the size of the bucket."""
-    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in BANDS[b]]) for b in bands])
+    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * config.rows + r}") for r in range(config.rows)]) for b in bands])
     members = signed.select(F.explode(keys).alias("bucket"), F.col("h1").alias("id"))
     # combined in each task before the shuffle; most buckets hold one line and end here
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1")
@@ -172,8 +167,9 @@ def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     """``h1, h2, root, keeper``: the lines that occur more than once or have a near copy, their class and the id it stays in."""
     every_line = lines(docs)
     signed = cut_lineage(signatures(every_line, config), "line-signatures")
-    # one family of parallel bands after the other: the rows of all twelve need not lie on disk at once
-    in_buckets = reduce(DataFrame.union, [_buckets(signed, range(b, b + 3)) for b in range(0, len(BANDS), 3)])
+    # three bands after the other: the rows of all need not lie on disk at once
+    some = [range(b, min(b + 3, config.bands)) for b in range(0, config.bands, 3)]
+    in_buckets = reduce(DataFrame.union, [_buckets(signed, bands, config) for bands in some])
     pairs = cut_lineage(in_buckets.select(F.col("id").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct(), "line-candidates")
     texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), every_line, config)
     star = cut_lineage(_verified(pairs, texts, config), "line-links")

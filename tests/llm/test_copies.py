@@ -176,6 +176,25 @@ def test_line_dedup_on_messy_rows(messy, empty, pairs):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_small_edits_of_short_lines(spark):
+    """The least length from which each edit of a line is linked to it; no other line is."""
+    rng = random.Random(12)
+
+    def letters(n):
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+
+    edits = {" cut ": 80, " ct ": 80, " dog ": 100, " ": 90, None: 1000}
+    rows, linked = [], set()
+    for n in (50, 60, 70, 80, 90, 100):
+        for edit, least in [*edits.items()] * 3:
+            head, tail = letters(n // 2 - 4), letters(n - n // 2 - 1)
+            rows += [(len(rows), f"{head} cat {tail}"), (len(rows) + 1, letters(n) if edit is None else head + edit + tail)]
+            if n >= least:
+                linked.add(len(rows) - 1)
+    found = line_dedup.line_decisions(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in found.collect() if r["dropped"]} == linked
+
+
 def test_line_dedup_is_native(messy):
     every = line_dedup.lines(messy)
     plan = line_dedup.signatures(every, line_dedup.LineConfig())._jdf.queryExecution().executedPlan().toString()
