@@ -1,7 +1,7 @@
 """Fuzzy line dedup by MinHash, in DataFrame expressions alone.
 
-Every line is cut into shingles of ``shingle`` characters (UTF-16 units); each minimum of their hash under a random XOR mask is one MinHash
-value (the hash is uniform, so any element of a union is equally likely to be nearest to a mask). Equal lines, by a 128-bit hash, fall
+Every line is cut into shingles of ``shingle`` characters (UTF-16 units); each minimum of their hash, XORed with a
+random mask and hashed again, is one MinHash value (XOR alone ties the values of small sets together). Equal lines, by a 128-bit hash, fall
 together in the same aggregate. ``bands`` of ``rows`` values are the keys of candidate buckets. A bucket links its lines to its least line, so candidates grow with
 the lines, not with their pairs. Candidates are verified by exact Jaccard similarity. Buckets that still hold more than one
 component then compare each line outside the component of the least line with the lines of other components: no candidate
@@ -86,7 +86,7 @@ def signatures(every_line: DataFrame, config: LineConfig) -> DataFrame:
     hashed = each.select("doc_id", "h1", "h2", "at", _shingle_hash(F.col("wide"), F.col("at"), config).alias("h"))
     return hashed.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("keeper"), F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("n"),
-        *[F.min(F.col("h").bitwiseXOR(F.lit(mask(k)))).alias(f"m{k}") for k in range(config.rows * config.bands)],
+        *[F.min(F.xxhash64(F.col("h").bitwiseXOR(F.lit(mask(k))))).alias(f"m{k}") for k in range(config.rows * config.bands)],
     )
 
 

@@ -195,6 +195,19 @@ def test_small_edits_of_short_lines(spark):
     assert {r["doc_id"] for r in found.collect() if r["dropped"]} == linked
 
 
+@pytest.mark.parametrize("union", [10, 20])
+def test_recall_on_short_lines(spark, union):
+    """Of pairs at similarity 0.8, as many share a bucket when a line has few shingles as the number of bands promises."""
+    rng, config, n = random.Random(5), line_dedup.LineConfig(), 3000
+    rows = []
+    for _ in range(n):
+        text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=union + config.shingle - 1))
+        cut = union // 5 - union // 10
+        rows += [(len(rows), text[: len(text) - cut]), (len(rows) + 1, text[union // 10 :])]
+    found = line_dedup.line_decisions(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sum(len(r["dropped"]) for r in found.collect()) >= 0.989 * n
+
+
 def test_line_dedup_is_native(messy):
     every = line_dedup.lines(messy)
     plan = line_dedup.signatures(every, line_dedup.LineConfig())._jdf.queryExecution().executedPlan().toString()
