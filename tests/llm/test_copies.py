@@ -325,3 +325,29 @@ def test_passages(spark, messy, empty):
     assert (found[103]["start"], found[103]["end"], found[103]["other_id"]) == (0, 120, 4)
     assert substring_dedup.passages(empty).count() == 0
     assert {r["doc_id"] for r in substring_dedup.passages(messy.select("doc_id", "text", "lang", "a")).collect()} <= {107, 100, 101, 102}
+
+
+def test_passages_on_both_sides_of_a_gap(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(20_000)]
+    gaps = [(0, 0), (5, 5), (20, 20), (70, 70), (0, 120), (120, 0), (20, 120), (150, 150), (20, 300), (300, 300), (0, 300)]
+    rows, wanted = [], {}
+    for n, (gap_a, gap_b) in [(n, g) for n in (100, 200) for g in gaps]:
+        one, two = rng.choices(words, k=n), rng.choices(words, k=n)
+        rows += [(len(rows), " ".join([*one, *rng.choices(words, k=gap_a), *two])), (len(rows) + 1, " ".join([*one, *rng.choices(words, k=gap_b), *two]))]
+        wanted[len(rows) - 1] = {*range(n), *range(n + gap_b, 2 * n + gap_b)}
+    found = {i: set() for i in wanted}
+    for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r["other_id"] == r["doc_id"] - 1 and r["identity"] >= 0.8
+        found[r["doc_id"]] |= {*range(r["start"], r["end"])}
+    assert all(wanted[i] <= found[i] for i in wanted)
+
+
+def test_exact_passage_before_sparse_matches():
+    """An exact passage is found where single words on the same diagonal go on after it."""
+    config = substring_dedup.SubstringConfig()
+    same, one, two = ([f"{c}{i}".encode() for i in range(n)] for c, n in (("s", 60), ("a", 200), ("b", 200)))
+    for i in range(0, 200, 20):
+        one[i : i + 5] = two[i : i + 5] = [b"the", b"same", b"five", b"common", b"words"]
+    (found,) = substring_dedup.align(np.array([[0, 245, 0, 245]]), 0, same + one, 0, same + two, config)
+    assert found[0] == 0 and 60 <= found[1] <= 85 and found[4] >= 0.8
