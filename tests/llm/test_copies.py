@@ -351,3 +351,28 @@ def test_exact_passage_before_sparse_matches():
         one[i : i + 5] = two[i : i + 5] = [b"the", b"same", b"five", b"common", b"words"]
     (found,) = substring_dedup.align(np.array([[0, 245, 0, 245]]), 0, same + one, 0, same + two, config)
     assert found[0] == 0 and 60 <= found[1] <= 85 and found[4] >= 0.8
+
+
+@pytest.mark.parametrize("copies, hot", [(2, 512), (40, 512), (40, 4)])
+def test_passage_whose_seeds_are_scattered_over_first_documents(spark, copies, hot):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(20_000)]
+    shared = rng.choices(words, k=72)
+    rows = [(i, " ".join([*rng.choices(words, k=30), *shared[12 * i : 12 * i + 16], *rng.choices(words, k=30)])) for i in range(6)]
+    rows += [(50 + i, " ".join([*rng.choices(words, k=40), *shared, *rng.choices(words, k=40)])) for i in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = substring_dedup.passages(docs, substring_dedup.SubstringConfig(hot=hot, ranges=5)).collect()
+    assert {r["doc_id"]: (r["start"], r["end"], r["other_id"]) for r in found} == {50 + i: (40, 112, 49 + i) for i in range(1, copies)}
+
+
+def test_holders_before(spark):
+    rng = random.Random(10)
+    rows = sorted({(rng.randrange(3), rng.randrange(60), rng.randrange(9)) for _ in range(300)})
+    sizes = {s: sum(r[0] == s for r in rows) for s in range(3)}
+    occurrences = spark.createDataFrame([(*r, sizes[r[0]]) for r in rows], "seed long, doc_id long, pos int, n long")
+    for hot, ranges in [(10, 7), (10_000, 7), (0, 200)]:
+        found = substring_dedup.holders_before(occurrences, substring_dedup.SubstringConfig(hot=hot, ranges=ranges)).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            lower = [(d, -p) for s, d, p in rows if s == r["seed"] and d < r["doc_id"]]
+            assert (tuple(r["before"]) if r["before"] else None) == max(lower, default=None)
