@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from riskmart.llm.components import components
 from riskmart.llm.groups import group_bounds, whole_groups
-from riskmart.llm.text import fresh, id_and_bytes
+from riskmart.llm.text import fresh, id_and_bytes, utf8
 from riskmart.session import cut_lineage
 
 EVEN = 0x5555555555555555
@@ -61,14 +61,14 @@ def fingerprint(data: bytes, config: SimHashConfig = SimHashConfig()) -> int:
 
 
 def fingerprints(docs: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFrame:
-    """``doc_id, fp`` (bigint with the bits of the fingerprint), one row per row of ``docs``."""
+    """``doc_id, fp, text_hash`` (bigint with the bits of the fingerprint), one row per row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(d, config) for d in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), batch.column(2)], ["doc_id", "fp", "text_hash"])
 
-    return id_and_bytes(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+    return id_and_bytes(docs).withColumn("text_hash", F.xxhash64("data")).mapInArrow(run, "doc_id bigint, fp bigint, text_hash bigint")
 
 
 def blocks(config: SimHashConfig = SimHashConfig()) -> list[int]:
@@ -169,28 +169,36 @@ def fingerprint_links(distinct: DataFrame, config: SimHashConfig = SimHashConfig
     return sorted_cells.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFrame:
-    """``doc_id, fp, component_id``, one row per row of ``docs``: the least id reachable over links, itself included."""
+def _classes(docs: DataFrame, config: SimHashConfig) -> DataFrame:
+    """``doc_id, fp, text_hash, root, component_id``: ``root`` tells components apart that have the same least id."""
     found = cut_lineage(fingerprints(docs, config), "simhash-fingerprints")
     # combined in each task: a fingerprint of a third of all rows is one row per task
     distinct = cut_lineage(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     linked = components(fingerprint_links(distinct.select("fp"), config), "simhash")
     rooted = distinct.join(linked, distinct["fp"] == linked["id"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return found.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(least, "root").select("fp", "root", "component_id")
+    return found.join(classes, "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFrame:
+    """``doc_id, fp, component_id``, one row per row of ``docs``: the least id reachable over links, itself included."""
+    return _classes(docs, config).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFrame:
-    """The rows of ``docs`` with the least id of their component, one row per id, with all their columns.
+    """Of each component one row of ``docs`` with its least id, with all columns.
 
-    Rows that repeat an id are one document: the one of least text hash stands for it. Rows with a null id stay.
+    Rows that repeat an id stay apart if their texts are in different components; in one component the one of least text hash stays.
+    Rows with a null id stay.
     """
-    stays = near_duplicates(docs, config).filter("doc_id = component_id").select("doc_id").distinct()
-    rank = fresh(docs, "rank")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    single = docs.filter(F.col("doc_id").isNotNull()).withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank)
-    kept = single.alias("d").join(stays.alias("s"), F.col("d.doc_id").cast("bigint") == F.col("s.doc_id"), "left_semi")
+    least = _classes(docs, config).filter("doc_id = component_id")
+    stays = least.groupBy("root").agg(F.min(F.struct("text_hash", "doc_id")).alias("s")).select("s.doc_id", "s.text_hash").distinct()
+    rank, mark = fresh(docs, "rank"), fresh(docs, "text_hash")
+    order = Window.partitionBy("doc_id", mark).orderBy("text")
+    single = docs.filter(F.col("doc_id").isNotNull()).withColumn(mark, F.xxhash64(utf8("text"))).withColumn(rank, F.row_number().over(order))
+    at = (F.col("d.doc_id").cast("bigint") == F.col("s.doc_id")) & (F.col(f"d.`{mark}`") == F.col("s.text_hash"))
+    kept = single.filter(F.col(rank) == 1).alias("d").join(stays.alias("s"), at, "left_semi").drop(rank, mark)
     return kept.union(docs.filter(F.col("doc_id").isNull()))
 
 

@@ -107,6 +107,15 @@ def test_keep_one(messy, pairs):
     assert ids.count(None) == sum(i is None for i, _ in pairs)
 
 
+def test_keep_one_of_unlike_texts_under_one_id(spark):
+    rng = random.Random(14)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(4000)]
+    one, two, three, four = (" ".join(rng.choices(words, k=300)) for _ in range(4))
+    rows = [(1, one), (5, one), (5, two), (5, three), (5, three), (9, two), (9, four), (None, one)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(1, one), (5, two), (5, three), (9, four), (None, one)], key=repr)
+
+
 def lines_by_hand(rows, config):
     """{doc_id: dropped positions} by comparing all pairs of lines."""
     docs = {}
