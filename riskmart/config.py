@@ -83,6 +83,9 @@ class RiskConfig:
     # stream
     trigger: str = "2 seconds"
     replay_day: int | None = None
+    replay_pause_s: float = 2.0
+    #: a message whose key came within this time before is not scored again; None: no check
+    repeat_within: str | None = "1 hour"
     keep_alerts: bool = False
 
     def __post_init__(self) -> None:

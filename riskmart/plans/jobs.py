@@ -1,9 +1,10 @@
-"""Command line: batch stages, sampling of the sources, the scoring stream and the day replay.
+"""Command line: batch stages, sampling of the sources, the scoring stream, its compaction and the day replay.
 
     spark-submit riskmart/plans/jobs.py stages --raw … --root … [--stages bronze silver …]
     spark-submit riskmart/plans/jobs.py sample --raw … --target … --fraction 0.05
     spark-submit riskmart/plans/jobs.py score  --root … --servers … --topic …
-    spark-submit riskmart/plans/jobs.py replay --root … --servers … --topic … --day 182
+    spark-submit riskmart/plans/jobs.py replay --root … --servers … --topic … --day 182 [--pause 2]
+    spark-submit riskmart/plans/jobs.py compact --root … [--grace-hours 24]
 """
 
 from __future__ import annotations
@@ -41,10 +42,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     score.add_argument("--stream-id", default="alerts")
     replay = jobs.add_parser("replay", help="send one stored day, hour by hour")
     replay.add_argument("--day", type=int, required=True)
+    replay.add_argument("--pause", type=float, default=2.0, help="seconds between two hours")
+    compact = jobs.add_parser("compact", help="rewrite the batches of the stored stream into a folder per day")
+    compact.add_argument("--grace-hours", type=float, default=24.0, help="how long replaced files stay for readers that have begun")
     for p in (score, replay):
         p.add_argument("--servers", required=True)
         p.add_argument("--topic", default="transactions")
-    for p in (batch, score, replay):
+    for p in (batch, score, replay, compact):
         p.add_argument("--root", required=True, help="root folder of the tables")
         p.add_argument("--format", default="parquet")
     return parser.parse_args(argv)
@@ -59,7 +63,7 @@ def config_from(args: argparse.Namespace) -> RiskConfig:
         )
     if args.job == "score":
         return replace(cfg, keep_alerts=args.keep_alerts)
-    return replace(cfg, replay_day=args.day) if args.job == "replay" else cfg
+    return replace(cfg, replay_day=args.day, replay_pause_s=args.pause) if args.job == "replay" else cfg
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -73,6 +77,8 @@ def main(argv: list[str] | None = None) -> None:
             serving.sample_sources(spark, args.raw, args.target, cfg, args.fraction, args.seed)
         elif args.job == "score":
             serving.score_topic(spark, Layout(args.root, args.format), cfg, args.servers, args.topic, args.stream_id).awaitTermination()
+        elif args.job == "compact":
+            serving.compact_stream(spark, Layout(args.root, args.format), args.grace_hours * 3600)
         else:
             serving.replay_topic(spark, Layout(args.root, args.format), cfg, args.servers, args.topic)
     finally:

@@ -10,7 +10,8 @@ from riskmart.plans import bindings as b
 from riskmart.plans.queries import sqltext as s
 from riskmart.plans.queries.registry import query
 from riskmart.session import scratch_path
-from riskmart.streaming import messages, scoring
+from riskmart.sources import writers
+from riskmart.streaming import compaction, messages, scoring
 
 LABEL, AMOUNT = "is_positive", "amount"
 KEEP = ("id", "day", "hour", AMOUNT, LABEL, "channel", "segment", "device_brand")
@@ -179,18 +180,62 @@ def batch_stats(spark, sf):
     return stats.agg(*[F.sum(c).alias(c) for c in ("n_rows", "alerts", "true_alerts")])
 
 
-@query("hourly_backfill", _SCORED + " WHERE day = 20")
+@query(
+    "hourly_backfill",
+    f"""WITH {s.SC} SELECT id, day, hour, amount, is_positive, channel, segment, score, alert,
+  CAST(dense_rank() OVER (ORDER BY hour) - 1 AS BIGINT) AS batch_id FROM sc WHERE day = 20""",
+)
 def hourly_backfill(spark, sf):
+    """One stored day through the stream: every micro-batch is one hour, in order."""
     root = scratch_path(spark, "backfill")
     day = payload(spark, sf).filter(F.col("day") == 20)
-    rows = _arrived(messages.encode_messages(day, "id", sent()).withColumn("hour", F.get_json_object("value", "$.hour").cast("int")))
-    messages.hourly_backfill(rows, f"{root}/feed")
+
+    def send(rows):
+        writers.write_messages(_arrived(messages.encode_messages(rows, "id", sent())).coalesce(1), f"{root}/feed", fmt="parquet")
+
+    messages.hourly_backfill(day, f"{root}/staged", send)
     sink = scoring.Sink(root, "backfill")
     write = scoring.foreach_batch_sink(wire_schema(spark, sf), "id", LABEL, _fixed_score, THRESHOLD, KEEP, sink)
-    scoring.start(messages.file_source(spark, f"{root}/feed"), write, sink).awaitTermination()
+    scoring.start(messages.file_source(spark, f"{root}/feed", files_per_trigger=1), write, sink).awaitTermination()
+    return spark.read.parquet(sink.alerts).select(*_OUT, "batch_id")
+
+
+@query("keyed_dedup", f"WITH {s.SC}, sent AS (SELECT * FROM sc UNION ALL SELECT * FROM sc WHERE id % 3 = 0) SELECT DISTINCT id, day, hour, amount, is_positive, channel, segment, score, alert FROM sent")
+def keyed_dedup(spark, sf):
+    """A producer sends every third message again, in other batches and after a restart of the stream: each is scored once."""
+    root = scratch_path(spark, "keyed-dedup")
+    sink, feed = scoring.Sink(root, "dedup"), f"{root}/feed"
+    rows = encoded(spark, sf)
+    number = F.col("key").cast("bigint")
+    deliveries = [number % 2 == 0, number % 6 == 0, number % 2 == 1, number % 6 == 3]
+    for part in (deliveries[:2], deliveries[2:]):
+        for chosen in part:
+            _arrived(rows.filter(chosen)).coalesce(1).write.mode("append").parquet(feed)
+        write = scoring.foreach_batch_sink(wire_schema(spark, sf), "id", LABEL, _fixed_score, THRESHOLD, KEEP, sink)
+        single = messages.drop_repeats(messages.file_source(spark, feed, files_per_trigger=1), "1 hour")
+        scoring.start(single, write, sink).awaitTermination()
     return spark.read.parquet(sink.alerts).select(*_OUT)
 
 
+@query("stream_compaction", _SCORED)
+def stream_compaction(spark, sf):
+    """Ten batches, a compaction, five more batches, and a compaction that dies before its commit: each row is read once."""
+    root = scratch_path(spark, "compaction")
+    sink, feed = scoring.Sink(root, "compacted"), f"{root}/feed"
+    rows = _arrived(encoded(spark, sf)).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(15)))
+    rows.write.partitionBy("part").parquet(f"{root}/parts")
+    staged = spark.read.parquet(f"{root}/parts")
+    write = scoring.foreach_batch_sink(wire_schema(spark, sf), "id", LABEL, _fixed_score, THRESHOLD, KEEP, sink)
+    for first, last in ((0, 9), (10, 14)):
+        for number in range(first, last + 1):
+            staged.filter(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(feed)
+        scoring.start(messages.file_source(spark, feed, files_per_trigger=1), write, sink).awaitTermination()
+        if first == 0:
+            compaction.compact(spark, root)
+    compaction.prepare(spark, root)
+    return compaction.read(spark, root, "alerts").select(*_OUT)
+
+
 @query(
     "stream_panel",
     f"""WITH {s.SC}, last AS (SELECT max(day) AS day FROM sc), spine AS (SELECT CAST(range AS INTEGER) AS hour FROM range(24)),

@@ -13,7 +13,7 @@ from riskmart.config import SPLIT_VALIDATION, Layout, RiskConfig
 from riskmart.operators import clean, joins, models
 from riskmart.plans.stages import SOURCES
 from riskmart.sources import readers, writers
-from riskmart.streaming import messages, scoring
+from riskmart.streaming import compaction, messages, scoring
 
 
 def score_stream(
@@ -34,7 +34,8 @@ def score_stream(
         wire, cfg.key, cfg.label, lambda batch: models.with_score(model, batch), best.threshold, keep, sink,
         required=tuple(c for c in wire.fieldNames() if c not in (cfg.key, cfg.label, "sent_ts")),
     )
-    return scoring.start(source, write, sink, every), sink
+    single = messages.drop_repeats(source, cfg.repeat_within) if cfg.repeat_within else source
+    return scoring.start(single, write, sink, every), sink
 
 
 def score_topic(spark, layout: Layout, cfg: RiskConfig, servers: str, topic: str, stream_id: str) -> StreamingQuery:
@@ -53,13 +54,30 @@ def day_messages(spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int)
     return found
 
 
-def replay_day(spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int, send: Callable[[DataFrame], None]) -> None:
-    """Send one stored day at once, in event order."""
-    send(messages.encode_messages(day_messages(spark, layout, cfg, day).orderBy(cfg.seconds, cfg.key).drop(cfg.seconds), cfg.key))
+def replay_day(
+    spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int, send: Callable[[DataFrame], None], pause_s: float = 0.0
+) -> int:
+    """Send one stored day hour by hour, each hour in event order and stamped when it is sent; returns the number of hours."""
+
+    def send_hour(rows: DataFrame) -> None:
+        send(messages.encode_messages(rows.orderBy(cfg.seconds, cfg.key).drop(cfg.seconds), cfg.key))
+
+    staged = layout.staging(f"replay-{uuid.uuid4().hex}")
+    return messages.hourly_backfill(day_messages(spark, layout, cfg, day), staged, send_hour, pause_s=pause_s)
 
 
 def replay_topic(spark, layout: Layout, cfg: RiskConfig, servers: str, topic: str) -> None:
-    replay_day(spark, layout, cfg, cfg.replay_day, lambda m: writers.write_messages(m, topic, **{"kafka.bootstrap.servers": servers}))
+    def send(rows: DataFrame) -> None:
+        writers.write_messages(rows, topic, **{"kafka.bootstrap.servers": servers})
+
+    replay_day(spark, layout, cfg, cfg.replay_day, send, cfg.replay_pause_s)
+
+
+def compact_stream(spark: SparkSession, layout: Layout, grace_s: float = 24 * 3600) -> bool:
+    """Rewrite the batches of the scoring stream into a folder per day and delete what was replaced long ago."""
+    compacted = compaction.compact(spark, layout.gold("stream"))
+    compaction.vacuum(spark, layout.gold("stream"), grace_s)
+    return compacted
 
 
 def sample_sources(

@@ -20,6 +20,8 @@ def build_session(app: str = "riskmart", master: str | None = None, **conf: str)
         # a hot join key must be split even when the split costs one more exchange
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "static")
+        # the keys a stream remembers may outgrow an executor's heap
+        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     if master is not None:
         builder = builder.master(master)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskmart.functions.measures import count_if
 from riskmart.functions.timing import elapsed_seconds
 from riskmart.operators.kpis import alerts_hour_matrix
+from riskmart.sources.readers import table_exists
 from riskmart.streaming.messages import decode_messages, split_rejects
 
 BATCH_KEYS = ("stream_id", "batch_id")
@@ -108,17 +109,25 @@ def foreach_batch_sink(
 ) -> Callable[[DataFrame, int], None]:
     """The batch callback: alerts, rejects and statistics, all repeatable; empty batches are skipped.
 
-    Messages that lack a ``required`` field are rejects: what the model was never shown as missing must not be missing.
+    Messages that lack a ``required`` field are rejects: what the model was never shown as missing must not be missing. The statistics
+    are written last: a batch that has them is whole, and a restarted stream that repeats it leaves it as it is.
     """
+    started: list[int] = []  # batches since the start of this run
 
     def write(messages: DataFrame, batch_id: int) -> None:
-        if messages.isEmpty():
-            return
         # both writes share one decoded batch; the statistics are observed while the alerts are
         # written, so they cost no second scoring and no listing of older batches
         decoded = decode_messages(messages, schema).persist()
         observed = Observation()
         try:
+            # every partition is computed, and computed once: a stateful step before it has its state stored then
+            if not decoded.count():
+                return
+            # only the first batch after a start can be one that was written before
+            repeated = not started and table_exists(messages.sparkSession, f"{sink.stats}/stream_id={sink.stream_id}/batch_id={batch_id}")
+            started.append(batch_id)
+            if repeated:
+                return
             rows, rejects = split_rejects(decoded, key, required)
             scored = stream_score(rows, score, threshold, keep).observe(observed, *_stat_columns(label))
             exactly_once_append(scored, sink.alerts, sink.stream_id, batch_id)
@@ -144,6 +153,13 @@ def start(
     )
 
 
+def state_figures(running: StreamingQuery) -> dict[str, int]:
+    """Keys held in state after the last batch, and messages dropped because they came too late."""
+    steps = [op for p in running.recentProgress for op in p["stateOperators"]]
+    held = running.lastProgress["stateOperators"] if running.lastProgress else []
+    return {"in_state": sum(op["numRowsTotal"] for op in held), "late": sum(op["numRowsDroppedByWatermark"] for op in steps)}
+
+
 def stream_panel(alerts: DataFrame, label: str) -> DataFrame:
     """Totals and days received, then the alerts per hour of the latest day, all from the alert table."""
     flagged = F.col("alert")

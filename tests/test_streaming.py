@@ -115,16 +115,104 @@ def test_a_batch_of_rejects_only(spark, rows, tmp_path):
     assert spark.read.parquet(sink.rejects).count() == 1
 
 
-def test_hourly_backfill_arrives_in_order(spark, rows, tmp_path):
-    encoded = messages.encode_messages(rows, "id").withColumns({"timestamp": F.current_timestamp()})
-    with_hour = encoded.withColumn("hour", F.get_json_object("value", "$.hour").cast("int"))
-    messages.hourly_backfill(with_hour, f"{tmp_path}/feed")
-    arrived = spark.read.parquet(f"{tmp_path}/feed").select(
-        F.get_json_object("value", "$.hour").cast("int").alias("hour"), F.col("_metadata.file_name").alias("file")
-    )
-    files = arrived.groupBy("file").agg(F.min("hour").alias("a"), F.max("hour").alias("b")).orderBy("a").collect()
-    assert arrived.count() == 200 and arrived.select("hour").distinct().count() == 24
-    assert all(x.b < y.a for x, y in zip(files, files[1:]))
+def test_hourly_backfill_sends_hour_by_hour(spark, rows, tmp_path):
+    seen = []
+    sent = messages.hourly_backfill(rows.filter("hour <> 7"), f"{tmp_path}/staged", lambda part: seen.append(part))
+    hours = [{r.hour for r in part.select("hour").distinct().collect()} for part in seen]
+    assert sent == 23 and hours == [{h} for h in range(24) if h != 7]
+    back = seen[0]
+    for part in seen[1:]:
+        back = back.union(part)
+    assert back.columns == rows.columns and back.exceptAll(rows).isEmpty() and back.count() == rows.filter("hour <> 7").count()
+
+
+# --------------------------------------------------------------------------- repeated messages
+
+
+def at(spark, path, *keyed):
+    """One file of messages ``(key, time)``; the id is the key."""
+    data = [(k, None if k is None else f'{{"id": {k}, "day": 3, "hour": 1, "amount": 1.0, "is_positive": 0, "score": 0.5}}', t) for k, t in keyed]
+    spark.createDataFrame(data, "key string, value string, timestamp string").withColumn("timestamp", F.to_timestamp("timestamp")).coalesce(1).write.mode("append").parquet(path)
+
+
+def run_single(spark, rows, root, within="1 hour", wrap=lambda f: f):
+    sink = scoring.Sink(str(root), "s")
+    write = scoring.foreach_batch_sink(wire(rows), "id", LABEL, lambda b: b, 0.5, KEEP, sink)
+    single = messages.drop_repeats(messages.file_source(spark, f"{root}/feed", 1), within)
+    running = scoring.start(single, wrap(write), sink)
+    running.awaitTermination()
+    return sink, running
+
+
+def ids(spark, sink):
+    return sorted(r.id for r in spark.read.parquet(sink.alerts).collect())
+
+
+def test_repeats_are_dropped_in_and_across_batches_and_restarts(spark, rows, tmp_path):
+    at(spark, f"{tmp_path}/feed", ("1", "2024-01-01 00:00:00"), ("2", "2024-01-01 00:00:01"), ("1", "2024-01-01 00:00:02"))
+    at(spark, f"{tmp_path}/feed", ("2", "2024-01-01 00:10:00"), ("3", "2024-01-01 00:10:00"))
+    sink, _ = run_single(spark, rows, tmp_path)
+    assert ids(spark, sink) == [1, 2, 3]
+    at(spark, f"{tmp_path}/feed", ("1", "2024-01-01 00:20:00"), ("3", "2024-01-01 00:20:00"), ("4", "2024-01-01 00:20:00"))
+    sink, running = run_single(spark, rows, tmp_path)
+    assert ids(spark, sink) == [1, 2, 3, 4]
+    assert scoring.state_figures(running) == {"in_state": 4, "late": 0}
+
+
+def test_state_older_than_the_watermark_is_forgotten(spark, rows, tmp_path):
+    at(spark, f"{tmp_path}/feed", ("1", "2024-01-01 00:00:00"), ("2", "2024-01-01 00:00:00"))
+    run_single(spark, rows, tmp_path)
+    at(spark, f"{tmp_path}/feed", ("3", "2024-01-01 05:00:00"))
+    sink, running = run_single(spark, rows, tmp_path)
+    assert scoring.state_figures(running)["in_state"] == 1
+    # a repeat after five hours is a message like any other; one that comes hours late is dropped and counted
+    at(spark, f"{tmp_path}/feed", ("1", "2024-01-01 05:00:01"), ("9", "2024-01-01 01:00:00"))
+    sink, running = run_single(spark, rows, tmp_path)
+    assert ids(spark, sink) == [1, 1, 2, 3]
+    assert scoring.state_figures(running)["late"] == 1
+
+
+def test_messages_without_a_key_are_known_by_their_text(spark, rows, tmp_path):
+    data = [(None, "broken"), (None, "broken"), (None, "other"), (None, None)]
+    df = spark.createDataFrame(data, "key string, value string").withColumn("timestamp", F.current_timestamp())
+    df.coalesce(1).write.parquet(f"{tmp_path}/feed")
+    sink, _ = run_single(spark, rows, tmp_path)
+    assert sorted(str(r.raw) for r in spark.read.parquet(sink.rejects).collect()) == ["None", "broken", "other"]
+
+
+def test_a_crash_neither_loses_nor_repeats_with_state(spark, rows, tmp_path):
+    at(spark, f"{tmp_path}/feed", ("1", "2024-01-01 00:00:00"), ("2", "2024-01-01 00:00:00"))
+
+    def crash(when):
+        def wrapped(write):
+            def failing(batch, batch_id):
+                if when == "after":
+                    write(batch, batch_id)
+                raise RuntimeError("lost")
+            return failing
+        return wrapped
+
+    for when in ("before", "after", "after"):
+        with pytest.raises(Exception, match="lost"):
+            run_single(spark, rows, tmp_path, wrap=crash(when))
+    at(spark, f"{tmp_path}/feed", ("2", "2024-01-01 00:01:00"), ("3", "2024-01-01 00:01:00"))
+    sink, _ = run_single(spark, rows, tmp_path)
+    assert ids(spark, sink) == [1, 2, 3]
+
+
+def test_the_timed_trigger_runs_batch_after_batch(spark, rows, tmp_path):
+    feed(rows.filter("id < 100"), f"{tmp_path}/feed")
+    sink = scoring.Sink(str(tmp_path), "timed")
+    write = scoring.foreach_batch_sink(wire(rows), "id", LABEL, lambda b: b, 0.5, KEEP, sink)
+    running = scoring.start(messages.file_source(spark, f"{tmp_path}/feed"), write, sink, every="200 milliseconds")
+    try:
+        running.processAllAvailable()
+        feed(rows.filter("id >= 100"), f"{tmp_path}/feed")
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    got = spark.read.parquet(sink.alerts)
+    assert got.count() == 200 and got.select("batch_id").distinct().count() == 2
 
 
 def test_kafka_needs_its_connector(spark):
