@@ -63,6 +63,8 @@ class RiskConfig:
     max_categories: int = 60
     validation_days: int = 30
     cardinality_on_training_only: bool = True
+    #: name under which this loader claims files, where several may run at once; None: it is the only one
+    loader: str | None = None
     # model
     max_bins: int = 64
     trees: int = 60
@@ -100,10 +102,18 @@ class RiskConfig:
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the tables of each layer live, and in which format."""
+    """Where the tables of each layer live, and in which format.
+
+    With ``buckets`` the bronze tables are bucketed by the key, so that cleaning them needs no shuffle (parquet only).
+    """
 
     root: str
     fmt: str = "parquet"
+    buckets: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.buckets is not None and (self.buckets < 1 or self.fmt != "parquet"):
+            raise ValueError("bucketed tables are parquet and have at least one bucket")
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"

@@ -270,27 +270,28 @@ def cumulative_by_hour(scored: DataFrame, label: str, amount: str, alert: str =
 # ----------------------------------------------------------------------- moving windows
 
 
-def _trailing(rows: int):
+def _trailing(rows: int, calendar: bool = False):
     # the daily table holds one row per day, so one partition is enough
-    return Window.orderBy("day").rowsBetween(1 - rows, 0)
+    w = Window.orderBy("day")
+    return w.rangeBetween(1 - rows, 0) if calendar else w.rowsBetween(1 - rows, 0)
 
 
-def rolling_rate(daily: DataFrame, rows: int = 7) -> DataFrame:
-    """Trailing ratio of sums over the last ``rows`` days that have data."""
-    w = _trailing(rows)
+def rolling_rate(daily: DataFrame, rows: int = 7, calendar: bool = False) -> DataFrame:
+    """Trailing ratio of sums over the last ``rows`` days that have data; ``calendar``: over the last ``rows`` days, with or without data."""
+    w = _trailing(rows, calendar)
     return daily.select(
         "day", F.round(_pct(F.sum("positives").over(w), F.sum("transactions").over(w)), 6).alias("rolling_rate_pct")
     )
 
 
-def rolling_mean_of_rates(daily: DataFrame, rows: int = 7) -> DataFrame:
-    """Trailing mean of daily rates: each day counts the same, whatever its volume."""
-    w = _trailing(rows)
+def rolling_mean_of_rates(daily: DataFrame, rows: int = 7, calendar: bool = False) -> DataFrame:
+    """Trailing mean of daily rates: each day with data counts the same, whatever its volume."""
+    w = _trailing(rows, calendar)
     return daily.select("day", F.round(F.avg("rate_pct").over(w), 6).alias("rolling_mean_rate_pct"))
 
 
-def rolling_amount_share(daily: DataFrame, rows: int = 7) -> DataFrame:
+def rolling_amount_share(daily: DataFrame, rows: int = 7, calendar: bool = False) -> DataFrame:
     """Trailing share of the positive amount in the whole amount."""
-    w = _trailing(rows)
+    w = _trailing(rows, calendar)
     positive, total = F.sum(wide_units("amount_positive")).over(w), F.sum(wide_units("amount_total")).over(w)
     return daily.select("day", F.round(_pct(positive, total), 6).alias("rolling_amount_share_pct"))

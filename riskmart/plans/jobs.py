@@ -30,6 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     batch.add_argument("--without-baseline", action="store_true")
     batch.add_argument("--review-cost", type=float, default=5.0)
     batch.add_argument("--chargeback-cost", type=float, default=25.0)
+    batch.add_argument("--buckets", type=int, help="buckets of the bronze tables: cleaning then needs no shuffle")
 
     sample = jobs.add_parser("sample", help="sample the raw files by key")
     sample.add_argument("--raw", required=True)
@@ -72,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     cfg, spark = config_from(args), build_session(f"riskmart-{args.job}")
     try:
         if args.job == "stages":
-            stages.run_stages(spark, Layout(args.root, args.format), cfg, args.raw, args.stages)
+            stages.run_stages(spark, Layout(args.root, args.format, args.buckets), cfg, args.raw, args.stages)
         elif args.job == "sample":
             serving.sample_sources(spark, args.raw, args.target, cfg, args.fraction, args.seed)
         elif args.job == "score":

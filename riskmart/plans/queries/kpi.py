@@ -232,6 +232,32 @@ def rolling_amount_share(spark, sf):
     return kpis.rolling_amount_share(_daily(spark, sf))
 
 
+_GAPS_SQL = f"{_DAILY_SQL}, g AS (SELECT * FROM d WHERE day % 4 <> 3 AND day NOT BETWEEN 9 AND 13)"
+_CALENDAR = "OVER (ORDER BY day RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)"
+
+
+def _both_frames(measure: str, expression) -> str:
+    return f"{expression(_WINDOW)} AS {measure}_rows, {expression(_CALENDAR)} AS {measure}_days"
+
+
+@query(
+    "rolling_calendar",
+    f"""WITH {_GAPS_SQL}, r AS (SELECT *, {s.half_up('100 * positives', 'transactions', 3)} AS rate FROM g) SELECT day,
+  {_both_frames('rate', lambda w: f"round({s.pct(f'sum(positives) {w}', f'sum(transactions) {w}')}, 6)")},
+  {_both_frames('mean_rate', lambda w: f"round(avg(rate) {w}, 6)")},
+  {_both_frames('share', lambda w: f"round({s.pct(f'sum(pu) {w}', f'sum(au) {w}')}, 6)")} FROM r""",
+)
+def rolling_calendar(spark, sf):
+    """The three moving figures over a daily table with missing days: over seven rows and over seven calendar days."""
+    daily = _daily(spark, sf).filter((F.col("day") % 4 != 3) & ~F.col("day").between(9, 13))
+    out = None
+    for measure, fn in (("rate", kpis.rolling_rate), ("mean_rate", kpis.rolling_mean_of_rates), ("share", kpis.rolling_amount_share)):
+        for frame, calendar in (("rows", False), ("days", True)):
+            part = fn(daily, calendar=calendar).toDF("day", f"{measure}_{frame}")
+            out = part if out is None else out.join(part, "day")
+    return out
+
+
 # ------------------------------------------------------------------------- order and top-k
 
 

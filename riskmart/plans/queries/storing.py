@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskmart.functions.measures import exact_sum, money, units
-from riskmart.operators import kpis
+from riskmart.operators import clean, joins, kpis
 from riskmart.plans import bindings as b
 from riskmart.plans.queries import sqltext as s
 from riskmart.plans.queries.kpi import LI_SEG_SQL, li_segments
 from riskmart.plans.queries.registry import query
 from riskmart.session import scratch_path
-from riskmart.sources import readers, writers
+from riskmart.sources import buckets, catalog, readers, writers
 from riskmart.streaming import messages
 
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -59,6 +61,44 @@ def ingest_once(spark, sf):
     )
 
 
+@query("ingest_quarantine", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 5 <> 3 UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 5 = 3 AND o_orderkey % 10 = 3")
+def ingest_quarantine(spark, sf):
+    """Five files of which one holds a price that is none: the others are loaded at once, the mended file by a later run."""
+    root = scratch_path(spark, "quarantine")
+    source, table, manifest = f"{root}/in", f"{root}/bronze/orders", f"{root}/manifest"
+    orders = b.table(spark, sf, "orders").select(*ORDERS).withColumn("part", F.col("o_orderkey") % 5)
+    spoiled = F.when((F.col("part") == 3) & (F.col("o_orderkey") % 10 == 8), F.lit("abc")).otherwise(F.col("o_totalprice").cast("string"))
+    orders.withColumn("o_totalprice", spoiled).repartition("part").write.partitionBy("part").option("header", True).csv(source)
+    lease = readers.Lease("nightly")
+
+    def load():
+        return readers.ingest_once(spark, source, table, manifest, ORDERS_SCHEMA, pattern="*.csv", set_misfits_aside=True, lease=lease)
+
+    load()
+    # the file is mended by leaving out its spoiled lines
+    mended = readers.set_aside(spark, manifest).select("path").first()["path"]
+    spark.read.option("header", True).csv(mended).filter("o_totalprice <> 'abc'").coalesce(1).write.option("header", True).csv(f"{source}/part=mended")
+    load()
+    return readers.read_table(spark, table).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+@query("catalog_overwrite", "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 2 = 0")
+def catalog_overwrite(spark, sf):
+    """A table by name is overwritten, and a second overwrite fails midway: the first one's rows are read."""
+    root, name = scratch_path(spark, "catalog"), f"customers_{uuid.uuid4().hex}"
+    table = catalog.NamedTable(name, root)
+    customers = b.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    catalog.overwrite(customers.withColumn("old", F.lit(True)), table)
+    catalog.overwrite(customers.filter("c_custkey % 2 = 0"), table)
+    failing = customers.repartition(4).withColumn("c_name", F.when(F.col("c_custkey") % 100 == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("c_name")))
+    try:
+        catalog.overwrite(failing, table)
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    return spark.table(name)
+
+
 @query(
     "ingest_load_check",
     "SELECT 'orders.parquet' AS file_name, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem.parquet', count(*) FROM lineitem",
@@ -118,6 +158,30 @@ def run_metrics_table(spark, sf):
     return readers.read_table(spark, path).filter(F.col("run_id") == "run-1").drop("detail")
 
 
+@query(
+    "bucketed_join",
+    f"""WITH {s.EV} SELECT ev.id, CASE WHEN ev.id % 3 = 0 THEN amount + 1 ELSE amount END AS amount,
+  CASE WHEN doc_id % 4 = 0 THEN CAST(7 AS INTEGER) ELSE quality END AS quality, doc_id IS NOT NULL AS has_side
+FROM ev LEFT JOIN labels ON ev.id = doc_id""",
+)
+def bucketed_join(spark, sf):
+    """Two deliveries of facts and side rows, the second replacing rows of the first: newest per key and the side join, without a shuffle."""
+    root = scratch_path(spark, "bucketed")
+    facts, side = (buckets.Buckets(f"{root}/{name}", "id", 8) for name in ("facts", "side"))
+    events = b.events_frame(spark, sf).select("id", "amount")
+    labels = b.table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("quality"))
+    for table, rows, changed in (
+        (facts, events, events.filter("id % 3 = 0").withColumn("amount", F.col("amount") + 1)),
+        (side, labels, labels.filter("id % 4 = 0").withColumn("quality", F.lit(7))),
+    ):
+        for number, delivery in enumerate((rows, changed)):
+            buckets.append(delivery.withColumn("delivered", F.lit(number)), table, f"delivery-{number}")
+    newest = [
+        clean.dedup_by_key(buckets.read(spark, t).drop(buckets.BATCH), ["id"], [F.col("delivered").desc()]).drop("delivered") for t in (facts, side)
+    ]
+    return joins.left_join_presence(*newest, "id")
+
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()

@@ -22,7 +22,7 @@ from riskmart.config import (
 from riskmart.functions import text
 from riskmart.operators import clean, economics, evaluation, features, joins, kpis, models, profile
 from riskmart.session import cut_lineage
-from riskmart.sources import readers, writers
+from riskmart.sources import buckets, readers, writers
 
 log = logging.getLogger("riskmart")
 
@@ -31,14 +31,19 @@ SOURCES = ("train_transaction", "train_identity", "test_transaction", "test_iden
 Schemas = dict[str, T.StructType]
 
 
+def bucketed(layout: Layout, cfg: RiskConfig, name: str) -> buckets.Buckets | None:
+    return None if layout.buckets is None else buckets.Buckets(layout.bronze(name), cfg.key, layout.buckets)
+
+
 def bronze(spark: SparkSession, layout: Layout, cfg: RiskConfig, raw: str, schemas: Schemas | None = None) -> dict:
-    """Load every source file once; a missing source is skipped with a warning."""
+    """Load every source file once; a missing source is skipped and a file that does not fit is set aside, with a warning."""
     loaded = {}
     for name in SOURCES:
         try:
             load = readers.ingest_once(
                 spark, f"{raw.rstrip('/')}/{name}.csv", layout.bronze(name), layout.meta(f"manifest_{name}"),
-                (schemas or {}).get(name), fmt=layout.fmt,
+                (schemas or {}).get(name), fmt=layout.fmt, bucketed=bucketed(layout, cfg, name),
+                set_misfits_aside=True, lease=None if cfg.loader is None else readers.Lease(cfg.loader),
             )
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
@@ -46,6 +51,10 @@ def bronze(spark: SparkSession, layout: Layout, cfg: RiskConfig, raw: str, schem
             log.warning("source %s does not exist, skipped", name)
             load = readers.Loaded(0, ())
         loaded[f"{name}_files"] = load.files
+        aside = readers.set_aside(spark, layout.meta(f"manifest_{name}")).collect()  # one row per misfit file
+        loaded[f"{name}_set_aside"] = len(aside)
+        for r in aside:
+            log.warning("file %s is set aside: %s", r.path, r.reason)
         if load.files:
             # only the partitions just written are counted
             table = readers.read_table(spark, layout.bronze(name), layout.fmt)
@@ -59,7 +68,8 @@ DELIVERED = "_ingest_ts"
 
 def _bronze_rows(spark: SparkSession, layout: Layout, cfg: RiskConfig, name: str) -> DataFrame:
     """One row per key: that of the newest delivery; of several in one delivery, the one with values where others have none."""
-    rows = readers.read_table(spark, layout.bronze(name), layout.fmt)
+    table = bucketed(layout, cfg, name)
+    rows = readers.read_table(spark, layout.bronze(name), layout.fmt) if table is None else buckets.read(spark, table)
     named = clean.normalize_names(clean.drop_audit(rows, [c for c in (*AUDIT_COLUMNS, "_batch") if c != DELIVERED]))
     rest = [F.col(c).asc_nulls_last() for c in named.columns if c not in (cfg.key, DELIVERED)]
     return clean.dedup_by_key(named, [cfg.key], [F.col(DELIVERED).desc(), *rest]).drop(DELIVERED)
@@ -78,14 +88,16 @@ def clean_rows(df: DataFrame, cfg: RiskConfig) -> DataFrame:
     return df.withColumns(derived) if derived else df
 
 
+def joined_rows(spark: SparkSession, layout: Layout, cfg: RiskConfig, dataset: str) -> DataFrame:
+    """The facts of a dataset with their side rows; over bucketed bronze tables without a shuffle."""
+    facts, side = (_bronze_rows(spark, layout, cfg, f"{dataset}_{kind}") for kind in ("transaction", "identity"))
+    return joins.left_join_presence(facts, side, cfg.key, cfg.presence).withColumn("dataset", F.lit(dataset))
+
+
 def silver(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """Join facts and side rows, drop sparse columns, clean; one table with a partition per dataset."""
     parts = [
-        joins.left_join_presence(
-            _bronze_rows(spark, layout, cfg, f"{ds}_transaction"),
-            _bronze_rows(spark, layout, cfg, f"{ds}_identity"),
-            cfg.key, cfg.presence,
-        ).withColumn("dataset", F.lit(ds))
+        joined_rows(spark, layout, cfg, ds)
         for ds in (DATASET_TRAIN, DATASET_TEST)
         if readers.table_exists(spark, layout.bronze(f"{ds}_transaction"), layout.fmt)
     ]

@@ -1,7 +1,10 @@
+import threading
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from riskmart.sources import readers, writers
+from riskmart.sources import catalog, commits, readers, writers
 
 
 @pytest.fixture
@@ -112,3 +115,125 @@ def test_inventory_counts_bytes(spark, folder):
     size = sum(f.stat().st_size for f in (folder / "x").glob("*.parquet"))
     assert (rows["x"].n_rows, rows["x"].n_columns, rows["x"].n_files, rows["x"].n_bytes) == (100, 1, 2, size)
     assert rows["total"].n_bytes == size
+
+
+# --------------------------------------------------------------------------- misfits and several loaders
+
+
+def careful(spark, folder, loader=None, seconds=3600.0, schema="k int, v string"):
+    lease = None if loader is None else readers.Lease(loader, seconds)
+    return readers.ingest_once(spark, str(folder / "in"), str(folder / "t"), str(folder / "m"), schema, set_misfits_aside=True, lease=lease)
+
+
+def keys(spark, folder):
+    return sorted(r.k for r in readers.read_table(spark, str(folder / "t")).collect())
+
+
+@pytest.mark.parametrize("loader", [None, "a"])
+def test_misfits_are_set_aside_and_tried_again_when_mended(spark, folder, loader):
+    put(folder, "good.csv", "k,v\n1,x\n2,y\n")
+    put(folder, "value.csv", "k,v\n3,x\nbad,y\n")
+    put(folder, "header.csv", "k,w\n4,x\n")
+    put(folder, "columns.csv", "k,v,z\n5,x,1\n")
+    put(folder, "empty.csv", "k,v\n")
+    put(folder, "with space.csv", '"k","v"\n6,"x, y"\n')
+    assert careful(spark, folder, loader).files == 3
+    assert keys(spark, folder) == [1, 2, 6]
+    aside = {r.path.rsplit("/", 1)[1]: r.reason for r in readers.set_aside(spark, str(folder / "m")).collect()}
+    assert set(aside) == {"value.csv", "header.csv", "columns.csv"} and "bad,y" in aside["value.csv"] and "k,w" in aside["header.csv"]
+    assert careful(spark, folder, loader) == (0, ())
+    time.sleep(1.1)  # times of change are compared
+    put(folder, "value.csv", "k,v\n3,x\n")
+    put(folder, "new.csv", "k,v\n7,x\n")
+    assert careful(spark, folder, loader).files == 2
+    assert keys(spark, folder) == [1, 2, 3, 6, 7]
+    assert readers.set_aside(spark, str(folder / "m")).count() == 2
+
+
+def test_a_batch_of_misfits_only(spark, folder):
+    put(folder, "a.csv", "k,v\nbad,x\n")
+    assert careful(spark, folder) == (0, ()) and readers.set_aside(spark, str(folder / "m")).count() == 1
+
+
+def test_other_failures_are_not_taken_for_misfits(spark, folder, monkeypatch):
+    put(folder, "a.csv", "k,v\n1,x\n")
+    monkeypatch.setattr(readers, "ingest_audit", lambda df: (_ for _ in ()).throw(RuntimeError("disk full")))
+    with pytest.raises(RuntimeError, match="disk full"):
+        careful(spark, folder)
+
+
+def test_two_loaders_load_each_file_once(spark, folder):
+    for i in range(12):
+        put(folder, f"f{i}.csv", f"k,v\n{i},x\n")
+    results, start = {}, threading.Barrier(2)
+
+    def run(name):
+        start.wait()
+        results[name] = careful(spark, folder, name)
+
+    threads = [threading.Thread(target=run, args=(n,)) for n in ("a", "b")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sum(r.files for r in results.values()) == 12
+    assert keys(spark, folder) == list(range(12))
+
+
+def test_a_dead_loader_loses_its_claim(spark, folder, monkeypatch):
+    put(folder, "a.csv", "k,v\n1,x\n")
+    real = readers._record
+
+    def crash(spark_, files, batch_id, state, manifest):
+        if state == readers.DONE:
+            raise RuntimeError("driver lost")
+        real(spark_, files, batch_id, state, manifest)
+
+    monkeypatch.setattr(readers, "_record", crash)
+    with pytest.raises(RuntimeError):
+        careful(spark, folder, "a")
+    monkeypatch.setattr(readers, "_record", real)
+    put(folder, "b.csv", "k,v\n2,x\n")
+    assert careful(spark, folder, "b").files == 1  # a's claim on a.csv lives
+    log = commits.CommitLog(f"{folder}/m.claims")
+    assert len(log.read(spark)) == 2
+    monkeypatch.setattr(readers, "datetime", type("Later", (), {"now": staticmethod(lambda: __import__("datetime").datetime.now() + __import__("datetime").timedelta(hours=2))}))
+    assert careful(spark, folder, "b").files == 1  # it has run out
+    assert keys(spark, folder) == [1, 2]
+    assert careful(spark, folder, "a") == (0, ())
+
+
+# --------------------------------------------------------------------------- tables by name
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, folder):
+    table = catalog.NamedTable("named_a", str(folder / "named"))
+    assert not catalog.exists(spark, table)
+    with pytest.raises(ValueError):
+        catalog.read(spark, table)
+    catalog.overwrite(spark.range(10), table)
+    failing = spark.range(100).withColumn("id", F.when(F.col("id") == 70, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        catalog.overwrite(failing, table)
+    assert spark.table("named_a").count() == 10 and catalog.exists(spark, table)
+    catalog.overwrite(spark.range(3).withColumn("part", F.col("id") % 2), table, "part")
+    assert spark.table("named_a").columns == ["id", "part"] and spark.table("named_a").count() == 3
+    assert catalog.drop_versions(spark, table) == 0 and catalog.drop_versions(spark, table, -5) == 2
+    spark.sql("DROP VIEW named_a")
+    assert catalog.exists(spark, table) and catalog.read(spark, table).count() == 3
+
+
+def test_of_two_writers_one_is_told(spark, folder, monkeypatch):
+    table = catalog.NamedTable("named_b", str(folder / "named"))
+    catalog.overwrite(spark.range(1), table)
+    real = commits.CommitLog.append
+
+    def late(self, spark_, after, text):
+        monkeypatch.setattr(commits.CommitLog, "append", real)
+        catalog.overwrite(spark_.range(2), table)
+        return real(self, spark_, after, text)
+
+    monkeypatch.setattr(commits.CommitLog, "append", late)
+    with pytest.raises(catalog.Overtaken):
+        catalog.overwrite(spark.range(3), table)
+    assert catalog.read(spark, table).count() == 2
