@@ -131,7 +131,7 @@ class Layout:
         return self.table("_meta", name)
 
     def staging(self, name: str) -> str:
-        """Intermediate tables; each run replaces those of the run before."""
+        """Intermediate tables."""
         return self.table("_staging", name)
 
     def model(self, name: str) -> str:

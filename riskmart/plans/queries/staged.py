@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from riskmart.config import Layout, RiskConfig
@@ -29,6 +31,31 @@ def run_stages(spark, sf):
     return readers.read_table(spark, layout.gold("kpis_daily"))
 
 
+@query(
+    "stage_outputs",
+    f"""WITH {_RAW}, last AS (SELECT max(day) AS day FROM raw)
+SELECT 'kpis_daily' AS output, count(DISTINCT day) AS n_rows, CAST(NULL AS DOUBLE) AS rate_pct FROM raw
+UNION ALL SELECT 'predictions_validation', count(*), NULL FROM raw WHERE day > (SELECT day FROM last) - {b.VALIDATION_DAYS}
+UNION ALL SELECT 'threshold_curve', 19, NULL
+UNION ALL SELECT 'findings', 8, {s.half_up('100 * sum(fraud)', 'count(*)', 3)} FROM raw""",
+)
+def stage_outputs(spark, sf):
+    """All seven stages, over bucketed bronze tables: rows of the exported files and of the report, and its rate."""
+    root = scratch_path(spark, "all-stages")
+    b.raw_files(spark, sf, f"{root}/raw")
+    layout = Layout(root, buckets=8)
+    stages.run_stages(spark, layout, replace(CONFIG, trees=3, baseline_iterations=5), f"{root}/raw", stages.ORDER)
+    none = F.lit(None).cast("double").alias("rate_pct")
+    out = None
+    for name in ("kpis_daily", "predictions_validation", "threshold_curve"):
+        exported = spark.read.option("header", True).csv(layout.table("export", name))
+        rows = exported.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("n_rows"), F.max(none).alias("rate_pct"))
+        out = rows if out is None else out.unionByName(rows)
+    facts = readers.read_table(spark, layout.gold("findings"))
+    rate = F.max(F.when(F.col("fact") == "global_rate_pct", F.col("value")))
+    return out.unionByName(facts.agg(F.lit("findings").alias("output"), F.count(F.lit(1)).alias("n_rows"), rate.alias("rate_pct")))
+
+
 @query(
     "score_stream",
     f"""WITH {_RAW} SELECT id AS "TransactionID", day, hour, true AS in_range, true AS as_in_batch FROM raw WHERE day = {b.HOLDOUT_FROM_DAY - 1}""",

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskmart.config import SPLIT_VALIDATION, Layout, RiskConfig
 from riskmart.operators import clean, joins, models
 from riskmart.plans.stages import SOURCES
+from riskmart.session import in_scope, scoped
 from riskmart.sources import readers, writers
 from riskmart.streaming import compaction, messages, scoring
 
@@ -54,6 +55,7 @@ def day_messages(spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int)
     return found
 
 
+@scoped
 def replay_day(
     spark: SparkSession, layout: Layout, cfg: RiskConfig, day: int, send: Callable[[DataFrame], None], pause_s: float = 0.0
 ) -> int:
@@ -62,7 +64,7 @@ def replay_day(
     def send_hour(rows: DataFrame) -> None:
         send(messages.encode_messages(rows.orderBy(cfg.seconds, cfg.key).drop(cfg.seconds), cfg.key))
 
-    staged = layout.staging(f"replay-{uuid.uuid4().hex}")
+    staged = in_scope(layout.staging(f"replay-{uuid.uuid4().hex}"))
     return messages.hourly_backfill(day_messages(spark, layout, cfg, day), staged, send_hour, pause_s=pause_s)
 
 

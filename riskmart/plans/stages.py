@@ -20,8 +20,8 @@ from riskmart.config import (
     AUDIT_COLUMNS, DATASET_TEST, DATASET_TRAIN, SPLIT_HOLDOUT, SPLIT_TRAIN, SPLIT_VALIDATION, Layout, RiskConfig,
 )
 from riskmart.functions import text
-from riskmart.operators import clean, economics, evaluation, features, joins, kpis, models, profile
-from riskmart.session import cut_lineage
+from riskmart.operators import clean, economics, evaluation, features, joins, kpis, models, profile, sketches
+from riskmart.session import cut_lineage, in_scope, scoped
 from riskmart.sources import buckets, readers, writers
 
 log = logging.getLogger("riskmart")
@@ -31,10 +31,16 @@ SOURCES = ("train_transaction", "train_identity", "test_transaction", "test_iden
 Schemas = dict[str, T.StructType]
 
 
+def _staged(layout: Layout, name: str) -> str:
+    """Where a run keeps an intermediate table: its own place, gone when the stage is done."""
+    return in_scope(layout.staging(f"{name}-{uuid.uuid4().hex}"))
+
+
 def bucketed(layout: Layout, cfg: RiskConfig, name: str) -> buckets.Buckets | None:
     return None if layout.buckets is None else buckets.Buckets(layout.bronze(name), cfg.key, layout.buckets)
 
 
+@scoped
 def bronze(spark: SparkSession, layout: Layout, cfg: RiskConfig, raw: str, schemas: Schemas | None = None) -> dict:
     """Load every source file once; a missing source is skipped and a file that does not fit is set aside, with a warning."""
     loaded = {}
@@ -94,6 +100,7 @@ def joined_rows(spark: SparkSession, layout: Layout, cfg: RiskConfig, dataset: s
     return joins.left_join_presence(facts, side, cfg.key, cfg.presence).withColumn("dataset", F.lit(dataset))
 
 
+@scoped
 def silver(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """Join facts and side rows, drop sparse columns, clean; one table with a partition per dataset."""
     parts = [
@@ -103,12 +110,12 @@ def silver(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     ]
     # Which columns stay depends on the joined rows. They are stored once, so that the profile and
     # the final write read columns instead of repeating the shuffles.
-    joined_path = layout.staging("silver_joined")
+    joined_path = _staged(layout, "silver_joined")
     writers.write_partitioned(joins.union_missing(*parts), joined_path, "dataset")
     joined = readers.read_table(spark, joined_path)
     training = clean.filter_partition(joined, "dataset", DATASET_TRAIN)
     nulls = clean.null_profile(training)
-    sparse = cut_lineage(clean.sparse_columns(nulls, cfg.max_null_fraction, cfg.protected), "sparse-columns", layout.staging("sparse_columns"))
+    sparse = cut_lineage(clean.sparse_columns(nulls, cfg.max_null_fraction, cfg.protected), "sparse-columns", _staged(layout, "sparse_columns"))
     dropped = [r.column_name for r in sparse.orderBy("column_name").collect()]  # one row per column at most
     writers.write_snapshot(sparse, layout.meta("silver_dropped_columns"), layout.fmt)
 
@@ -128,11 +135,12 @@ def _training_rows(spark: SparkSession, layout: Layout) -> DataFrame:
     return clean.filter_partition(table, "dataset", DATASET_TRAIN)
 
 
+@scoped
 def gold_kpis(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """Daily table, cube, segments and totals: two column-pruned scans, nothing cached."""
     train = _training_rows(spark, layout)
     # the daily table and the totals are sums of the cube's sums
-    sums = cut_lineage(kpis.cube_sums(train, cfg.cube_dims, cfg.label, cfg.amount), "cube-sums", layout.staging("cube_sums"))
+    sums = cut_lineage(kpis.cube_sums(train, cfg.cube_dims, cfg.label, cfg.amount), "cube-sums", _staged(layout, "cube_sums"))
     writers.write_snapshot(kpis.cube_from_sums(sums), layout.gold("cube_daily"), layout.fmt)
     writers.write_snapshot(kpis.bundle_from_sums(sums, ["day"]), layout.gold("kpis_daily"), layout.fmt)
     segments = kpis.segment_risk(train, cfg.segments, cfg.label, cfg.amount, cfg.min_support)
@@ -146,6 +154,7 @@ def gold_kpis(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     return summary
 
 
+@scoped
 def gold_features(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """The feature table with a partition per split, and the decisions that shaped it."""
     table = readers.read_table(spark, layout.silver("transactions"), layout.fmt)
@@ -184,6 +193,7 @@ def _quality(scored: DataFrame, curve: DataFrame, cfg: RiskConfig) -> dict:
     return areas.first().asDict() | at_half.first().asDict()
 
 
+@scoped
 def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """Fit, score once, find the cheapest threshold, store scores, curve, importances and model."""
     table = readers.read_table(spark, layout.gold("features"), layout.fmt)
@@ -207,7 +217,7 @@ def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     keep = [cfg.key, "split", cfg.label, cfg.amount]
     if cfg.with_baseline:
         baseline = models.train_baseline(weighted, inputs, lists.categorical, cfg.label, "weight", cfg)
-        scored = cut_lineage(models.with_score(baseline, validation).select(*keep, "score"), "baseline-scores", layout.staging("baseline_scores"))
+        scored = cut_lineage(models.with_score(baseline, validation).select(*keep, "score"), "baseline-scores", _staged(layout, "baseline_scores"))
         summary |= {f"baseline_{k}": v for k, v in _quality(scored, curve_of(scored), cfg).items()}
     boosted = models.train_gbt(weighted, inputs, lists.categorical, cfg.label, "weight", cfg)
     models.save_model(boosted, layout.model("gbt"))
@@ -215,9 +225,9 @@ def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
 
     # validation and holdout are scored once; the threshold is chosen on the stored scores
     both = joins.union_scored(table, [SPLIT_VALIDATION, SPLIT_HOLDOUT])
-    scores = cut_lineage(models.with_score(boosted, both).select(*keep, "score"), "scores", layout.staging("scores"))
+    scores = cut_lineage(models.with_score(boosted, both).select(*keep, "score"), "scores", _staged(layout, "scores"))
     scored = clean.filter_partition(scores, "split", SPLIT_VALIDATION)
-    curve = cut_lineage(curve_of(scored), "threshold-curve", layout.staging("threshold_curve"))
+    curve = cut_lineage(curve_of(scored), "threshold-curve", _staged(layout, "threshold_curve"))
     writers.write_snapshot(curve, layout.gold("threshold_curve"), layout.fmt)
     best = economics.optimal_threshold(curve, cfg.validation_days)
     writers.write_snapshot(best, layout.gold("optimal_threshold"), layout.fmt)
@@ -233,6 +243,7 @@ def model(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     return summary
 
 
+@scoped
 def export(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """The gold tables as CSV. One file only where the number of rows is bounded, by days or by thresholds."""
 
@@ -258,13 +269,16 @@ def export(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     return {"tables": len(exports)}
 
 
+@scoped
 def report(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> dict:
     """Profile of the training rows and the findings drawn from it."""
     train = _training_rows(spark, layout)
-    nulls = cut_lineage(clean.null_profile(train), "null-profile", layout.staging("null_profile"))
+    nulls = cut_lineage(clean.null_profile(train), "null-profile", _staged(layout, "null_profile"))
     writers.write_snapshot(nulls, layout.gold("null_profile"), layout.fmt)
-    amounts = cut_lineage(profile.percentiles_by_class(train, cfg.amount, cfg.label), "amounts", layout.staging("amounts"))
+    amounts = cut_lineage(profile.percentiles_by_class(train, cfg.amount, cfg.label), "amounts", _staged(layout, "amounts"))
     writers.write_snapshot(amounts, layout.gold("amount_profile"), layout.fmt)
+    # percentiles of any slice of days, without another pass over the rows
+    writers.write_snapshot(sketches.daily_quantiles(train, cfg.amount, cfg.label), layout.gold("amount_sketches"), layout.fmt)
     dropped = readers.read_table(spark, layout.meta("silver_dropped_columns"), layout.fmt).count()
     segments = readers.read_table(spark, layout.gold("segment_risk"), layout.fmt)
     daily = readers.read_table(spark, layout.gold("kpis_daily"), layout.fmt)

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskmart.sources.commits import remove
+
 
 def build_session(app: str = "riskmart", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators are planned for; caller settings win."""
@@ -53,15 +59,52 @@ def _local_shared_dir() -> str:
     return _LOCAL[0]
 
 
+#: the intermediate tables of the innermost scope of this thread
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, also after a failure: what is read from them must have been written by then."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+def scoped(stage: Callable) -> Callable:
+    """A function of a session (and more) that returns plain values, with a scratch scope of its own."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, *args, **kwargs):
+        with scratch_scope(spark):
+            return stage(spark, *args, **kwargs)
+
+    return run
+
+
+def in_scope(path: str) -> str:
+    """``path``, to be deleted with the scope it was named in, if there is one."""
+    paths = _SCOPE.get()
+    if paths is not None:
+        paths.append(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused, so nothing is overwritten."""
-    return f"{shared_dir(spark)}/riskmart/{name}-{uuid.uuid4().hex}"
+    return in_scope(f"{shared_dir(spark)}/riskmart/{name}-{uuid.uuid4().hex}")
 
 
 def cut_lineage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back, so that later jobs neither repeat it nor lose it with an executor.
 
-    Without a path it goes to the shared folder, under the retention that folder has for checkpoints.
+    Without a path it goes to the shared folder; it is deleted with the scratch scope it was written in, or, without one, under the
+    retention that folder has for checkpoints.
     """
     path = path or scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)

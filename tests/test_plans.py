@@ -16,7 +16,7 @@ STORED = {
     "train_baseline", "train_gbt", "class_probability", "feature_importance", "score_table", "model_store", "run_stages",
     "score_stream", "stream_score", "message_source", "foreach_batch_sink", "micro_batch_trigger", "batch_stats",
     "hourly_backfill", "stream_panel", "stream_latest", "exactly_once_append", "ingest_once", "export_csv",
-    "keyed_dedup", "stream_compaction",
+    "keyed_dedup", "stream_compaction", "ingest_quarantine", "stage_outputs",
 }
 LAZY = sorted(set(QUERIES) - STORED)
 

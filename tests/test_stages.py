@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from riskmart import session
 from riskmart.config import Layout, RiskConfig
 from riskmart.operators import features
 from riskmart.plans import bindings as b
@@ -66,6 +69,22 @@ def test_export_and_metrics(spark, built):
     assert {"global_rate_pct", "riskiest", "least_risky", "max_over_median"} <= facts
 
 
+def test_intermediate_tables_go_with_their_stage(spark, built, tmp_path, monkeypatch):
+    root, _, _ = built
+    assert not list(Path(root, "_staging").iterdir())
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    with session.scratch_scope(spark):
+        kept = session.cut_lineage(spark.range(5), "inner")
+        assert kept.count() == 5 and list(Path(tmp_path, "riskmart").iterdir())
+    assert not list(Path(tmp_path, "riskmart").iterdir())
+    with pytest.raises(RuntimeError), session.scratch_scope(spark):
+        session.cut_lineage(spark.range(5), "inner")
+        raise RuntimeError("lost")
+    assert not list(Path(tmp_path, "riskmart").iterdir())
+    outside = session.cut_lineage(spark.range(5), "outside")
+    assert outside.count() == 5 and len(list(Path(tmp_path, "riskmart").iterdir())) == 1
+
+
 def test_failure_keeps_the_evidence(spark, tmp_path):
     with pytest.raises(Exception):
         stages.run_stages(spark, Layout(str(tmp_path)), RiskConfig(), stages=["gold_kpis"])
