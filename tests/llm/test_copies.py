@@ -362,26 +362,50 @@ def test_exact_passage_before_sparse_matches():
     assert found[0] == 0 and 60 <= found[1] <= 85 and found[4] >= 0.8
 
 
-@pytest.mark.parametrize("copies, hot", [(2, 512), (40, 512), (40, 4)])
-def test_passage_whose_seeds_are_scattered_over_first_documents(spark, copies, hot):
+@pytest.mark.parametrize("copies, split", [(2, False), (40, False), (40, True)])
+def test_passage_whose_seeds_are_scattered_over_first_documents(spark, monkeypatch, copies, split):
     rng = random.Random(9)
     words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(20_000)]
     shared = rng.choices(words, k=72)
     rows = [(i, " ".join([*rng.choices(words, k=30), *shared[12 * i : 12 * i + 16], *rng.choices(words, k=30)])) for i in range(6)]
     rows += [(50 + i, " ".join([*rng.choices(words, k=40), *shared, *rng.choices(words, k=40)])) for i in range(copies)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = substring_dedup.passages(docs, substring_dedup.SubstringConfig(hot=hot, ranges=5)).collect()
+    if split:
+        monkeypatch.setattr(substring_dedup, "hot_seeds", lambda seeds, config: [r.seed for r in seeds.groupBy("seed").count().filter("count > 4").collect()])
+    found = substring_dedup.passages(docs, substring_dedup.SubstringConfig(ranges=5)).collect()
     assert {r["doc_id"]: (r["start"], r["end"], r["other_id"]) for r in found} == {50 + i: (40, 112, 49 + i) for i in range(1, copies)}
 
 
-def test_holders_before(spark):
+def matches_by_hand(rows):
+    out = []
+    for seed in {r[0] for r in rows}:
+        mine = sorted((d, p) for s, d, p in rows if s == seed)
+        for d, p in mine:
+            if d == mine[0][0]:
+                continue
+            out.append((d, mine[0][0], p, mine[0][1], 0))
+            before = max((e, -q) for e, q in mine if e < d)
+            if before[0] != mine[0][0]:
+                out.append((d, before[0], p, -before[1], 1))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("hot, ranges, batch", [([], 7, 10_000), ([], 7, 3), ([0, 1, 2], 7, 5), ([1], 200, 1), ([0, 1, 2], 1, 4)])
+def test_seed_matches(spark, monkeypatch, hot, ranges, batch):
     rng = random.Random(10)
-    rows = sorted({(rng.randrange(3), rng.randrange(60), rng.randrange(9)) for _ in range(300)})
-    sizes = {s: sum(r[0] == s for r in rows) for s in range(3)}
-    occurrences = spark.createDataFrame([(*r, sizes[r[0]]) for r in rows], "seed long, doc_id long, pos int, n long")
-    for hot, ranges in [(10, 7), (10_000, 7), (0, 200)]:
-        found = substring_dedup.holders_before(occurrences, substring_dedup.SubstringConfig(hot=hot, ranges=ranges)).collect()
-        assert len(found) == len(rows)
-        for r in found:
-            lower = [(d, -p) for s, d, p in rows if s == r["seed"] and d < r["doc_id"]]
-            assert (tuple(r["before"]) if r["before"] else None) == max(lower, default=None)
+    rows = sorted({(rng.randrange(3), rng.randrange(60), rng.randrange(9)) for _ in range(300)} | {(5 + i, i, 2**31 - 1 - i) for i in range(5)} | {(9, 2, 1), (9, 3, 2**31 - 1)})
+    seeds = spark.createDataFrame(rows, "seed long, doc_id long, pos int").repartition(4)
+    monkeypatch.setattr(substring_dedup, "hot_seeds", lambda seeds, config: hot)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = substring_dedup.seed_matches(seeds, substring_dedup.SubstringConfig(ranges=ranges)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r["doc_id"], r["other_id"], r["at"] >> 32, (r["at"] & 0xFFFFFFFF) >> 1, r["at"] & 1) for r in found) == matches_by_hand(rows)
+
+
+def test_seeds_of_many_documents_are_found(spark):
+    rows = [(7, d, 0) for d in range(0, 6000, 3)] + [(100 + d, d, 5) for d in range(6000)]
+    config = substring_dedup.SubstringConfig()
+    assert substring_dedup.hot_seeds(spark.createDataFrame(rows, "seed long, doc_id long, pos int"), config) == [7]
+    assert substring_dedup.hot_seeds(spark.createDataFrame(rows[:0], "seed long, doc_id long, pos int"), config) == []
