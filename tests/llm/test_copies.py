@@ -409,3 +409,12 @@ def test_seeds_of_many_documents_are_found(spark):
     config = substring_dedup.SubstringConfig()
     assert substring_dedup.hot_seeds(spark.createDataFrame(rows, "seed long, doc_id long, pos int"), config) == [7]
     assert substring_dedup.hot_seeds(spark.createDataFrame(rows[:0], "seed long, doc_id long, pos int"), config) == []
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_only_documents_of_chains_take_part(spark, most):
+    ids = [0, 63, 64, -1, -64, 2**62, 5]
+    docs = spark.createDataFrame([(i, f"t{i}") for i in [*ids, 1, 65, -2, None]], "doc_id long, text string")
+    found = spark.createDataFrame([(ids[i], ids[i + 1]) for i in range(6)], "doc_id long, other_id long")
+    kept = substring_dedup.taking_part(docs, found, substring_dedup.SubstringConfig(most_blocks=most)).collect()
+    assert {r["doc_id"] for r in kept} == (set(ids) if most else {*ids, 1, 65, -2, None})
