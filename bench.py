@@ -21,6 +21,7 @@ HEADLINE = [
     "percentiles_by_class", "box_stats", "amount_histogram", "score_histogram", "threshold_curve", "optimal_threshold",
     "cost_scenarios", "roc_auc", "pr_auc", "headline", "segment_lift", "rolling_rate", "feature_table", "class_weights",
     "stratified_sample", "csv_scan", "ingest_once", "write_partitioned", "train_baseline", "train_gbt", "stream_score", "run_stages", "score_stream",
+    "bucketed_join", "percentile_sketches", "distinct_sketches", "keyed_dedup", "stream_compaction", "rolling_calendar",
 ]
 
 
