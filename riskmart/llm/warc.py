@@ -6,8 +6,8 @@ that frame; the index that maps identifiers to these is a table beside the bundl
 
 Equal payloads of at least ``min_payload`` bytes are stored once: the record with the smallest id is the response, the others are
 revisits that refer to it. Nulls: a null payload is empty; a null url is left out of the header; a null id gives a record with an empty
-id that never is a first one. Rows that repeat an id each give a record of their own; repeated ids of equal payload are one response and
-revisits of it. Empty tables give no bundle.
+id that never is a first one. Rows that repeat an id each give a record of their own; rows that share both the id and the payload of a response
+are responses too. Empty tables give no bundle.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ class WarcConfig:
     frame_bytes: int = 1 << 20
     bundle_bytes: int = 32 << 20
     level: int = 3
+    #: the ``WARC-Date`` of all records: given, not taken from a clock, so that reruns write the same bytes
+    date: str = "1970-01-01T00:00:00Z"
 
 
 def plan_records(pages: DataFrame, config: WarcConfig = WarcConfig()) -> DataFrame:
@@ -56,11 +58,11 @@ def plan_records(pages: DataFrame, config: WarcConfig = WarcConfig()) -> DataFra
     return joined.select("page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(repeat, F.col("first_id")).alias("refers_to"))
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str = WarcConfig.date) -> bytes:
     """One WARC record. A revisit carries no payload, only its digest and length."""
     clean = None if url is None else url.replace("\r", "%0D").replace("\n", "%0A")
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}"]
-    head += [f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Payload-Digest: sha256:{digest}"]
+    head += [f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha256:{digest}"]
     if clean is not None:
         head.append(f"WARC-Target-URI: {clean}")
     if refers_to is not None:
@@ -170,7 +172,7 @@ def write_archive(records: DataFrame, folder: str, config: WarcConfig = WarcConf
                 if bundle is None:
                     bundle = _Bundle(folder, f"{stem}-{serial:04d}.warc.zst", config)
                     serial += 1
-                data = record(page_id, url, payload, digest, refers_to)
+                data = record(page_id, url, payload, digest, refers_to, config.date)
                 frame, offset = bundle.add(data)
                 placed.append((bundle.name, frame, offset, len(data), page_id))
                 if bundle.size >= config.bundle_bytes:
@@ -231,7 +233,9 @@ def read_archive(folder: str, index: DataFrame) -> DataFrame:
             columns = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    places = index.select("bundle", "frame", "offset").repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
+    # the index is small, the bundles are not: the number of tasks follows from the bundles
+    bundles = index.select("bundle").distinct().count()
+    places = index.select("bundle", "frame", "offset").repartition(max(bundles, 1), "bundle").sortWithinPartitions("bundle", "frame", "offset")
     schema = "page_id bigint, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string"
     return places.mapInArrow(run, schema)
 

@@ -131,6 +131,8 @@ def test_bundles_are_plain_zstandard(spark, pages):
                 head, _, end = warc.parse_record(whole, begin)
                 assert end - begin == p["length"]
                 assert head["WARC-Record-ID"] == f"<urn:page:{'' if p['page_id'] is None else p['page_id']}>"
+                # what every record must have
+                assert head["WARC-Date"] == warc.WarcConfig.date and {"WARC-Type", "Content-Length"} <= set(head)
 
 
 def test_pipeline_stages(spark, sf):
