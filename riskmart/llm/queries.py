@@ -102,11 +102,18 @@ placed AS (
          list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS s
   FROM each_hit),
 base AS (SELECT r, kind, s::BIGINT AS s, (s + length(hit))::BIGINT AS e FROM placed WHERE kind < 3 AND (kind > 0 OR length(secret) >= 8)),
+parts AS (
+  SELECT r, s, string_split_regex(hit, p) AS gaps, regexp_extract_all(hit, p) AS words
+  FROM placed, (SELECT '(?i)(?:example|sample|dummy|placeholder|changeme|xxxxx|0123456789|abcdefghij)' AS p) WHERE kind = 3),
+each_part AS (SELECT r, s, gaps, words, unnest(range(1, len(gaps) + 1)) AS i FROM parts),
+candidates AS (
+  SELECT r, gaps[i] AS hit, s + coalesce(list_sum(list_transform(gaps[1:i - 1], lambda x: length(x))), 0)
+         + coalesce(list_sum(list_transform(words[1:i - 1], lambda x: length(x))), 0) AS s
+  FROM each_part),
 runs AS (
   SELECT r, s, hit, CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN 3.05 WHEN regexp_full_match(hit, '[A-Za-z]+') THEN 4.05 ELSE 3.85 END AS bits
-  FROM placed WHERE kind = 3 AND NOT regexp_matches(hit, '(?i)(example|sample|dummy|placeholder|changeme|xxxxx)') AND NOT regexp_matches(hit, '^[0-9]+$')
-    AND NOT regexp_matches(hit, '(?i)(0123456789|abcdefghij)') AND NOT regexp_matches(hit, '(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$')
-    AND NOT regexp_matches(hit, '^/?([a-z0-9_-]+/){2,}[a-z0-9_-]*$')),
+  FROM candidates WHERE length(hit) >= 20 AND NOT regexp_matches(hit, '^[0-9]+$')
+    AND NOT regexp_matches(hit, '(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$') AND NOT regexp_matches(hit, '^/?([a-z0-9_-]+/){2,}[a-z0-9_-]*$')),
 windows AS (SELECT r, s AS run, hit, bits, unnest(range(0, length(hit) - 19)) AS pos FROM runs),
 dense AS (SELECT r, run, pos FROM windows WHERE list_entropy(string_split(substring(hit, (pos + 1)::BIGINT, 20), '')) >= bits),
 marked AS (SELECT *, coalesce(pos - lag(pos) OVER w > 20, true)::INTEGER AS fresh FROM dense WINDOW w AS (PARTITION BY r, run ORDER BY pos)),

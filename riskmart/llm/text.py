@@ -7,6 +7,8 @@ inside a multi-byte UTF-8 sequence.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,11 @@ def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("data"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often it is named."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fresh(docs: DataFrame, name: str) -> str:
     """``name``, with as many leading underscores as it takes not to clash with a column of ``docs``."""
     taken = {c.lower() for c in docs.columns}

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -146,18 +147,20 @@ def spans_by_hand(text):
     base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
     config, dense = secrets.SecretConfig(), []
     for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
-        run = m[0]
-        if any(re.search(p, run) for p in config.allow):
-            continue
-        bits = config.hex_bits if re.fullmatch("[0-9a-fA-F]+", run) else config.alpha_bits if re.fullmatch("[A-Za-z]+", run) else config.mixed_bits
-        own: list[list[int]] = []
-        for i in range(len(run) - 19):
-            if -sum(n / 20 * math.log2(n / 20) for n in Counter(run[i : i + 20]).values()) >= bits:
-                if own and own[-1][1] >= i:
-                    own[-1][1] = i + 20
-                else:
-                    own.append([i, i + 20])
-        dense += [(m.start() + a, 3, m.start() + b) for a, b in own]
+        words = [w.span() for w in re.finditer(config.allow_words, m[0])]
+        for at, until in zip([0, *[w[1] for w in words]], [*[w[0] for w in words], len(m[0])]):
+            run = m[0][at:until]
+            if len(run) < 20 or any(re.search(p, run) for p in config.allow):
+                continue
+            bits = config.hex_bits if re.fullmatch("[0-9a-fA-F]+", run) else config.alpha_bits if re.fullmatch("[A-Za-z]+", run) else config.mixed_bits
+            own: list[list[int]] = []
+            for i in range(len(run) - 19):
+                if -sum(n / 20 * math.log2(n / 20) for n in Counter(run[i : i + 20]).values()) >= bits:
+                    if own and own[-1][1] >= i:
+                        own[-1][1] = i + 20
+                    else:
+                        own.append([i, i + 20])
+            dense += [(m.start() + at + a, 3, m.start() + at + b) for a, b in own]
     dense = [d for d in dense if not any(b[0] <= d[0] and d[2] <= b[2] for b in base)]
 
     def joined(spans):
@@ -168,7 +171,7 @@ def spans_by_hand(text):
 
 def test_secrets(spark, messy, empty, pairs):
     rng = random.Random(5)
-    bits = ["é", "ñ word ", "\n", "token: ", "Password='", "api_key=", "AKIA", " ", "secret: x ", "EXAMPLE"]
+    bits = ["é", "ñ word ", "\n", "token: ", "Password='", "api_key=", "AKIA", " ", "secret: x ", "EXAMPLE", "Sample_", "xxxxx"]
     rows = [(2, "é token=abcdefgh12 AKIAABCDEFGHIJKL0 " + "a" * 40), (3, "token: secret: abcdefgh1"), (4, "".join(rng.choices(secrets.ALPHABET, k=5000)))]
     for i in range(10, 200):
         parts = []
@@ -191,6 +194,30 @@ def test_secrets(spark, messy, empty, pairs):
     assert secrets.secret_scan(empty).count() == 0
 
 
+def test_listed_words_hide_only_themselves(spark):
+    """A secret beside a listed word is found, up to that word; windows over the word do not count."""
+    secret = "".join(random.Random(3).sample(secrets.ALPHABET, 40))
+    texts = [f"SAMPLE_DB={secret}", f"{secret}example", f"{secret[:15]}example{secret[15:30]}", "example" * 9, f"/home/sample/{'abc/' * 9}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in secrets.secret_scan(docs).collect()}
+    assert found == {i: spans_by_hand(t)[-1] for i, t in enumerate(texts)}
+    assert found[0].startswith("entropy:") and found[1] == "entropy:0:40" and found[2] == found[3] == found[4] == ""
+
+
+def test_secrets_of_long_texts(spark):
+    """Many hits and very long runs: the work is linear, and spans do not depend on where stretches and blocks end."""
+    rng = random.Random(8)
+    hits = [f"{rng.getrandbits(128):032x}" for _ in range(100_000)]
+    mixed = "".join(rng.choices(["".join(rng.sample(secrets.ALPHABET, 24)), "aaaa" * 7, "ab" * 11], k=12_000))
+    rows = [(1, " ".join(hits)), (2, mixed), (3, "".join(rng.choices(secrets.ALPHABET, k=1_000_000)))]
+    start = time.monotonic()
+    found = {r["doc_id"]: r for r in secrets.secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.monotonic() - start < 90
+    assert found[1]["n_hex"] == 100_000 and found[1]["spans"].endswith(f"hex:{33 * 99_999}:{33 * 100_000 - 1}")
+    for i in (2, 3):
+        assert tuple(found[i])[1:6] == spans_by_hand(rows[i - 1][1])
+
+
 def test_secrets_are_native(messy):
     plan = secrets.secret_scan(messy)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
