@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.components import components
-from riskmart.llm.text import fresh
+from riskmart.llm.text import fresh, let
 from riskmart.session import cut_lineage
 
 
@@ -189,12 +189,29 @@ def line_decisions(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFr
     classes = cut_lineage(line_classes(docs, config), "line-classes")
     spots = lines(docs).filter("doc_id is not null").select("doc_id", "pos", "h1", "h2", _has_word().alias("word"))
     joined = spots.join(classes, ["h1", "h2"], "left")
-    spot = F.when(F.col("word") & F.col("root").isNotNull(), F.struct("pos", "root", "keeper"))
-    per_doc = joined.groupBy("doc_id").agg(F.max("pos").alias("last"), F.array_sort(F.collect_set(spot)).alias("spots"))
-    roots = F.transform("spots", lambda s: s["root"])
-    goes = F.filter("spots", lambda s, i: (s["keeper"] != F.col("doc_id")) | (F.array_position(F.col("roots"), s["root"]) != i + 1))
-    dropped = F.transform(goes, lambda s: s["pos"])
-    return per_doc.withColumn("roots", roots).select("doc_id", (F.col("last") + 1).alias("n_lines"), dropped.alias("dropped"))
+    spot = F.when(F.col("word") & F.col("root").isNotNull(), F.struct("root", "pos", "keeper"))
+    per_doc = joined.groupBy("doc_id").agg(F.max("pos").alias("last"), F.collect_set(spot).alias("spots"))
+
+    def gone(ordered: Column) -> Column:
+        """In order of class and place, all but the first of a class go: each is compared with the one before it."""
+        again = lambda s, i: (i > 0) & (F.element_at(ordered, F.greatest(i, F.lit(1)))["root"] == s["root"])
+        return F.filter(ordered, lambda s, i: (s["keeper"] != F.col("doc_id")) | again(s, i))
+
+    dropped = F.transform(let(F.sort_array("spots"), gone), lambda s: s["pos"])
+    return per_doc.select("doc_id", (F.col("last") + 1).alias("n_lines"), F.sort_array(dropped).alias("dropped"))
+
+
+def _without(text: Column, dropped: Column) -> Column:
+    """The text without the lines at the sorted places ``dropped``: the stretches between them are cut out and put together."""
+
+    def stretches(x: Column) -> Column:
+        bounds = F.concat(F.array(F.lit(-1)), F.filter(F.array_distinct(x["dropped"]), lambda p: p < F.size(x["lines"])), F.array(F.size(x["lines"])))
+        return let(bounds, lambda at: F.flatten(F.transform(
+            F.sequence(F.lit(1), F.size(at) - 1),
+            lambda k: F.slice(x["lines"], F.element_at(at, k) + 2, F.element_at(at, k + 1) - F.element_at(at, k) - 1),
+        )))
+
+    return F.array_join(let(F.struct(F.split(text, "\n", -1).alias("lines"), dropped.alias("dropped")), stretches), "\n")
 
 
 def dedup_lines(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFrame:
@@ -204,8 +221,7 @@ def dedup_lines(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFrame
     """
     gone = line_decisions(docs, config).filter(F.size("dropped") > 0).select("doc_id", "dropped")
     joined = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").cast("bigint") == F.col("g.doc_id"), "left")
-    kept = F.filter(F.split("d.text", "\n", -1), lambda line, i: ~F.array_contains(F.col("g.dropped"), i))
-    text = F.when(F.col("g.dropped").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col("g.dropped").isNull(), F.col("d.text")).otherwise(_without(F.col("d.text"), F.col("g.dropped")))
     mark = fresh(docs, "touched")
     left = joined.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], F.col("g.dropped").isNotNull().alias(mark))
     left = left.filter(~F.col(mark) | _has_word("text")).drop(mark)

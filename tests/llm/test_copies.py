@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -185,6 +186,19 @@ def test_line_dedup_on_messy_rows(messy, empty, pairs):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_of_a_very_long_text(spark):
+    """200 000 lines, each twice, and a repeated id whose second text is shorter: the work does not grow with the square."""
+    rng = random.Random(4)
+    once = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=14)) for _ in range(100_000)]
+    docs = spark.createDataFrame([(1, "\n".join([*once, *once])), (2, f"own line of two\n{once[7]}"), (2, "own line of two")], "doc_id long, text string")
+    start = time.monotonic()
+    found = {r["doc_id"]: (r["n_lines"], r["dropped"]) for r in line_dedup.line_decisions(docs).collect()}
+    assert found == {1: (200_000, list(range(100_000, 200_000))), 2: (2, [1])}
+    left = sorted(r["text"] for r in line_dedup.dedup_lines(docs).collect())
+    assert left == sorted(["\n".join(once), "own line of two", "own line of two"])
+    assert time.monotonic() - start < 150
+
+
 def test_small_edits_of_short_lines(spark):
     """The least length from which each edit of a line is linked to it; no other line is."""
     rng = random.Random(12)
