@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class DecontaminationConfig:
     error_rate: float = 0.08
-    block_chars: int = 16_000_000
+    #: the automaton of a block takes about 65 MB per million characters in each Python worker
+    block_chars: int = 2_000_000
 
 
 def normal_form(text: str | None) -> str:

@@ -15,6 +15,20 @@ from riskmart.llm import chaining, components, decontaminate, line_dedup, simhas
 from riskmart.llm.groups import whole_groups
 
 
+def rows_of(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+def edits(a, b):
+    """Edit distance of two strings."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
 class Union:
     def __init__(self):
         self.up = {}
@@ -277,12 +291,36 @@ def test_leaks(spark, messy, empty, block_chars):
                 if distance <= math.floor(config.error_rate * len(item)):
                     hand.append((i, k, distance))
     assert found == sorted(hand, key=repr) and found
+    texts, wanted = dict(rows), {k: decontaminate.normal_form(x) for k, x in items}
+    for r in decontaminate.leaks(docs, benchmark, config).collect():
+        place = decontaminate.normal_form(texts[r["doc_id"]])[r["start"] : r["end"]]
+        assert edits(wanted[r["item_id"]], place) == r["distance"]
     kept = decontaminate.drop_contaminated(docs, benchmark, config)
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows} - {i for i, _, _ in hand}
     assert decontaminate.leaks(empty, benchmark).count() == 0
     assert decontaminate.drop_contaminated(messy, benchmark.limit(0)).count() == messy.count()
 
 
+def test_leaks_in_messy_rows(spark, messy, pairs):
+    """Nulls, repeated rows and ids, clashing names and long texts against a benchmark that meets some of them."""
+    base = dict(pairs)
+    items = [(1, base[0][:80]), (2, base[7][5:95]), (2, None), (3, base[3][:60]), (3, base[3][:60]), (None, base[5][:70]), (4, "")]
+    benchmark = spark.createDataFrame([(*i, 0, "x") for i in items], "item_id long, text string, doc_id int, distance string")
+    found = rows_of(decontaminate.leaks(messy, benchmark), "doc_id", "item_id", "distance")
+    hand, wanted = [], {(k, decontaminate.normal_form(x)) for k, x in items if x}
+    for i, t in pairs:
+        text = decontaminate.normal_form(t)
+        hand += [(i, k, 0) for k, item in wanted if item in text]
+    # base texts are random words: whoever is near an item here holds it, but for the one changed word of document 102
+    assert sorted((r for r in found if r[2] == 0), key=repr) == sorted(hand, key=repr)
+    assert all(r[0] == 102 for r in found if r[2] > 0)
+    kept = decontaminate.drop_contaminated(messy, benchmark)
+    gone = [r[0] for r in found]
+    assert kept.columns == messy.columns and rows_of(kept, "doc_id") == sorted([(i,) for i, _ in pairs if i is not None and i not in gone] + [
+        (None,) for i, t in pairs if i is None and not any(x in decontaminate.normal_form(t) for _, x in wanted)
+    ], key=repr)
+
+
 def test_groups_across_batches():
     import pyarrow as pa
 
