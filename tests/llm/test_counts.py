@@ -139,6 +139,19 @@ def test_classifier_learns_from_text_alone():
     assert score(b"river calm stone") > 0.8 > 0.2 > score(b"%%y ##x")
 
 
+def test_scores_equal_a_plain_forward_pass():
+    """The scorer's sums per word against shares of all buckets times their weights, on texts it has not learned from."""
+    rng, config = random.Random(9), classifier.ClassifierConfig(buckets=1024, epochs=3)
+    words = ["".join(rng.choices("abcé#", k=rng.randint(1, 7))) for _ in range(60)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 80))).encode() for _ in range(40)]
+    rows = [(*classifier.document_buckets(t, config.grams, config.buckets), k % 2) for k, t in enumerate(texts[:20])]
+    model = classifier.learn(rows, config)
+    score = classifier.scorer(model)
+    for t in texts:
+        ids, shares = classifier.document_buckets(t, config.grams, config.buckets)
+        assert score(t) == pytest.approx(1 / (1 + math.exp(-(model.bias + float(shares @ model.weight[ids])))))
+
+
 def spans_by_hand(text):
     text = text or ""
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
