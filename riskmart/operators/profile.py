@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,45 +115,31 @@ def score_histogram(df: DataFrame, score: str, label: str, bin_points: int = 250
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pearson r of every pair of columns where both values are present.
+    """Pearson r of every pair of columns where both values are present; null without such a row, NaN where a column does not vary there.
 
-    One aggregate per pair does not survive forty columns. Each task instead multiplies its batches, centred by the column means, as
-    matrices: values, squares and presence of all columns at once. It returns one row of sums per pair, so what is shuffled is pairs
-    times tasks, however many rows there are.
+    One aggregate per pair does not survive forty columns. Each row is instead opened into its pairs of values, and central moments are
+    combined per pair in the same stage, so what is shuffled is pairs times tasks, however many rows there are. The moments move with
+    the mean as rows come in: no pass for the means. A column varies if its least and greatest value differ.
     """
     columns = list(columns)
-    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    centre = F.array(*[F.coalesce(F.avg(f"c{i}"), F.lit(0.0)) for i in range(len(columns))])
-    means = np.array(numbers.agg(centre.alias("m")).first()["m"], dtype=float)
-    left, right = np.triu_indices(len(columns), k=1)
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((6, len(left)))
-        for batch in batches:
-            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1) - means
-            present = ~np.isnan(x)
-            x, seen = np.where(present, x, 0.0), present.astype(float)
-            both, one, square, cross = seen.T @ seen, x.T @ seen, (x * x).T @ seen, x.T @ x
-            parts = (both[left, right], one[left, right], one[right, left], square[left, right], square[right, left], cross[left, right])
-            total += np.stack(parts)
-        arrays = [pa.array(left), pa.array(right), *[pa.array(t) for t in total]]
-        yield pa.RecordBatch.from_arrays(arrays, ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
-
-    schema = "i bigint, j bigint, " + ", ".join(f"{c} double" for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
-    partial = numbers.mapInArrow(sums, schema)
-    total = partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    names, mean = F.array(*[F.lit(c) for c in columns]), F.array(*[F.lit(float(m)) for m in means])
-    n = F.nullif(F.col("n"), F.lit(0.0))
-    spread = {}
-    for side, at in (("x", "i"), ("y", "j")):
-        variance = F.col(f"s{side}{side}") - F.col(f"s{side}") * F.col(f"s{side}") / n
-        # the rounding of the mean alone makes a constant column vary this little
-        noise = n * F.pow(F.element_at(mean, (F.col(at) + 1).cast("int")) * 1e-12, 2)
-        spread[side] = F.when(variance > noise, variance)
-    r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(spread["x"] * spread["y"])
-    r = F.when(F.col("n") > 0, F.coalesce(r, F.lit(float("nan"))))
-    return total.select(
-        F.element_at(names, (F.col("i") + 1).cast("int")).alias("left_column"), F.element_at(names, (F.col("j") + 1).cast("int")).alias("right_column"),
+
+    missing = F.lit(None).cast("double")
+    rows = df.select(F.array(*[F.nanvl(F.col(f"`{c}`").cast("double"), missing) for c in columns]).alias("v"))
+    # a row of nulls: every pair is in the result, also of an empty table
+    rows = rows.union(df.sparkSession.range(0, 1, 1, 1).select(F.array(*[missing for _ in columns]).alias("v")))
+    # "outer" only spares the optimizer a filter on the size of the array, which holds all columns
+    first = rows.select("v", F.posexplode_outer("v").alias("i", "x"))
+    pairs = first.select("i", "x", F.posexplode_outer("v").alias("j", "y")).filter("j > i")
+    x, y = F.when(F.col("y").isNotNull(), F.col("x")), F.when(F.col("x").isNotNull(), F.col("y"))
+    moments = pairs.groupBy("i", "j").agg(
+        F.covar_pop("x", "y").alias("xy"), F.var_pop(x).alias("xx"), F.var_pop(y).alias("yy"),
+        ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias("vary"),
+    )
+    r = F.when(F.col("vary"), F.try_divide(F.try_divide("xy", F.sqrt("xx")), F.sqrt("yy")))
+    r = F.when(F.col("xy").isNotNull(), F.coalesce(r, F.lit(float("nan"))))
+    names = F.array(*[F.lit(c) for c in columns])
+    return moments.select(
+        F.element_at(names, F.col("i") + 1).alias("left_column"), F.element_at(names, F.col("j") + 1).alias("right_column"),
         F.round(r, digits).alias("r"),
     )
 

@@ -129,6 +129,17 @@ def test_correlation_of_wide_tables(spark):
     assert np.isnan(found[("v2", "v5")])
 
 
+def test_correlation_without_common_or_any_rows(spark):
+    rows = [(1.0, 2.0, None, 4.0), (2.0, 4.5, None, float("nan")), (3.0, 5.0, None, None), (None, 1.0, 9.0, None)]
+    df = spark.createDataFrame(rows, "`a.b` double, b double, c double, d double")
+    found = {(r["left_column"], r["right_column"]): r["r"] for r in profile.correlation_matrix(df, df.columns).collect()}
+    assert found[("a.b", "b")] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.5, 5])[0, 1], abs=1e-6)
+    assert found[("a.b", "c")] is None and found[("c", "d")] is None  # never both present
+    assert np.isnan(found[("b", "c")]) and np.isnan(found[("a.b", "d")])  # one row: nothing varies
+    empty = profile.correlation_matrix(df.limit(0), df.columns).collect()
+    assert len(empty) == 6 and all(r["r"] is None for r in empty)
+
+
 def test_inventory_states_files_and_bytes(spark, sf):
     rows = {r["table_name"]: r for r in readers.table_inventory(spark, {t: f"{sf}/{t}.parquet" for t in TABLES}).collect()}
     sizes = {t: sum(f.stat().st_size for f in ([Path(sf, f"{t}.parquet")] if Path(sf, f"{t}.parquet").is_file() else Path(sf, f"{t}.parquet").iterdir())) for t in TABLES}
