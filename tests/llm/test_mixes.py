@@ -11,7 +11,6 @@ import pytest
 import corpus_pipeline
 from riskmart.llm import decontaminate, line_dedup, mixing, quality_rules, simhash, warc
 from riskmart.llm.queries import ORACLES, QUERIES
-from riskmart.operators import ranges
 from riskmart.session import cut_lineage, scratch_path
 from tests.oracle import connect, differences
 
@@ -29,8 +28,7 @@ def test_running_total(spark):
     rows = [(k % 3 if k % 7 else None, (k * 37) % 50, k, k % 5) for k in range(300)]
     df = spark.createDataFrame(rows, "grp int, ord int, id int, value int")
     order = ["grp", "ord", "id"]
-    found = ranges.running_totals(ranges.numbered_ranges(df.repartition(7), order, "t"), {"total": "value"}, order, by="grp")
-    got = {r["id"]: r["total"] for r in found.collect()}
+    got = {r["id"]: r["total"] for r in mixing.queue(df.repartition(7), order, "value", "total", "t", by="grp").collect()}
     for g in (None, 0, 1, 2):
         total = 0
         for _, i, v in sorted((o, i, v) for x, o, i, v in rows if x == g):
@@ -81,6 +79,26 @@ def test_mixed_documents(messy):
     assert mixed.filter("mix_finish < 0").count() == 0 and mixed.count() > 0
 
 
+def test_rows_without_id_have_their_own_places(spark):
+    """Texts under a null id, or under one id, are taken or left one by one; equal rows share a place."""
+    texts = [f"text {k} " + "word " * (k % 9) for k in range(60)]
+    rows = [(None, "a", t) for t in texts] + [(None, "a", texts[0])] * 3 + [(7, "a", "one two three"), (7, "a", "four five")]
+    rows += [(100 + k, "b", "some more words here") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    result = {(r["doc_id"], r["source"]): r for r in mixing.mix(docs).collect()}
+    copies = [(r["doc_id"], r["text"], r["mix_pass"]) for r in mixing.mixed_documents(docs).collect()]
+    passes: dict = {}
+    for doc_id, text, number in copies:
+        passes.setdefault((doc_id, text), []).append(number)
+    nameless = [len(passes.get((None, t), [])) for t in texts]
+    assert nameless[0] in (0, 4, 8) and set(nameless[1:]) <= {0, 1, 2} and len(set(nameless[1:])) > 1
+    size = lambda t: len(t.split())
+    for key in ((None, "a"), (7, "a")):
+        assert result[key]["size"] == sum(size(t) for i, s, t in rows if (i, s) == key)
+        assert result[key]["taken"] == sum(size(t) for i, t, _ in copies if i == key[0])
+    assert len(result) == 62
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     same = "<p>" + "same page " * 20 + "</p>"
