@@ -1,8 +1,8 @@
 """Quality classifier from supervised subword embeddings.
 
-Each word has one hashed vector of its own and one for every character n-gram of ``<word>``; a word that repeats the one
-before it adds the vector of that bigram, one for all such bigrams. The vectors of a document are averaged and go through a softmax; numpy stochastic gradient descent learns vectors and output together.
-For scoring, each learned vector is reduced to its share of the difference of the two logits, so a document
+Each word has one hashed vector of its own and one for every character n-gram of ``<word>``. The vectors of a document are averaged
+and go through a softmax; numpy stochastic gradient descent learns vectors and output together. Word order is no input, so a text that
+only repeats good words is not told from a good one. For scoring, each learned vector is reduced to its share of the difference of the two logits, so a document
 costs one dictionary look-up per word.
 
 Learning sees only labelled rows whose crc32(doc_id as text) mod ``folds`` is not 0. Neither labels nor lang, source
@@ -26,9 +26,6 @@ from riskmart.llm.quality_rules import labelled_sample
 from riskmart.llm.text import id_and_bytes
 
 CACHED_WORDS = 300_000
-REPEATED = b"\0\0same"
-#: a repetition counts as often as a word has vectors, about
-REPEAT_TIMES = 8
 
 
 @dataclass(frozen=True)
@@ -66,10 +63,8 @@ def document_buckets(data: bytes, grams: tuple[int, ...], buckets: int) -> tuple
     """Buckets of a text and the share of each in the average."""
     found = np.zeros(buckets, dtype=np.int64)
     counts: dict[bytes, int] = {}
-    words = data.split()
-    for w in words:
+    for w in data.split():
         counts[w] = counts.get(w, 0) + 1
-    found[crc32(REPEATED) % buckets] = REPEAT_TIMES * sum(map(bytes.__eq__, words, words[1:]))
     for w, n in counts.items():
         np.add.at(found, word_buckets(w, grams, buckets), n)
     ids = np.flatnonzero(found)
@@ -136,17 +131,14 @@ def scorer(model: SubwordModel):
     """A function from the bytes of a text to its score; it remembers a bounded number of words."""
     known: dict[bytes, tuple[float, int]] = {}
     buckets = len(model.weight)
-    repeated = float(model.weight[crc32(REPEATED) % buckets])
 
     def contribution(word: bytes) -> tuple[float, int]:
         ids = word_buckets(word, model.grams, buckets)
         return float(model.weight[ids].sum()), len(ids)
 
     def score(data: bytes) -> float:
-        words = data.split()
-        n = REPEAT_TIMES * sum(map(bytes.__eq__, words, words[1:]))
-        total = n * repeated
-        for word in words:
+        total, n = 0.0, 0
+        for word in data.split():
             pair = known.get(word)
             if pair is None:
                 if len(known) >= CACHED_WORDS:
