@@ -7,6 +7,10 @@ aligned if their words are not in those. The matches of a document with another
 the best predecessor), chains are extended over the words around them and aligned, and what has at least ``min_words`` words and
 ``identity`` of them in common order is a passage. A chain that has not is cut at its largest gap, and so are its parts, until each is a passage or too short.
 
+Two holders an occurrence are not all. For what those rounds leave, a third one is whole: where a document has words outside its passages, every two of its
+shared seeds that lie about as far apart as the ends of the shortest chain are one key, and under it the document is matched with every other one of lower id. This grows with
+the pairs of documents that share such a stretch and no passage found before; it is one join, spread over all tasks.
+
 A passage is kept in the document of least id and reported in every other one. Nulls: null texts have no words; rows with a null id cannot be
 named and are left out. Rows that repeat an id are one document; its passages within itself are not reported. Ties between
 occurrences in the first document go to the first position. Empty texts and tables give nothing; texts of any length are read whole. Only
@@ -202,13 +206,67 @@ def seed_matches(seeds: DataFrame, config: SubstringConfig) -> DataFrame:
     return found.union(hot_matches(seeds.filter(F.col("seed").isin(hot)), config)) if hot else found
 
 
+def least_chain(config: SubstringConfig) -> int:
+    """Words of the shortest chain: a passage of ``min_words`` may begin and end up to a margin beyond its outer seeds."""
+    return max(config.k, config.min_words - 2 * config.margin)
+
+
+def seed_pairs(seeds: DataFrame, told: DataFrame, config: SubstringConfig) -> DataFrame:
+    """``key, doc_id, x, x2, open``: two shared seeds of a document, at ``x`` and ``x2``, that are as far apart as the ends of a shortest chain or up to
+    two windows more, so every longer run of matches on one diagonal has such a pair.
+
+    ``open``: not both seeds lie in passages ``told`` of the document, and one of them is so frequent that first holder and holder before may not be all.
+    """
+    holders = seeds.groupBy("seed").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
+    shared = holders.filter("low < high").select("seed", (F.col("n") > 3).cast("bigint").alias("many"))
+    zero = F.lit(0).cast("bigint")
+    occurrences = seeds.join(shared, "seed").select("doc_id", F.col("pos").cast("bigint").alias("pos"), zero.alias("end"), "seed", "many")
+    spans = told.select("doc_id", F.col("start").alias("pos"), "end", zero.alias("seed"), zero.alias("many")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = least_chain(config) - config.k
+        high = low + 2 * config.window
+        names = ["key", "doc_id", "x", "x2", "open"]
+        for rows in whole_groups(batches, 1):
+            for s, n in zip(*group_bounds(rows, 1)):
+                group = rows[s : s + n]
+                is_span = group[:, 2] > 0
+                doc, pos, seed, many = group[0, 0], *group[~is_span][:, [1, 3, 4]].T
+                # a document whose words are fewer than a passage's side may have has none
+                if not len(pos) or pos[-1] + config.margin < config.identity * config.min_words:
+                    continue
+                starts, ends = group[is_span, 1], np.maximum.accumulate(group[is_span, 2])
+                span = np.searchsorted(starts, pos, side="right") - 1
+                inside = (span >= 0) & (pos + config.k <= ends[np.maximum(span, 0)]) if len(starts) else np.zeros(len(pos), dtype=bool)
+                first, last = np.searchsorted(pos, pos + low), np.searchsorted(pos, pos + high, side="right")
+                counts = last - first
+                i = np.repeat(np.arange(len(pos)), counts)
+                j = np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts) + first[i]
+                keys = (seed.view(np.uint64)[i] * np.uint64(0x9E3779B97F4A7C15) ^ seed.view(np.uint64)[j]).view(np.int64)
+                unsettled = ~(inside[i] & inside[j]) & ((many[i] | many[j]) > 0)
+                columns = [keys, np.full(len(i), doc), pos[i], pos[j], unsettled]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    mixed = occurrences.unionByName(spans).repartition("doc_id").sortWithinPartitions("doc_id", "pos")
+    return mixed.mapInArrow(run, "key bigint, doc_id bigint, x bigint, x2 bigint, open boolean")
+
+
+def remaining_matches(seeds: DataFrame, told: DataFrame, config: SubstringConfig) -> DataFrame:
+    """``doc_id, other_id, at``: the matches of unsettled pairs of seeds with all documents of lower id that hold the same pair, however many there are."""
+    pairs = cut_lineage(seed_pairs(seeds, told, config), "passage-seed-pairs")
+    wanted = pairs.filter("open").drop("open")
+    held = pairs.select("key", F.col("doc_id").alias("other_id"), F.col("x").alias("y"), F.col("x2").alias("y2"))
+    both = wanted.join(held, "key").filter("other_id < doc_id")
+    ends = F.array(packed(F.col("x"), F.col("y"), 1), packed(F.col("x2"), F.col("y2"), 1))
+    return both.select("doc_id", "other_id", F.explode(ends).alias("at"))
+
+
 def chain_table(matches: DataFrame, config: SubstringConfig) -> DataFrame:
     """Chains long enough to belong to a passage; ``later`` are those that only matches with holders before give. A group is one document with
     another: its size is bounded by the document's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a passage of min_words may begin and end up to a margin beyond its outer seeds
-        least = max(config.k, config.min_words - 2 * config.margin)
+        least = least_chain(config)
         names, types = ["doc_id", "other_id", "x0", "x1", "y0", "y1", "runs", "later"], [pa.int64()] * 6 + [pa.binary(), pa.bool_()]
         for packed_rows in whole_groups(batches, 2):
             at, out = packed_rows[:, 2], []
@@ -386,10 +444,13 @@ def aligned(docs: DataFrame, found: DataFrame, config: SubstringConfig) -> DataF
 def passages(docs: DataFrame, config: SubstringConfig = SubstringConfig()) -> DataFrame:
     """``doc_id, start, end, other_id, other_start, other_end, identity``: positions are words from 0, ends exclusive."""
     spark = docs.sparkSession
-    path = scratch_path(spark, "passage-chains")
-    with scratch_scope(spark):  # the seeds go once the chains are written
+    told_path, others_path = scratch_path(spark, "passage-told"), scratch_path(spark, "passage-others")
+    with scratch_scope(spark):  # seeds and chains go once what is told and what is left are written
         seeds = cut_lineage(seed_table(docs, config), "passage-seeds")
-        found = cut_lineage(chain_table(seed_matches(seeds, config), config), "passage-chains", path)
-    told = cut_lineage(aligned(docs, found.filter("not later").drop("later"), config), "passage-first")
-    rest = cut_lineage(untold(found.filter("later").drop("later"), told, config), "passage-rest")
-    return outermost(told.union(aligned(docs, rest, config)))
+        found = cut_lineage(chain_table(seed_matches(seeds, config), config), "passage-chains")
+        first = cut_lineage(aligned(docs, found.filter("not later").drop("later"), config), "passage-first")
+        rest = cut_lineage(untold(found.filter("later").drop("later"), first, config), "passage-rest")
+        told = cut_lineage(first.union(aligned(docs, rest, config)), "passage-told", told_path)
+        others = chain_table(remaining_matches(seeds, told, config), config).drop("later")
+        others = cut_lineage(untold(others, told, config), "passage-others", others_path)
+    return outermost(told.union(aligned(docs, others, config)))

@@ -428,6 +428,37 @@ def test_passage_whose_seeds_are_scattered_over_first_documents(spark, monkeypat
     assert {r["doc_id"]: (r["start"], r["end"], r["other_id"]) for r in found} == {50 + i: (40, 112, 49 + i) for i in range(1, copies)}
 
 
+@pytest.mark.parametrize("copies, split", [(1, False), (5, True)])
+def test_passage_whose_seeds_are_scattered_over_first_documents_and_those_before(spark, monkeypatch, copies, split):
+    """Of the two documents with the whole passage neither is the first holder nor the holder before for most of its seeds."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(20_000)]
+    shared = rng.choices(words, k=72)
+
+    def text(passage):
+        return " ".join([*rng.choices(words, k=40), *passage, *rng.choices(words, k=40)])
+
+    parts = [shared[low : low + 30] for low in range(0, 48, 6)]
+    rows = [(low + i, text(part)) for low in (0, *range(100, 100 * copies + 1, 100)) for i, part in enumerate(rng.sample(parts, k=len(parts)))]
+    rows += [(50, text(shared))] + [(100 * n + 50, text(shared)) for n in range(1, copies + 1)]
+    if split:
+        monkeypatch.setattr(substring_dedup, "hot_seeds", lambda seeds, config: [r.seed for r in seeds.groupBy("seed").count().filter("count > 4").collect()])
+    found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    whole = {(r["doc_id"], r["other_id"]) for r in found if (r["start"], r["end"], r["other_start"], r["other_end"]) == (40, 112, 40, 112)}
+    assert whole == {(100 * n + 50, 100 * m + 50) for n in range(1, copies + 1) for m in range(n)}
+
+
+def test_every_document_with_an_unsettled_pair_of_seeds_is_matched(spark):
+    """Two seeds that ten documents share at one distance, settled in two of them by a passage told."""
+    config = substring_dedup.SubstringConfig()
+    rows = [(seed, d, 100 * d + pos) for d in range(10) for seed, pos in ((1, 30), (2, 45))] + [(1, 20, 0), (2, 20, 400)]
+    seeds = spark.createDataFrame(rows, "seed long, doc_id long, pos int").repartition(4)
+    told = spark.createDataFrame([(3, 320, 380, 0, 0, 0, 1.0), (5, 531, 600, 0, 0, 0, 1.0), (5, 500, 520, 0, 0, 0, 1.0), (6, 630, 650, 0, 0, 0, 1.0)], substring_dedup.PASSAGE)
+    found = substring_dedup.remaining_matches(seeds, told, config).collect()
+    by_hand = {(d, e, 100 * d + pos, 100 * e + pos) for d in range(10) for e in range(d) for pos in (30, 45) if d not in (3, 6)}
+    assert sorted((r["doc_id"], r["other_id"], r["at"] >> 32, (r["at"] & 0xFFFFFFFF) >> 1) for r in found) == sorted(by_hand)
+
+
 def matches_by_hand(rows):
     out = []
     for seed in {r[0] for r in rows}:
