@@ -17,6 +17,8 @@ LABEL, AMOUNT = "is_positive", "amount"
 KEEP = ("id", "day", "hour", AMOUNT, LABEL, "channel", "segment", "device_brand")
 THRESHOLD = 0.5
 EPOCH_SECONDS = 1_704_067_200
+#: messages that one task shuffles and writes to a file, about 100 MB of text
+FILE_MESSAGES = 500_000
 
 
 def sent():
@@ -53,6 +55,13 @@ def _spoiled(rows):
     return rows.withColumn("value", F.when(n % 50 == 0, kinds).otherwise(F.col("value")))
 
 
+def in_files(spark, sf, rows):
+    """Messages dealt to files by their key, and the number of files: four at least, so many that none holds more than about ``FILE_MESSAGES``."""
+    n = b.table(spark, sf, "events").count()
+    files = max(4, -(-n // FILE_MESSAGES))
+    return rows.repartition(files, "key"), files
+
+
 def _fixed_score(batch):
     return batch
 
@@ -175,7 +184,8 @@ def micro_batch_trigger(spark, sf):
   count(*) FILTER (WHERE alert AND is_positive = 1) AS true_alerts FROM sc""",
 )
 def batch_stats(spark, sf):
-    sink = run_stream(spark, sf, encoded(spark, sf).repartition(4, "key"), files_per_trigger=2)
+    rows, files = in_files(spark, sf, encoded(spark, sf))
+    sink = run_stream(spark, sf, rows, files_per_trigger=-(-files // 2))
     stats = spark.read.parquet(sink.stats)
     return stats.agg(*[F.sum(c).alias(c) for c in ("n_rows", "alerts", "true_alerts")])
 

@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.operators import kpis
+from riskmart.plans import bindings as b
+from riskmart.plans.queries import streams
 from riskmart.streaming import messages, scoring
 
 LABEL, AMOUNT = "is_positive", "amount"
@@ -218,3 +220,14 @@ def test_the_timed_trigger_runs_batch_after_batch(spark, rows, tmp_path):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         messages.kafka_source(spark, "localhost:1", "topic")
+
+
+def test_files_of_a_feed_grow_in_number_not_in_size(spark, sf, monkeypatch):
+    n = b.table(spark, sf, "events").count()
+    rows = streams.encoded(spark, sf)
+    assert streams.in_files(spark, sf, rows)[1] == 4
+    monkeypatch.setattr(streams, "FILE_MESSAGES", n // 20)
+    dealt, files = streams.in_files(spark, sf, rows)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert files >= 20 and sum(sizes) == n and max(sizes) < 2 * n / 20 + 20
+    assert streams.batch_stats(spark, sf).first()["n_rows"] == n
