@@ -231,3 +231,18 @@ def test_files_of_a_feed_grow_in_number_not_in_size(spark, sf, monkeypatch):
     sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
     assert files >= 20 and sum(sizes) == n and max(sizes) < 2 * n / 20 + 20
     assert streams.batch_stats(spark, sf).first()["n_rows"] == n
+
+
+def test_micro_batches_of_many_files(spark, sf, monkeypatch):
+    n, sent = b.table(spark, sf, "events").count(), []
+    monkeypatch.setattr(streams, "FILE_MESSAGES", n // 20)
+    run_stream = streams.run_stream
+
+    def noted(spark, sf, rows, files_per_trigger):
+        sent.append((rows.rdd.getNumPartitions(), files_per_trigger))
+        return run_stream(spark, sf, rows, files_per_trigger=files_per_trigger)
+
+    monkeypatch.setattr(streams, "run_stream", noted)
+    assert streams.micro_batch_trigger(spark, sf).collect() == [(n, n, True)]
+    ((files, a_batch),) = sent
+    assert files >= 20 and a_batch < files <= 2 * a_batch
