@@ -5,7 +5,8 @@ spliced at a position that is a token boundary in both and where a character tha
 followed by a blank or a line feed. For byte-level BPE such a place is proven stable: no piece of the
 pre-tokenizer and no special token holds white space after another character, so what stands left of it
 cannot change what follows. If the overlap has no such place it is widened, at last over the whole chunk, and then the
-chunk itself grows. Memory is bounded by one chunk unless a text has no white space at all.
+chunk itself grows. Memory is bounded by one chunk unless a text has no white space at all. A shorter text needs no offsets: its ids are those of
+``packing.encoder``, which runs plain byte-level BPE in ``tiktoken`` and all else in the library itself.
 
 Nulls count as empty. Empty texts have no tokens. Repeated rows each give their own row, and other columns
 are not read.
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.llm.packing import encoder
 from riskmart.llm.text import id_and_bytes
 
 
@@ -79,14 +81,10 @@ def count_long(tokenizer, text: str, chunk: int, overlap: int) -> int:
     return total + len(left)
 
 
-def count_batch(texts: list[str], config: TokenConfig) -> list[int]:
-    tokenizer = load(config.path)
-    short = [t if len(t) <= config.chunk else "" for t in texts]
-    counts = [len(e) for e in tokenizer.encode_batch_fast(short, add_special_tokens=False)]
-    for i, t in enumerate(texts):
-        if len(t) > config.chunk:
-            counts[i] = count_long(tokenizer, t, config.chunk, config.overlap)
-    return counts
+def count_text(text: str, config: TokenConfig) -> int:
+    if len(text) > config.chunk:
+        return count_long(load(config.path), text, config.chunk, config.overlap)
+    return len(encoder(config.path)(text))
 
 
 def token_counts(docs: DataFrame, config: TokenConfig) -> DataFrame:
@@ -94,12 +92,12 @@ def token_counts(docs: DataFrame, config: TokenConfig) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = batch.column(1).to_pylist()
-            counts: list[int] = []
-            for k in range(0, len(data), 256):  # encodings of a few texts live at a time
-                counts += count_batch([d.decode() for d in data[k : k + 256]], config)
-            sizes = pa.array([len(d) for d in data], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            sizes, counts = [], []
+            for data in batch.column(1):
+                raw = data.as_py()
+                sizes.append(len(raw))
+                counts.append(count_text(raw.decode(), config))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     counted = id_and_bytes(docs).mapInArrow(run, "doc_id bigint, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > config.limit)

@@ -105,6 +105,19 @@ def test_token_counts(messy, empty, pairs):
     assert tokens.token_counts(empty, config).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_short_texts_are_counted_without_offsets(seed, monkeypatch):
+    rng = random.Random(seed)
+    config = tokens.TokenConfig(public_tokenizers.path("byte_bpe_50k.json"))
+    library = tokens.load(config.path)
+    monkeypatch.setattr(tokens, "load", None)  # what gives offsets is for long texts
+    alphabet = rng.choice(["ab \n", "abcdé ß日 '\ts1 \u00a0\u2028", "x", "   \n\r", "   a\x85", "".join(map(chr, rng.choices([*range(0xD800), *range(0xE000, 0x11000)], k=300)))])
+    bits = [*alphabet, *rng.choice([[], ["<|endoftext|>"]]), "'s ", " the", "\n\n", "   ", "'LL", "12345"]
+    for n in (0, 1, 30, 3000):
+        text = "".join(rng.choices(bits, k=n))
+        assert tokens.count_text(text, config) == len(library.encode(text, add_special_tokens=False))
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_overlaps_resynchronise(seed):
     rng = random.Random(seed)
