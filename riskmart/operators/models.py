@@ -15,6 +15,8 @@ from riskmart.config import RiskConfig
 from riskmart.session import shared_dir
 
 INDEX_SUFFIX = "__index"
+#: training rows that one task of a fit holds in the cache
+FIT_ROWS = 250_000
 
 
 def index_categories(categorical: Sequence[str]) -> list[StringIndexer]:
@@ -63,13 +65,22 @@ def _shared_checkpoints(df: DataFrame) -> None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over at least one partition a core, and more where those would be large.
+
+    A fit caches its input and goes over it hundreds of times, each as wide as it has partitions; a compressed table is read in few.
+    """
+    rows = df.count()
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FIT_ROWS)))
+
+
 def train_baseline(df: DataFrame, numeric, categorical, label: str, weight: str, cfg: RiskConfig) -> PipelineModel:
-    return baseline_stages(numeric, categorical, label, weight, cfg).fit(df)
+    return baseline_stages(numeric, categorical, label, weight, cfg).fit(spread(df))
 
 
 def train_gbt(df: DataFrame, numeric, categorical, label: str, weight: str, cfg: RiskConfig) -> PipelineModel:
     _shared_checkpoints(df)
-    return gbt_stages(numeric, categorical, label, weight, cfg).fit(df)
+    return gbt_stages(numeric, categorical, label, weight, cfg).fit(spread(df))
 
 
 def class_probability(probability: Column | str = "probability") -> Column:

@@ -105,3 +105,12 @@ def test_event_features_have_no_nulls(spark, sf):
     nulls = table.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in table.columns]).first().asDict()
     assert set(nulls.values()) == {0}
     assert table.count() == silver.count()
+
+
+def test_a_fit_uses_all_cores_and_bounded_partitions(spark, monkeypatch):
+    rows = spark.range(1000).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert models.spread(rows).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(models, "FIT_ROWS", 10)
+    dealt = models.spread(rows).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(dealt) == max(cores, 100) and sum(dealt) == 1000 and max(dealt) <= 20
