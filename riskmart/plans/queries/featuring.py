@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.config import RiskConfig
@@ -189,7 +190,7 @@ _FITTED: dict[tuple, tuple] = {}
 
 
 def fitted(spark, sf, kind: str):
-    """(model, stored feature table, stored scores) of ``kind``, fitted once per session and folder with the default settings."""
+    """(model, stored feature table) of ``kind``, fitted once per session and folder with the default settings."""
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _FITTED:
         table, lists = event_features(spark, sf, signal=True)
@@ -197,11 +198,22 @@ def fitted(spark, sf, kind: str):
         training = features.class_weights(clean.filter_partition(stored, "split", "entrenamiento"), LABEL)
         train = {"baseline": models.train_baseline, "gbt": models.train_gbt}[kind]
         model = train(training, features.model_inputs(lists, AMOUNT), list(lists.categorical), LABEL, "weight", CONFIG)
-        scores = cut_lineage(models.with_score(model, stored).select("id", "split", LABEL, AMOUNT, "score"), f"{kind}-scores")
-        _FITTED[key] = (model, stored, scores)
+        _FITTED[key] = (model, stored)
     return _FITTED[key]
 
 
+_SCORES: dict[tuple, DataFrame] = {}
+
+
+def fitted_scores(spark, sf, kind: str) -> DataFrame:
+    """The stored scores of the fitted model, written once, when a query first reads them."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _SCORES:
+        model, stored = fitted(spark, sf, kind)
+        _SCORES[key] = cut_lineage(models.with_score(model, stored).select("id", "split", LABEL, AMOUNT, "score"), f"{kind}-scores")
+    return _SCORES[key]
+
+
 def _in_range(score: str = "score"):
     """A probability with at most four decimals."""
     s = F.col(score)
@@ -210,7 +222,7 @@ def _in_range(score: str = "score"):
 
 def _quality(spark, sf, kind: str):
     """Facts of the validation scores: their number, and whether they are probabilities that rank better than chance."""
-    scores = fitted(spark, sf, kind)[2].filter(F.col("split") == "validacion")
+    scores = fitted_scores(spark, sf, kind).filter(F.col("split") == "validacion")
     ranking = evaluation.areas(scores, "score", LABEL)
     facts = scores.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col(LABEL) == 1, 1)).alias("positives"), F.min(_in_range()).alias("in_range"),
@@ -237,7 +249,7 @@ def train_gbt(spark, sf):
 
 @query("class_probability", f"WITH {s.EV} SELECT id, true AS in_range, true AS one_minus_other FROM ev")
 def class_probability(spark, sf):
-    model, stored, _ = fitted(spark, sf, "baseline")
+    model, stored = fitted(spark, sf, "baseline")
     both = vector_to_array("probability")
     scored = model.transform(stored).select("id", models.class_probability().alias("p"), both[0].alias("q"))
     return scored.select("id", F.col("p").between(0.0, 1.0).alias("in_range"), (F.abs(F.col("p") + F.col("q") - 1) < 1e-9).alias("one_minus_other"))
@@ -252,7 +264,7 @@ _INPUTS = "hour weekday side_quality has_side null_count log_amount amount lean
 SELECT feature, true AS in_range, true AS sums_to_one, feature = 'lean' AS is_top FROM i""",
 )
 def feature_importance(spark, sf):
-    model, stored, _ = fitted(spark, sf, "gbt")
+    model, stored = fitted(spark, sf, "gbt")
     listed = models.feature_importance(model, stored, top=1000)
     total, top = listed.agg(F.sum("importance")).scalar(), listed.agg(F.max_by("feature", "importance")).scalar()
     return listed.select(
@@ -267,7 +279,7 @@ def feature_importance(spark, sf):
 SELECT *, true AS in_range, true AS alert_follows FROM f WHERE split IN ('validacion', 'test_kaggle')""",
 )
 def score_table(spark, sf):
-    model, stored, _ = fitted(spark, sf, "gbt")
+    model, stored = fitted(spark, sf, "gbt")
     rows = clean.filter_partition(stored, "split", "validacion", "test_kaggle")
     table = models.score_table(model, rows, ["id", "split", LABEL, AMOUNT], 0.5)
     return table.select("id", "split", LABEL, AMOUNT, _in_range().alias("in_range"), (F.col("alert") == (F.col("score") >= 0.5)).alias("alert_follows"))
@@ -281,7 +293,7 @@ def alert_flag(spark, sf):
 @query("model_store", f"WITH {s.EV} SELECT count(*) AS n_rows, count(*) AS equal_scores FROM ev")
 def model_store(spark, sf):
     """Scores of a saved and reloaded model next to those of the fitted one."""
-    model, stored, _ = fitted(spark, sf, "gbt")
+    model, stored = fitted(spark, sf, "gbt")
     path = scratch_path(spark, "model")
     models.save_model(model, path)
     before = models.with_score(model, stored, "before").select("id", "before")
