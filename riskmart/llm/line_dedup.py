@@ -1,7 +1,8 @@
 """Fuzzy line dedup by MinHash, in DataFrame expressions alone.
 
-Every line is cut into shingles of ``shingle`` characters (UTF-16 units); each minimum of their hash, XORed with a
-random mask and hashed again, is one MinHash value (XOR alone ties the values of small sets together). Equal lines, by a 128-bit hash, fall
+Every line is cut into shingles of ``shingle`` characters (UTF-16 units). Their hash, XORed with a random mask and hashed again (XOR alone ties
+the values of small sets together), is turned by 0, 16, 32 and 48 bits: each minimum is one MinHash value, and four that come from one hash are led by
+bits of their own. Equal lines, by a 128-bit hash, fall
 together in the same aggregate. ``bands`` of ``rows`` values are the keys of candidate buckets. A bucket links its lines to its least line, so candidates grow with
 the lines, not with their pairs. Candidates are verified by exact Jaccard similarity. Buckets that still hold more than one
 component then compare each line outside the component of the least line with the lines of other components: no candidate
@@ -42,6 +43,8 @@ class LineConfig:
     broadcast_ids: int = 1_000_000
     #: lines outside the main component of a bucket that one task compares with the bucket
     block: int = 128
+    #: shingles that one row takes through the aggregation
+    stride: int = 4
 
 
 def mask(k: int) -> int:
@@ -75,25 +78,41 @@ def _last_start(line: Column, config: LineConfig) -> Column:
     return F.greatest((F.octet_length(line) / 2).cast("int") - config.shingle, F.lit(0))
 
 
+def _turned(h: Column, bits: int) -> Column:
+    return F.shiftleft(h, bits).bitwiseOR(F.shiftrightunsigned(h, 64 - bits)) if bits else h
+
+
 def signatures(every_line: DataFrame, config: LineConfig) -> DataFrame:
-    """``h1, h2, keeper, n, m0, m1 ...``: one row per different line, ``n`` times found; ``keeper`` is the least id that holds it.
+    """``h1, h2, keeper, n, k0, k1 ...``: one row per different line, ``n`` times found, with the key of its bucket in each band; ``keeper`` is
+    the least id that holds it.
 
     The minima of a line are whole within its task, and so are those of its copies there: what is shuffled is one row per line and task.
+    A row takes ``stride`` shingles; at the end of a line the last one repeats, which changes no minimum.
     """
+    values, each = config.rows * config.bands, range(config.stride)
+    hashes = range(-(-values // 4))  # four values from each
     wide = every_line.filter(_has_word()).select("doc_id", "h1", "h2", _wide("line").alias("wide"))
     last = _last_start(F.col("wide"), config)
-    each = wide.select("doc_id", "h1", "h2", "wide", F.explode(F.sequence(F.lit(0), last)).alias("at"))
-    hashed = each.select("doc_id", "h1", "h2", "at", _shingle_hash(F.col("wide"), F.col("at"), config).alias("h"))
-    return hashed.groupBy("h1", "h2").agg(
+    rows = wide.select("doc_id", "h1", "h2", "wide", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(config.stride))).alias("at"))
+    shingles = [_shingle_hash(F.col("wide"), F.least(F.col("at") + j, F.col("last")), config).alias(f"s{j}") for j in each]
+    hashed = rows.select("doc_id", "h1", "h2", "at", *shingles)
+    hashed = hashed.select("doc_id", "h1", "h2", "at", *[F.xxhash64(F.col(f"s{j}").bitwiseXOR(F.lit(mask(i)))).alias(f"s{j}_{i}") for i in hashes for j in each])
+
+    def value(k: int) -> Column:
+        turned = [_turned(F.col(f"s{j}_{k // 4}"), 16 * (k % 4)) for j in each]
+        return F.least(*turned) if config.stride > 1 else turned[0]
+
+    least = hashed.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("keeper"), F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("n"),
-        *[F.min(F.xxhash64(F.col("h").bitwiseXOR(F.lit(mask(k))))).alias(f"m{k}") for k in range(config.rows * config.bands)],
+        *[F.min(value(k)).alias(f"m{k}") for k in range(values)],
     )
+    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * config.rows + r}") for r in range(config.rows)]).alias(f"k{b}") for b in range(config.bands)]
+    return least.select("h1", "h2", "keeper", "n", *keys)
 
 
-def _buckets(signed: DataFrame, bands: range, config: LineConfig) -> DataFrame:
+def _buckets(signed: DataFrame, bands: range) -> DataFrame:
     """``bucket, id, least, n``: the lines in buckets of more than one line, with the least id and the size of the bucket."""
-    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * config.rows + r}") for r in range(config.rows)]) for b in bands])
-    members = signed.select(F.explode(keys).alias("bucket"), F.col("h1").alias("id"))
+    members = signed.select(F.explode(F.array(*[F.col(f"k{b}") for b in bands])).alias("bucket"), F.col("h1").alias("id"))
     # combined in each task before the shuffle; most buckets hold one line and end here
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1")
     return cut_lineage(members.join(sizes, "bucket").select("bucket", "id", "least", "n"), "line-buckets")
@@ -169,7 +188,7 @@ def line_classes(docs: DataFrame, config: LineConfig = LineConfig()) -> DataFram
     signed = cut_lineage(signatures(every_line, config), "line-signatures")
     # three bands after the other: the rows of all need not lie on disk at once
     some = [range(b, min(b + 3, config.bands)) for b in range(0, config.bands, 3)]
-    in_buckets = reduce(DataFrame.union, [_buckets(signed, bands, config) for bands in some])
+    in_buckets = reduce(DataFrame.union, [_buckets(signed, bands) for bands in some])
     pairs = cut_lineage(in_buckets.select(F.col("id").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct(), "line-candidates")
     texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), every_line, config)
     star = cut_lineage(_verified(pairs, texts, config), "line-links")

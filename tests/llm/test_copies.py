@@ -245,6 +245,33 @@ def test_recall_on_short_lines(spark, union):
     assert sum(len(r["dropped"]) for r in found.collect()) >= 0.989 * n
 
 
+@pytest.mark.parametrize("stride", [1, 4, 7])
+def test_bucket_keys_do_not_depend_on_the_stride(spark, messy, stride):
+    """A row takes several shingles; lines of every length have the keys that one shingle a row gives."""
+    rng = random.Random(13)
+    texts = ["".join(rng.choices("abcdeé日😀", k=n)) for n in range(1, 40)]
+    docs = messy.select("doc_id", "text").union(spark.createDataFrame([(200 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    every = line_dedup.lines(docs)
+    one, several = (line_dedup.signatures(every, line_dedup.LineConfig(stride=n)) for n in (1, stride))
+    assert several.columns == ["h1", "h2", "keeper", "n", *[f"k{b}" for b in range(7)]]
+    assert sorted(map(tuple, several.collect()), key=repr) == sorted(map(tuple, one.collect()), key=repr)
+
+
+def test_minhash_values_of_one_hash_are_independent(spark):
+    """Of pairs of lines at similarity 0.5, as many share all values of a band as three independent values would."""
+    rng, n = random.Random(14), 4000
+    config = line_dedup.LineConfig(bands=4)
+    size = 60
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size + config.shingle - 1)) for _ in range(n)]
+    cut = size // 4  # two of 45 shingles out of 60, 30 in common
+    rows = [(2 * i + s, t[s * cut : len(t) - (1 - s) * cut]) for i, t in enumerate(texts) for s in (0, 1)]
+    signed = line_dedup.signatures(line_dedup.lines(spark.createDataFrame(rows, "doc_id long, text string")), config)
+    keys = {r["keeper"]: [r[f"k{b}"] for b in range(4)] for r in signed.collect()}
+    shared = [[keys[2 * i][b] == keys[2 * i + 1][b] for b in range(4)] for i in range(n)]
+    assert 0.115 <= sum(map(sum, shared)) / (4 * n) <= 0.135
+    assert abs(sum(map(any, shared)) / n - (1 - 0.875**4)) <= 0.025
+
+
 def test_line_dedup_is_native(messy):
     every = line_dedup.lines(messy)
     plan = line_dedup.signatures(every, line_dedup.LineConfig())._jdf.queryExecution().executedPlan().toString()
