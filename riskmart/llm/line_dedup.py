@@ -31,7 +31,7 @@ from riskmart.session import cut_lineage
 
 @dataclass(frozen=True)
 class LineConfig:
-    """At similarity 0.8 a pair shares a bucket with probability 1 - (1 - 0.8 ** rows) ** bands = 0.993, at 0.9 with 0.99996.
+    """At similarity 0.8 a pair shares a bucket with probability 1 - (1 - 0.8 ** rows) ** bands = 0.993, at 0.9 with 0.9999.
 
     ``broadcast_ids``: candidate ids are broadcast only up to this number (16 bytes each), else joined.
     """
