@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from riskmart.llm import negatives, packing, spelling
 from riskmart.llm.queries import QUERIES
+from riskmart.session import cut_lineage
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -231,6 +232,14 @@ def test_spelling_variants(spark, seed, config):
     assert {tuple(r) for r in spelling.variants(df, config).collect()} == by_hand
 
 
+def test_vocabulary_is_not_sent_to_every_task(spark):
+    df = spark.createDataFrame(corpus(0), "doc_id long, text string")
+    words = cut_lineage(spelling.vocabulary(df), "test-words")
+    forms = cut_lineage(words.limit(1).select("word", F.lit("form").alias("form")), "test-forms")
+    for found in (spelling.near_words(words), spelling.variants(df), spelling.follow(forms)):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spelling_on_messy_rows(messy, pairs, empty):
     config = spelling.SpellingConfig(min_count=2)
     assert {tuple(r) for r in spelling.variants(messy, config).collect()} == variants_by_hand(pairs, config)
