@@ -120,11 +120,10 @@ def _buckets(signed: DataFrame, bands: range) -> DataFrame:
 
 def _shingles(line: str, config: LineConfig) -> Column:
     """The different shingle hashes of a line; the line is widened once, as a variable, not once per shingle."""
-    sets = F.transform(
-        F.array(_wide(line)),
-        lambda wide: F.array_distinct(F.transform(F.sequence(F.lit(0), _last_start(wide, config)), lambda i: _shingle_hash(wide, i, config))),
-    )
-    return F.element_at(sets, 1)
+    starts = lambda wide: F.sequence(F.lit(1), _last_start(wide, config) * 2 + 1, F.lit(2))
+    hashed = lambda wide: F.transform(starts(wide), lambda at: F.xxhash64(F.substring(wide, at, F.lit(2 * config.shingle))))
+    # outside the lambdas, where it is compiled
+    return F.array_distinct(let(_wide(line), hashed))
 
 
 def _similar(a: Column, b: Column, config: LineConfig) -> Column:
@@ -132,7 +131,8 @@ def _similar(a: Column, b: Column, config: LineConfig) -> Column:
     sizes = F.size(a) + F.size(b)
     # c / (sizes - c) >= t, with c at most the smaller size
     need = F.lit(config.similarity / (1.0 + config.similarity)) * sizes - F.lit(1e-9)
-    return (F.least(F.size(a), F.size(b)) >= need) & (F.size(F.array_intersect(a, b)) >= need)
+    # what is left of one set without the other takes one hash table, the intersection two
+    return (F.least(F.size(a), F.size(b)) >= need) & (F.size(a) - F.size(F.array_except(a, b)) >= need)
 
 
 def _texts(ids: DataFrame, every_line: DataFrame, config: LineConfig) -> DataFrame:
@@ -143,11 +143,19 @@ def _texts(ids: DataFrame, every_line: DataFrame, config: LineConfig) -> DataFra
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, config: LineConfig) -> DataFrame:
-    """The ``a, b`` of ``pairs`` (ids h1) whose lines have at least the asked Jaccard similarity."""
-    both = pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
-    both = both.join(texts.select(F.col("h1").alias("b"), F.col("line").alias("line_b")), "b")
-    two = F.array(F.struct(_shingles("line_a", config).alias("a"), _shingles("line_b", config).alias("b")))
-    return both.filter(F.exists(two, lambda x: _similar(x["a"], x["b"], config))).select("a", "b")
+    """The ``a, b`` of ``pairs`` (ids h1) whose lines have at least the asked Jaccard similarity.
+
+    A line ``b`` is cut into shingles once for ``block`` of its pairs, not for each; pairs of one line are dealt to several tasks.
+    """
+    blocks = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / config.block).cast("int").alias("blocks"))
+    dealt = pairs.join(blocks, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block"))
+    ones = dealt.join(texts.withColumnRenamed("h1", "a"), "a")
+    hubs = blocks.join(texts.withColumnRenamed("h1", "b"), "b").select("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "line")
+    ones = ones.repartition("b", "block").select("a", "b", "block", _shingles("line", config).alias("set_a"))
+    hubs = hubs.repartition("b", "block").select("b", "block", _shingles("line", config).alias("set_b"))
+    # Spark would size the sets by the lines
+    both = ones.join(hubs.hint("merge"), ["b", "block"])
+    return both.filter(_similar(F.col("set_a"), F.col("set_b"), config)).select("a", "b")
 
 
 def _links_across(in_buckets: DataFrame, rooted: DataFrame, texts: DataFrame, config: LineConfig) -> DataFrame:

@@ -278,6 +278,21 @@ def test_line_dedup_is_native(messy):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+@pytest.mark.parametrize("block", [128, 10])
+def test_a_line_of_many_pairs_is_cut_into_shingles_before_it_meets_them(spark, near_lines, block):
+    config = line_dedup.LineConfig(block=block)
+    lines = sorted({line for _, text in near_lines for line in text.split("\n") if line})
+    texts = spark.createDataFrame(list(enumerate(lines)), "h1 long, line string")
+    pairs = [(a, b) for b in range(0, len(lines), 5) for a in range(len(lines)) if a != b]
+    found = line_dedup._verified(spark.createDataFrame(pairs, "a long, b long"), texts, config)
+    sets = [{t[i : i + 8] for i in range(max(1, len(t) - 7))} for t in lines]
+    near = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= config.similarity * len(sets[a] | sets[b])]
+    assert 0 < len(near) < len(pairs) and rows_of(found, "a", "b") == sorted(near, key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    compared = [line for line in plan if "array_intersect" in line or "array_except" in line]
+    assert len(compared) == 1 and "transform(" not in compared[0]
+
+
 def nearest_by_hand(pattern, text):
     before = [0] * (len(text) + 1)
     for i, a in enumerate(pattern, 1):
