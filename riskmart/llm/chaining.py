@@ -29,15 +29,15 @@ class PrefixMax:
         return value, owner
 
 
-def segments(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> np.ndarray:
-    """(x start, x end, y start, y end) of runs of matches on one diagonal, each at most ``reach`` words after the one before."""
-    order = np.lexsort((x, x - y))
-    x, y = x[order], y[order]
+def segments(group: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of matches of a group on one diagonal, each at most ``reach`` words after the one before: the group, and (x start, x end, y start, y end)."""
+    order = np.lexsort((x, x - y, group))
+    group, x, y = group[order], x[order], y[order]
     new = np.ones(len(x), dtype=bool)
-    new[1:] = (np.diff(x - y) != 0) | (np.diff(x) > reach)
+    new[1:] = (np.diff(group) != 0) | (np.diff(x - y) != 0) | (np.diff(x) > reach)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(x)) - 1
-    return np.stack([x[first], x[last] + k, y[first], y[last] + k], axis=1)
+    last = np.append(first, len(x))[1:] - 1
+    return group[first], np.stack([x[first], x[last] + k, y[first], y[last] + k], axis=1)
 
 
 def chains(runs: np.ndarray, gap_cost: float) -> list[np.ndarray]:

@@ -261,29 +261,52 @@ def remaining_matches(seeds: DataFrame, told: DataFrame, config: SubstringConfig
     return both.select("doc_id", "other_id", F.explode(ends).alias("at"))
 
 
+def _single_runs(ids: np.ndarray, runs: np.ndarray, later: bool, names: list[str]) -> pa.RecordBatch:
+    """Chains of one run each."""
+    n, size = len(runs), runs.shape[1] * 8
+    flat = np.ascontiguousarray(runs, dtype=np.int64)
+    data = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * size).astype(np.int32)), pa.py_buffer(flat.tobytes())])
+    columns = [pa.array(np.ascontiguousarray(c)) for c in (*ids.T, *flat.T)]
+    return pa.RecordBatch.from_arrays([*columns, data, pa.array(np.full(n, later))], names)
+
+
 def chain_table(matches: DataFrame, config: SubstringConfig) -> DataFrame:
     """Chains long enough to belong to a passage; ``later`` are those that only matches with holders before give. A group is one document with
     another: its size is bounded by the document's."""
 
+    least = least_chain(config)
+    names, types = ["doc_id", "other_id", "x0", "x1", "y0", "y1", "runs", "later"], [pa.int64()] * 6 + [pa.binary(), pa.bool_()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = least_chain(config)
-        names, types = ["doc_id", "other_id", "x0", "x1", "y0", "y1", "runs", "later"], [pa.int64()] * 6 + [pa.binary(), pa.bool_()]
         for packed_rows in whole_groups(batches, 2):
             at, out = packed_rows[:, 2], []
-            rows = np.stack([packed_rows[:, 0], packed_rows[:, 1], at >> 32, (at & 0xFFFFFFFF) >> 1, at & 1], axis=1)
-            for s, n in zip(*group_bounds(rows, 2)):
-                group, seen = rows[s : s + n], set()
-                if group[:, 2].max() + config.k - group[:, 2].min() < least:
-                    continue
-                is_later = group[:, 4] == 1
-                for later, some in [(False, group[~is_later]), (True, group if is_later.any() else group[:0])]:
-                    if not len(some) or some[:, 2].max() + config.k - some[:, 2].min() < least:
+            starts, lengths = group_bounds(packed_rows, 2)
+            ids, group = packed_rows[starts, :2], np.repeat(np.arange(len(starts)), lengths)
+            x, y, is_later = at >> 32, (at & 0xFFFFFFFF) >> 1, (at & 1) == 1
+            first, second = (
+                segments(group[some], x[some], y[some], config.k, 2 * config.window) for some in (~is_later, np.isin(group, group[is_later]))
+            )
+            # most pairs of documents have one run in one round: its own chain
+            rounds = [(first, False), (second, True)]
+            owners = np.concatenate([first[0], second[0]])
+            alone = np.bincount(owners, minlength=len(ids)) == 1
+            for (owner, runs), later in rounds:
+                mine = alone[owner] & (runs[:, 1] - runs[:, 0] >= least)
+                if mine.any():
+                    yield _single_runs(ids[owner[mine]], runs[mine], later, names)
+            several: dict[int, set] = {}
+            for (owner, runs), later in rounds:
+                left = ~alone[owner]
+                owner, runs = owner[left], runs[left]
+                for s, n in zip(*group_bounds(owner[:, None], 1)):
+                    some, seen = runs[s : s + n], several.setdefault(int(owner[s]), set())
+                    if some[:, 1].max() - some[:, 0].min() < least:
                         continue
-                    for chain in chains(segments(some[:, 2], some[:, 3], config.k, 2 * config.window), config.gap_cost):
+                    for chain in chains(some, config.gap_cost):
                         x0, x1, y0, y1 = chain[0, 0], chain[-1, 1], chain[0, 2], chain[-1, 3]
                         if x1 - x0 >= least and (x0, x1, y0, y1) not in seen:
                             seen.add((x0, x1, y0, y1))
-                            out.append((group[0, 0], group[0, 1], x0, x1, y0, y1, np.ascontiguousarray(chain).tobytes(), later))
+                            out.append((*ids[owner[s]], x0, x1, y0, y1, np.ascontiguousarray(chain).tobytes(), later))
             columns = list(zip(*out)) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 

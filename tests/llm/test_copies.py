@@ -8,6 +8,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -536,6 +537,50 @@ def test_seeds_of_many_documents_are_found(spark):
     assert substring_dedup.hot_seeds(spark.createDataFrame(rows[:0], "seed long, doc_id long, pos int"), config) == []
 
 
+class Plain:
+    """Stands for a table: gives the function over batches that it would run."""
+
+    def repartition(self, *columns):
+        return self
+
+    sortWithinPartitions = repartition
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+@pytest.mark.parametrize("step", [7, 10_000])
+def test_one_run_of_matches_is_its_own_chain(monkeypatch, step):
+    config, rng, called = substring_dedup.SubstringConfig(), np.random.default_rng(21), []
+    least, best = substring_dedup.least_chain(config), chaining.chains
+    rows, many, wanted = [], 0, set()
+    for doc in range(300):
+        later, shift = rng.integers(0, 2, size=2)
+        x = np.unique(rng.integers(0, 60, size=rng.integers(1, 12)))
+        if doc % 3 == 0:  # on two diagonals, in both rounds
+            found = [(int(p), int(p + d), r) for r, d in ((0, 0), (1, 30)) for p in x]
+        else:
+            x = x[: np.flatnonzero(np.append(np.diff(x) > 2 * config.window, True))[0] + 1]
+            found = [(int(p), int(p + shift), int(later)) for p in x]
+        many += doc % 3 == 0
+        for r in (0, 1):
+            some = [(p, q) for p, q, other in found if other <= r]
+            if not some or not any(other == r for _, _, other in found):
+                continue
+            runs = chaining.segments(np.zeros(len(some), dtype=np.int64), *np.array(some, dtype=np.int64).T, config.k, 2 * config.window)[1]
+            for chain in best(runs, config.gap_cost):
+                key = (doc, 7, chain[0, 0], chain[-1, 1], chain[0, 2], chain[-1, 3], np.ascontiguousarray(chain).tobytes())
+                if chain[-1, 1] - chain[0, 0] >= least and (*key, False) not in wanted:
+                    wanted.add((*key, r == 1))
+        rows += [(doc, 7, p << 32 | q << 1 | r) for p, q, r in sorted(found)]
+    monkeypatch.setattr(substring_dedup, "chains", lambda *a: called.append(1) or best(*a))
+    names = ["doc_id", "other_id", "at"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + step])], names) for i in range(0, len(rows), step)]
+    got = [tuple(r.values()) for b in substring_dedup.chain_table(Plain(), config)(iter(batches)) for r in b.to_pylist()]
+    assert len(got) == len(set(got)) > many and set(got) == wanted
+    assert len(called) <= 2 * many
+
+
 @pytest.mark.parametrize("most", [0, 1000])
 def test_only_documents_of_chains_take_part(spark, most):
     ids = [0, 63, 64, -1, -64, 2**62, 5]
